@@ -1,8 +1,10 @@
 """Benchmark: run every registered query on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Each query is forced to completion with a ``noop`` write (every row is
-produced, nothing is collected to the driver). One warm-up pass over a few
-queries loads the JVM code paths first. Prints one JSON line.
+produced, nothing is collected to the driver). The derived tables are
+written first and timed as ``prepare_tables`` (part of the total); then a
+warm-up over three queries, then every query $BENCH_REPEATS times (default
+3); the median is reported. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from mercato.session import build_session  # noqa: E402
-from mercato.plans.registry import queries  # noqa: E402
+from mercato.plans.registry import Inputs, queries  # noqa: E402
 
 
 def _run(df) -> None:
@@ -28,16 +30,21 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [k for k in os.environ.get("BENCH_ONLY", "").split(",") if k]
     spark = build_session(f"local[{cpus}]", app="mercato-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     qs = queries()
     if only:
         qs = {k: v for k, v in qs.items() if k in only}
+    times: dict[str, float] = {}
+    # Derived and cleaned tables are written once per data directory (as the
+    # case study keeps its cleaned tables); that cost is timed and counted.
+    t0 = time.perf_counter()
+    Inputs(spark, sf_dir).prepare()
+    times["prepare_tables"] = round(time.perf_counter() - t0, 4)
     for k in list(qs)[:3]:  # warm-up
         _run(qs[k](spark, sf_dir))
-    times: dict[str, float] = {}
     for k, fn in qs.items():
         samples = []
         for _ in range(repeats):
@@ -55,6 +62,7 @@ def main() -> None:
         "cpus": cpus,
         "shuffle_partitions": cpus,
         "n_queries": len(times),
+        "repeats": repeats,
     }))
     spark.stop()
 

@@ -11,10 +11,12 @@ own values (the operator defaults).
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.operators import bank, cleaning, delivery, loyalty, mart
+from mercato.sources.catalog import Catalog, fingerprint
 from mercato.sources.fixtures import Fixtures
 from mercato.sources.tables import Tables
 
@@ -26,26 +28,67 @@ MEATLOVERS_STAND_IN = "america"
 PERCENTILE_DIGITS = 4
 
 
-class Inputs:
-    """Reference-shaped inputs of one data directory, built lazily."""
+# Source tables the derived tables read; their files key the catalog.
+SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.fx = Fixtures(Tables(spark, sf_dir))
+class Inputs:
+    """Reference-shaped inputs of one data directory.
+
+    Small projections (menu, members, runners, pizza names...) stay lazy.
+    The derived tables that cost joins, windows or parsing are written once
+    per data directory (``sources.catalog``) when ``materialize`` is on, as
+    the case study keeps its cleaned tables; otherwise they are lazy plans.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        tables = Tables(spark, sf_dir)
+        self.fx = Fixtures(tables)
+        self.catalog = None
+        if materialize:
+            key = fingerprint(spark, [tables.path(t) for t in SOURCES])
+            self.catalog = Catalog(spark, key)
 
     def __getattr__(self, name):
         return getattr(self.fx, name)
 
+    def _kept(self, name: str, build, partition_by=()) -> DataFrame:
+        if self.catalog is None:
+            return build()
+        return self.catalog.table(name, build, partition_by)
+
+    def sales(self) -> DataFrame:
+        return self._kept("sales", self.fx.sales)
+
     def orders(self) -> DataFrame:
-        return cleaning.clean_customer_orders(self.fx.customer_orders())
+        return self._kept("customer_orders_clean",
+                          lambda: cleaning.clean_customer_orders(self.fx.customer_orders()))
 
     def runs(self) -> DataFrame:
-        return cleaning.clean_runner_orders(self.fx.runner_orders())
+        return self._kept("runner_orders_clean",
+                          lambda: cleaning.clean_runner_orders(self.fx.runner_orders()))
 
     def ratings(self) -> DataFrame:
-        return delivery.rate_delivered(self.orders(), self.runs())
+        return self._kept("ratings", lambda: delivery.rate_delivered(self.orders(), self.runs()))
+
+    def customer_nodes(self) -> DataFrame:
+        return self._kept("customer_nodes", self.fx.customer_nodes)
 
     def clean_sales(self) -> DataFrame:
-        return cleaning.clean_weekly_sales(self.fx.weekly_sales())
+        return self._kept("clean_weekly_sales",
+                          lambda: cleaning.clean_weekly_sales(self.fx.weekly_sales()),
+                          partition_by=("calendar_year",))
+
+    def prepare(self) -> None:
+        """Write every kept table now (otherwise the first query does it).
+
+        Independent tables are written by concurrent jobs; ratings reads the
+        cleaned orders and runs, so it goes last."""
+        first = (self.sales, self.orders, self.runs, self.customer_nodes, self.clean_sales)
+        with ThreadPoolExecutor(max_workers=len(first)) as pool:
+            for f in [pool.submit(b) for b in first]:
+                f.result()
+        self.ratings()
 
 
 Query = Callable[[SparkSession, str], DataFrame]

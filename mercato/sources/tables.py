@@ -28,5 +28,12 @@ class Tables:
         return os.path.join(self.root, f"{name}.parquet")
 
     def read(self, name: str, *columns: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
+        key = (self.spark.sparkContext.applicationId, self.path(name))
+        df = _OPENED.get(key)
+        if df is None:
+            df = _OPENED[key] = self.spark.read.parquet(self.path(name))
         return df.select(*columns) if columns else df
+
+
+# One DataFrame per (session, file): the schema is read from the footer once.
+_OPENED: dict[tuple[str, str], DataFrame] = {}
