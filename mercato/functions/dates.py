@@ -52,6 +52,23 @@ def day_name(col, case: str = "title") -> Column:
     return _case(F.date_format(_c(col), "EEEE"), case)
 
 
+# Fixed reference days for naming numbers: 2023-01-01 was a Sunday.
+_SUNDAY = "2023-01-01"
+
+
+def day_name_of(dow, case: str = "title") -> Column:
+    """Name of a ``dayofweek`` number (1 = Sunday ... 7 = Saturday).
+
+    Grouping on the number and naming the few result rows afterwards avoids
+    formatting a name for every input row."""
+    return _case(F.date_format(F.date_add(F.lit(_SUNDAY).cast("date"), _c(dow) - 1), "EEEE"), case)
+
+
+def month_name_of(month, case: str = "title") -> Column:
+    """Name of a month number (1 = January)."""
+    return _case(F.date_format(F.make_date(F.lit(2000), _c(month), F.lit(1)), "MMMM"), case)
+
+
 def _case(c: Column, case: str) -> Column:
     if case == "upper":
         return F.upper(c)

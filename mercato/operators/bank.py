@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.functions.dates import month_name
+from mercato.functions.dates import month_name_of
 from mercato.functions.numeric import round_ratio
 from mercato.functions.text import dollars, money_text
 
@@ -99,7 +99,7 @@ def active_months(txns: DataFrame, min_deposits: int = 1, exact: int = 1) -> Dat
     )
     ok = per.filter((F.col("d") > min_deposits) & ((F.col("w") == exact) | (F.col("p") == exact)))
     g = ok.groupBy("months").agg(F.count("customer_id").alias("customer_count"))
-    name = month_name(F.make_date(F.lit(2000), F.col("months"), F.lit(1)), "upper")
+    name = month_name_of("months", "upper")
     return g.orderBy("months").select(name.alias("month_name"), "customer_count")
 
 

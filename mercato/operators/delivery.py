@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.functions.dates import day_name, minute_boundaries, tsql_week
+from mercato.functions.dates import day_name_of, minute_boundaries, tsql_week
 from mercato.functions.numeric import int_div, round_ratio
 from mercato.operators.ranking import ties_at_max
 from mercato.functions.text import dollars
@@ -140,8 +140,9 @@ def hourly_volume(orders: DataFrame) -> DataFrame:
 def weekday_volume(orders: DataFrame, shift_days: int = WEEKDAY_SHIFT_DAYS) -> DataFrame:
     """Pizzas per weekday name of ``order_time + shift_days`` (the case study
     shifts by 2 days, which relabels every weekday; pass 0 for true names)."""
-    day = day_name(F.date_add(F.to_date("order_time"), shift_days))
-    return orders.groupBy(day.alias("day_of_week")).agg(F.count("order_id").alias("total_pizzas_ordered"))
+    dow = F.dayofweek(F.date_add(F.to_date("order_time"), shift_days))
+    g = orders.groupBy(dow.alias("_dow")).agg(F.count("order_id").alias("total_pizzas_ordered"))
+    return g.select(day_name_of("_dow").alias("day_of_week"), "total_pizzas_ordered")
 
 
 # ---- B. runner and customer experience ------------------------------------------

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.dates import day_name, month_name
+from mercato.functions.dates import day_name_of, month_name_of
 from mercato.functions.numeric import round_ratio
 
 # Fixed values of the case study (defaults of the parameters below).
@@ -33,7 +33,8 @@ def preview(clean: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
 
 
 def weekday_names(clean: DataFrame) -> DataFrame:
-    return clean.select(day_name("week_date", "upper").alias("day_of_week")).distinct()
+    days = clean.select(F.dayofweek("week_date").alias("_dow")).distinct()
+    return days.select(day_name_of("_dow", "upper").alias("day_of_week"))
 
 
 def missing_weeks(clean: DataFrame, lo: int = WEEK_SERIES[0], hi: int = WEEK_SERIES[1]) -> DataFrame:
@@ -56,8 +57,9 @@ def txn_by_year(clean: DataFrame) -> DataFrame:
 
 def sales_by_region_month(clean: DataFrame) -> DataFrame:
     """Sales per region and month name (month names of all years together)."""
-    return (clean.groupBy("region", month_name("week_date").alias("months"))
-            .agg(F.sum("sales").alias("total_sales")).orderBy("region", "months"))
+    g = clean.groupBy("region", "month_number").agg(F.sum("sales").alias("total_sales"))
+    return (g.select("region", month_name_of("month_number").alias("months"), "total_sales")
+            .orderBy("region", "months"))
 
 
 def platform_rows(clean: DataFrame) -> DataFrame:
@@ -72,9 +74,11 @@ def _share(col: str, value: str) -> F.Column:
 
 
 def platform_share(clean: DataFrame, retail: str = RETAIL, shopify: str = SHOPIFY) -> DataFrame:
-    return (clean.groupBy("calendar_year", month_name("week_date", "upper").alias("months"))
-            .agg(_share("platform", retail).alias("retail_sales"),
-                 _share("platform", shopify).alias("shopify_sales"))
+    g = (clean.groupBy("calendar_year", "month_number")
+         .agg(_share("platform", retail).alias("retail_sales"),
+              _share("platform", shopify).alias("shopify_sales")))
+    return (g.select("calendar_year", month_name_of("month_number", "upper").alias("months"),
+                     "retail_sales", "shopify_sales")
             .orderBy("calendar_year", "months"))
 
 
