@@ -4,6 +4,10 @@ Inputs: ``sales(customer_id, order_date, product_id)``,
 ``menu(product_id, product_name, price)``, ``members(customer_id, join_date)``.
 ``tie`` names extra sales columns that make "first" / "top" choices
 deterministic where the case study leaves ties open.
+
+Where a statement starts with the inner join ``sales ⋈ menu``, ``menu`` may
+be None: ``sales`` is then the already joined (priced) fact with
+product_name and price, e.g. a table written once by ``priced_sales``.
 """
 
 from __future__ import annotations
@@ -23,13 +27,18 @@ FIRST_WEEK_DAYS = 6
 POINTS_CUTOFF = "2021-02-01"
 
 
-def _priced(sales: DataFrame, menu: DataFrame) -> DataFrame:
-    # menu is a dimension: AQE turns this into a broadcast join only when its
-    # measured size is under spark.sql.autoBroadcastJoinThreshold.
+def priced_sales(sales: DataFrame, menu: DataFrame) -> DataFrame:
+    """``sales ⋈ menu`` (inner): every sale with its product name and price."""
+    # menu is a dimension: the planner broadcasts it only when its estimated
+    # or measured size is under spark.sql.autoBroadcastJoinThreshold.
     return sales.join(menu, on="product_id", how="inner")
 
 
-def total_spend(sales: DataFrame, menu: DataFrame) -> DataFrame:
+def _priced(sales: DataFrame, menu: DataFrame | None) -> DataFrame:
+    return sales if menu is None else priced_sales(sales, menu)
+
+
+def total_spend(sales: DataFrame, menu: DataFrame | None) -> DataFrame:
     """Money spent per customer."""
     return (_priced(sales, menu).groupBy("customer_id")
             .agg(F.sum("price").alias("total_amount"))
@@ -64,7 +73,7 @@ def top_item_by_customer(sales: DataFrame, menu: DataFrame, k: int = 1) -> DataF
             .orderBy(F.desc("purchase_count"), "customer_id"))
 
 
-def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
+def favourite_item(sales: DataFrame, menu: DataFrame | None) -> DataFrame:
     """Most bought product name(s) per customer, ties kept."""
     counts = _priced(sales, menu).groupBy("customer_id", "product_name").agg(
         F.count("product_id").alias("order_count"))
@@ -72,13 +81,13 @@ def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
         "customer_id", "product_name", "order_count")
 
 
-def _member_sales(sales: DataFrame, menu: DataFrame, members: DataFrame, after: bool) -> DataFrame:
-    joined = sales.join(members, on="customer_id", how="inner")
+def _member_sales(sales: DataFrame, menu: DataFrame | None, members: DataFrame, after: bool) -> DataFrame:
+    joined = _priced(sales, menu).join(members, on="customer_id", how="inner")
     cond = F.col("order_date") >= F.col("join_date") if after else F.col("order_date") < F.col("join_date")
-    return joined.filter(cond).join(menu, on="product_id")
+    return joined.filter(cond)
 
 
-def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame,
+def first_after_join(sales: DataFrame, menu: DataFrame | None, members: DataFrame,
                      tie: Sequence[str] = ("product_id",)) -> DataFrame:
     """First purchase on or after the join day, one row per member."""
     j = _member_sales(sales, menu, members, after=True)
@@ -86,21 +95,21 @@ def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame,
     return first.select("customer_id", "join_date", "order_date", "product_name")
 
 
-def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+def last_before_join(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """Every item of the last purchase day before joining."""
     j = _member_sales(sales, menu, members, after=False)
     return ties_at_max(j, "customer_id", "order_date").select(
         "customer_id", "join_date", "order_date", "product_name")
 
 
-def before_join_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+def before_join_totals(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """Items and money spent before joining."""
     j = _member_sales(sales, menu, members, after=False)
     return j.groupBy("customer_id").agg(
         F.count("product_id").alias("total_item"), F.sum("price").alias("total_amount"))
 
 
-def points(sales: DataFrame, menu: DataFrame, special: str = SPECIAL_PRODUCT,
+def points(sales: DataFrame, menu: DataFrame | None, special: str = SPECIAL_PRODUCT,
            hi: int = SPECIAL_MULTIPLIER, lo: int = BASE_MULTIPLIER) -> DataFrame:
     """Points: ``hi`` per unit of price for the special product, else ``lo``."""
     pts = F.when(F.col("product_name") == special, F.col("price") * hi).otherwise(F.col("price") * lo)
@@ -108,21 +117,21 @@ def points(sales: DataFrame, menu: DataFrame, special: str = SPECIAL_PRODUCT,
             .agg(F.sum(pts).alias("total_points")).orderBy("customer_id"))
 
 
-def first_week_points(sales: DataFrame, menu: DataFrame, members: DataFrame,
+def first_week_points(sales: DataFrame, menu: DataFrame | None, members: DataFrame,
                       special: str = SPECIAL_PRODUCT, days: int = FIRST_WEEK_DAYS,
                       cutoff: str = POINTS_CUTOFF, hi: int = SPECIAL_MULTIPLIER,
                       lo: int = BASE_MULTIPLIER) -> DataFrame:
     """Member points before ``cutoff``: ``hi`` for the special product or any
     order from the join day to ``days`` later (both ends included)."""
-    j = (sales.filter(F.col("order_date") < F.lit(cutoff).cast("date"))
-         .join(members, on="customer_id").join(menu, on="product_id"))
+    j = (_priced(sales, menu).filter(F.col("order_date") < F.lit(cutoff).cast("date"))
+         .join(members, on="customer_id"))
     bonus = (F.col("product_name") == special) | F.col("order_date").between(
         F.col("join_date"), F.date_add("join_date", days))
     pts = F.when(bonus, F.col("price") * hi).otherwise(F.col("price") * lo)
     return j.groupBy("customer_id").agg(F.sum(pts).alias("reward_points"))
 
 
-def membership_flag(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+def membership_flag(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """Every sale with ``Y`` when made on or after joining, else ``N``
     (non-members compare with NULL and get ``N``)."""
     j = _priced(sales, menu).join(members, on="customer_id", how="left")
@@ -131,7 +140,7 @@ def membership_flag(sales: DataFrame, menu: DataFrame, members: DataFrame) -> Da
                     flag.alias("membership"))
 
 
-def member_ranking(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+def member_ranking(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """As ``membership_flag`` plus the dense rank of the order day among the
     customer's member days; NULL for non-member rows."""
     flagged = membership_flag(sales, menu, members)

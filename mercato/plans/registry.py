@@ -60,6 +60,10 @@ class Inputs:
     def sales(self) -> DataFrame:
         return self._kept("sales", self.fx.sales)
 
+    def priced_sales(self) -> DataFrame:
+        """The loyalty fact joined once with its menu (a denormalised star)."""
+        return self._kept("priced_sales", lambda: loyalty.priced_sales(self.sales(), self.fx.menu()))
+
     def orders(self) -> DataFrame:
         return self._kept("customer_orders_clean",
                           lambda: cleaning.clean_customer_orders(self.fx.customer_orders()))
@@ -89,6 +93,7 @@ class Inputs:
             for f in [pool.submit(b) for b in first]:
                 f.result()
         self.ratings()
+        self.priced_sales()
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,20 +108,21 @@ def _q(fn: Callable[[Inputs], DataFrame]) -> Query:
 
 def _loyalty() -> dict[str, Query]:
     L = loyalty
+    # Statements that begin with sales ⋈ menu read the priced fact (menu=None).
     return {
-        "diner_total_spend": _q(lambda i: L.total_spend(i.sales(), i.menu())),
+        "diner_total_spend": _q(lambda i: L.total_spend(i.priced_sales(), None)),
         "diner_visits": _q(lambda i: L.visits(i.sales())),
         "diner_first_item": _q(lambda i: L.first_item(i.sales(), i.menu())),
         "diner_top_item_by_customer": _q(lambda i: L.top_item_by_customer(i.sales(), i.menu())),
-        "diner_favourite_item": _q(lambda i: L.favourite_item(i.sales(), i.menu())),
-        "diner_first_after_join": _q(lambda i: L.first_after_join(i.sales(), i.menu(), i.members())),
-        "diner_last_before_join": _q(lambda i: L.last_before_join(i.sales(), i.menu(), i.members())),
-        "diner_before_join_totals": _q(lambda i: L.before_join_totals(i.sales(), i.menu(), i.members())),
-        "diner_points": _q(lambda i: L.points(i.sales(), i.menu(), special=SPECIAL_STAND_IN)),
+        "diner_favourite_item": _q(lambda i: L.favourite_item(i.priced_sales(), None)),
+        "diner_first_after_join": _q(lambda i: L.first_after_join(i.priced_sales(), None, i.members())),
+        "diner_last_before_join": _q(lambda i: L.last_before_join(i.priced_sales(), None, i.members())),
+        "diner_before_join_totals": _q(lambda i: L.before_join_totals(i.priced_sales(), None, i.members())),
+        "diner_points": _q(lambda i: L.points(i.priced_sales(), None, special=SPECIAL_STAND_IN)),
         "diner_first_week_points": _q(lambda i: L.first_week_points(
-            i.sales(), i.menu(), i.members(), special=SPECIAL_STAND_IN, cutoff=CUTOFF_STAND_IN)),
-        "diner_membership_flag": _q(lambda i: L.membership_flag(i.sales(), i.menu(), i.members())),
-        "diner_member_ranking": _q(lambda i: L.member_ranking(i.sales(), i.menu(), i.members())),
+            i.priced_sales(), None, i.members(), special=SPECIAL_STAND_IN, cutoff=CUTOFF_STAND_IN)),
+        "diner_membership_flag": _q(lambda i: L.membership_flag(i.priced_sales(), None, i.members())),
+        "diner_member_ranking": _q(lambda i: L.member_ranking(i.priced_sales(), None, i.members())),
     }
 
 

@@ -96,3 +96,21 @@ def test_membership_flag_and_ranking(diner):
     assert [r[3] for r in a] == [None, None, 1, 2, 3, 3]
     b = [r for r in rk if r[0] == "B"]
     assert [r[3] for r in b] == [None, None, None, 1, 2, 3]
+
+
+def test_priced_fact_path_equals_two_table_path(diner):
+    s, m, mem = diner
+    p = L.priced_sales(s, m)
+    pairs = [
+        (L.total_spend(s, m), L.total_spend(p, None)),
+        (L.favourite_item(s, m), L.favourite_item(p, None)),
+        (L.first_after_join(s, m, mem), L.first_after_join(p, None, mem)),
+        (L.last_before_join(s, m, mem), L.last_before_join(p, None, mem)),
+        (L.before_join_totals(s, m, mem), L.before_join_totals(p, None, mem)),
+        (L.points(s, m), L.points(p, None)),
+        (L.first_week_points(s, m, mem), L.first_week_points(p, None, mem)),
+        (L.membership_flag(s, m, mem), L.membership_flag(p, None, mem)),
+        (L.member_ranking(s, m, mem), L.member_ranking(p, None, mem)),
+    ]
+    for a, b in pairs:
+        assert rows(a) == rows(b)
