@@ -155,18 +155,19 @@ def _order_times(orders: DataFrame) -> DataFrame:
     return orders.groupBy("order_id", "order_time").agg(F.count("order_time").alias("n_pizza"))
 
 
-def _delivered_pickups(runs: DataFrame, key: str) -> DataFrame:
-    return (_delivered_by_distance(runs).groupBy(F.col(key).alias("order_id"), "pickup_time")
+def _delivered_pickups(runs: DataFrame, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    return (_delivered_by_distance(runs).groupBy(F.col(key).alias("order_id"), "pickup_time", *carry)
             .agg(F.count(F.lit(1)).alias("n_run")))
 
 
-def _pickup_times(orders: DataFrame, runs: DataFrame, run_key: str) -> DataFrame:
-    """One row per (order_id, order_time, pickup_time) of the join, with the
-    joined row count. Both sides are reduced to distinct pairs before the
-    shuffle; the pair join then yields each triple once."""
-    j = _order_times(orders).join(_delivered_pickups(runs, run_key), on="order_id")
+def _pickup_times(orders: DataFrame, runs: DataFrame, run_key: str,
+                  carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (order_id, order_time, pickup_time, *carry) of the join,
+    with the joined row count. Both sides are reduced to distinct tuples
+    before the shuffle; the join then yields each combination once."""
+    j = _order_times(orders).join(_delivered_pickups(runs, run_key, carry), on="order_id")
     return j.select(
-        "order_id", "order_time", "pickup_time",
+        "order_id", "order_time", "pickup_time", *carry,
         (F.col("n_pizza") * F.col("n_run")).alias("pizzas_ordered"),
         minute_boundaries("order_time", "pickup_time").cast("bigint").alias("time_taken"),
     )
@@ -181,9 +182,7 @@ def pickup_avg(orders: DataFrame, runs: DataFrame, min_minutes: int = MIN_PICKUP
 
 def pickup_avg_fixed(orders: DataFrame, runs: DataFrame, min_minutes: int = MIN_PICKUP_MINUTES) -> DataFrame:
     """Average minutes from order to pickup per runner (join on order_id)."""
-    runner = _delivered_by_distance(runs).select("order_id", "runner_id").distinct()
-    t = (_pickup_times(orders, runs, "order_id").filter(F.col("time_taken") > min_minutes)
-         .join(runner, on="order_id"))
+    t = _pickup_times(orders, runs, "order_id", carry=("runner_id",)).filter(F.col("time_taken") > min_minutes)
     return t.groupBy("runner_id").agg(F.avg("time_taken").alias("avg_time"))
 
 

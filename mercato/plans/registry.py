@@ -62,7 +62,7 @@ class Inputs:
 
     def priced_sales(self) -> DataFrame:
         """The loyalty fact joined once with its menu (a denormalised star)."""
-        return self._kept("priced_sales", lambda: loyalty.priced_sales(self.sales(), self.fx.menu()))
+        return self._kept("priced_sales", lambda: loyalty.priced_sales(self.fx.sales(), self.fx.menu()))
 
     def orders(self) -> DataFrame:
         return self._kept("customer_orders_clean",
@@ -88,12 +88,12 @@ class Inputs:
 
         Independent tables are written by concurrent jobs; ratings reads the
         cleaned orders and runs, so it goes last."""
-        first = (self.sales, self.orders, self.runs, self.customer_nodes, self.clean_sales)
+        first = (self.sales, self.priced_sales, self.orders, self.runs, self.customer_nodes,
+                 self.clean_sales)
         with ThreadPoolExecutor(max_workers=len(first)) as pool:
             for f in [pool.submit(b) for b in first]:
                 f.result()
         self.ratings()
-        self.priced_sales()
 
 
 Query = Callable[[SparkSession, str], DataFrame]
