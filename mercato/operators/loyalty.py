@@ -75,9 +75,10 @@ def top_item_by_customer(sales: DataFrame, menu: DataFrame, k: int = 1) -> DataF
 
 def favourite_item(sales: DataFrame, menu: DataFrame | None) -> DataFrame:
     """Most bought product name(s) per customer, ties kept."""
+    # ranked by count(product_name), reported as count(product_id), as written
     counts = _priced(sales, menu).groupBy("customer_id", "product_name").agg(
-        F.count("product_id").alias("order_count"))
-    return ties_at_max(counts, "customer_id", "order_count").select(
+        F.count("product_id").alias("order_count"), F.count("product_name").alias("_by_name"))
+    return ties_at_max(counts, "customer_id", "_by_name").select(
         "customer_id", "product_name", "order_count")
 
 
