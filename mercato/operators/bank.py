@@ -133,7 +133,8 @@ def _growth_share(balances: DataFrame, txns: DataFrame, threshold: int, absolute
     everyone = txns.agg(F.countDistinct("customer_id").alias("everyone"))
     # both sides are one-row aggregates
     return grown.crossJoin(F.broadcast(everyone)).select(
-        ((F.col("grown") * 100).cast("double") / F.col("everyone").cast("double")).alias("percentage_customer"))
+        ((F.col("grown") * 100).cast("double") / F.nullif(F.col("everyone"), F.lit(0)).cast("double"))
+        .alias("percentage_customer"))
 
 
 def growth_share(txns: DataFrame, threshold: int = GROWTH_THRESHOLD) -> DataFrame:

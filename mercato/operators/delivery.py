@@ -214,7 +214,8 @@ def duration_range(runs: DataFrame) -> DataFrame:
 
 def speed_per_delivery(runs: DataFrame) -> DataFrame:
     """``<km/h with 2 decimals>km/hr`` per runner and order."""
-    speed = F.avg(F.col("distance") * 60 / F.col("duration"))
+    # a zero duration gives no speed instead of failing the job (ANSI)
+    speed = F.avg(F.try_divide(F.col("distance") * 60, F.col("duration")))
     return (_delivered_by_distance(runs).groupBy("runner_id", "order_id")
             .agg(F.concat(F.round(speed, 2).cast("decimal(38,2)").cast("string"), F.lit("km/hr"))
                  .alias("avg_speed")))
@@ -300,7 +301,7 @@ def order_summary(orders: DataFrame, runs: DataFrame, ratings: DataFrame) -> Dat
         F.count("pizza_id").alias("n"))
     r = runs.select("order_id", "runner_id", "pickup_time", "duration", "distance")
     j = per_order.join(r, on="order_id").join(ratings.select("order_id", "rating"), on="order_id")
-    speed = 60 * F.col("distance") / F.col("duration")
+    speed = F.try_divide(60 * F.col("distance"), F.col("duration"))
     keys = ["customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time", "duration"]
     g = j.groupBy(*keys).agg(
         (F.sum(speed * F.col("n")) / F.sum(F.when(speed.isNotNull(), F.col("n")))).alias("_speed"),

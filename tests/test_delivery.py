@@ -147,3 +147,10 @@ def test_recipe(spark):
     names = spark.createDataFrame([(1, "Meatlovers"), (2, "Vegetarian")], "pizza_id long, pizza_name string")
     assert rows(P.recipe_toppings(rec, top, names)) == [
         ("Meatlovers", "BBQ Sauce"), ("Meatlovers", "Bacon"), ("Vegetarian", "Bacon")]
+
+
+def test_zero_duration_gives_no_speed_instead_of_error(spark):
+    runs = spark.createDataFrame([(1, 1, 10.0, 0), (2, 1, 10.0, 20)],
+                                 "order_id long, runner_id long, distance double, duration int")
+    got = dict(((r, o), s) for r, o, s in rows(P.speed_per_delivery(runs)))
+    assert got[(1, 1)] is None and got[(1, 2)] == "30.00km/hr"
