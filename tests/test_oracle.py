@@ -6,7 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from mercato.sources.tables import TABLES
-from tools.oracle_check import _rows
+from tools.oracle_check import _rows, _types
 
 SF = os.environ.get("MERCATO_TEST_SF", "/root/testdata/sf0.001")
 KEYS = sorted(queries())
@@ -38,5 +38,6 @@ def test_matches_oracle(spark, duck, key):
     res = duck.execute(oracle_sql()[key])
     dcols, drows = [d[0] for d in res.description], res.fetchall()
     assert sorted(scols) == sorted(dcols)
+    assert _types(sdf, duck, oracle_sql()[key]) == []
     assert len(srows) == len(drows)
     assert _rows(scols, srows, None) == _rows(dcols, drows, None)
