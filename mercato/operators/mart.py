@@ -116,7 +116,10 @@ def avg_transaction_size(clean: DataFrame) -> DataFrame:
 def baseline_week(clean: DataFrame, baseline: str = BASELINE_WEEK) -> DataFrame:
     """Distinct week number(s) of the baseline date: one row, or none when
     the date is absent (week_number is a function of week_date)."""
-    return (clean.filter(F.col("week_date") == F.lit(baseline).cast("date"))
+    day = F.lit(baseline).cast("date")
+    # calendar_year = year(week_date) in the clean table, so the extra
+    # predicate changes nothing but lets the scan read one year partition.
+    return (clean.filter((F.col("week_date") == day) & (F.col("calendar_year") == F.year(day)))
             .select(F.col("week_number").alias("_base_week")).distinct())
 
 
