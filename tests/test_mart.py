@@ -72,3 +72,15 @@ def test_exploration(clean):
 def test_missing_weeks_ignores_null(spark, clean):
     with_null = clean.unionByName(clean.limit(1).withColumn("week_number", clean.week_number * None))
     assert M.missing_weeks(with_null).count() == M.missing_weeks(clean).count()
+
+
+def test_cuts_in_one_pass_equal_separate_statements(clean):
+    dims = ["region", "platform", "age_band", "demographic", "customer_type"]
+    one = rows(M.before_after_cuts(clean, 12, dims))
+    sep = []
+    for d in dims:
+        for r in M.before_after(clean, 12, by=[d]).collect():
+            sep.append((d, r[d], r.before_changes, r.after_changes, r.pct_change))
+    assert one == sorted(sep)
+    plan = M.before_after_cuts(clean, 12, dims)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan
