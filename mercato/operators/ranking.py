@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.session import shared_dir
+
 
 def _cols(cols) -> list[str]:
     if cols is None:
@@ -79,18 +81,36 @@ def rank_distinct(df: DataFrame, keys: Sequence[str] | str, order: str, name: st
 def next_in_order(df: DataFrame, key: str, t: str, tie: str, name: str) -> DataFrame:
     """Add ``lead(t) over (partition by key order by t, tie)`` as ``name``.
 
-    Rows of one key and one ``t`` are consecutive; all but the one with the
-    largest ``tie`` are followed by the same ``t``. The last one is followed by
-    the next distinct ``t`` of the key, found by a window over distinct
-    (key, t) pairs only. ``tie`` must be unique within (key, t).
+    No window is partitioned by ``key``, so a key with a third of all rows is
+    still spread over many tasks:
+
+    1. sort globally by (key, t, tie): range partitioning splits a hot key;
+    2. number rows with ``monotonically_increasing_id`` right after the sort,
+       which is consecutive within a task (partition index in the high bits);
+    3. a row's successor is id + 1, or, for the last row of a task, the first
+       id of the next non-empty task (a table of one row per partition, so its
+       broadcast is bounded by the partition count);
+    4. join each row to its successor by id (unique keys, no skew) and take
+       the successor's ``t`` when it has the same ``key``.
+
+    (key, t, tie) must be unique. The numbered rows are checkpointed (a job
+    runs when this is called), so every branch sees the same ids.
     """
-    last_tie, nxt = "__last_tie", "__next_t"
-    days = df.groupBy(key, t).agg(F.max(tie).alias(last_tie))
-    days = days.withColumn(nxt, F.lead(t).over(Window.partitionBy(key).orderBy(t)))
-    out = df.join(days, on=[key, t], how="inner")
-    return out.withColumn(
-        name, F.when(F.col(tie) < F.col(last_tie), F.col(t)).otherwise(F.col(nxt))
-    ).drop(last_tie, nxt)
+    rid, nid, part = "__rid", "__nid", "__part"
+    ordered = df.orderBy(key, t, tie).withColumn(rid, F.monotonically_increasing_id())
+    ordered = ordered.withColumn(part, F.shiftright(F.col(rid), 33))
+    # The ids are read by three branches below; a reliable checkpoint (in the
+    # shared spark.checkpoint.dir) fixes them once and cuts the lineage.
+    shared_dir(df.sparkSession)
+    ordered = ordered.checkpoint(eager=True)
+    bounds = ordered.groupBy(part).agg(F.min(rid).alias("__first"), F.max(rid).alias("__last"))
+    bounds = bounds.withColumn("__next_first", F.lead("__first").over(Window.orderBy(part)))
+    linked = ordered.join(F.broadcast(bounds), on=part).withColumn(
+        nid, F.when(F.col(rid) < F.col("__last"), F.col(rid) + 1).otherwise(F.col("__next_first")))
+    succ = ordered.select(F.col(rid).alias(nid), F.col(key).alias("__succ_key"), F.col(t).alias("__succ_t"))
+    out = linked.join(succ, on=nid, how="left")
+    nxt = F.when(F.col("__succ_key") == F.col(key), F.col("__succ_t"))
+    return out.select(*df.columns, nxt.alias(name))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

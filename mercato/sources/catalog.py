@@ -9,16 +9,19 @@ executor costs a re-read of the written files, not a re-run of the joins.
 
 Tables are keyed by a fingerprint of the source files (path, size, mtime)
 and a layout version, so a changed source or layout gets a fresh table.
-A table is complete only when its ``_SUCCESS`` marker exists.
+A table is complete only when its ``_SUCCESS`` marker exists; its schema is
+kept next to it, so an existing table is opened without planning its builder.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from mercato.session import shared_dir
 
@@ -42,6 +45,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        reader.close()
+
+
 def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     h = hashlib.sha256(LAYOUT_VERSION.encode())
     for path in sorted(paths):
@@ -71,12 +96,16 @@ class Catalog:
             lock = _LOCKS.setdefault(key, threading.Lock())
         with lock:
             if key not in _OPENED:
-                df = build()
-                schema = df.schema  # keeps types and column order on read
-                if not _exists(self.spark, f"{path}/_SUCCESS"):
+                schema_file = f"{path}/_mercato_schema.json"
+                if _exists(self.spark, f"{path}/_SUCCESS") and _exists(self.spark, schema_file):
+                    schema = StructType.fromJson(json.loads(_read_text(self.spark, schema_file)))
+                else:
+                    df = build()
+                    schema = df.schema  # keeps types and column order on read
                     w = df.write.mode("overwrite")
                     if partition_by:
                         w = w.partitionBy(*partition_by)
                     w.parquet(path)
+                    _write_text(self.spark, schema_file, schema.json())
                 _OPENED[key] = self.spark.read.schema(schema).parquet(path).select(*schema.names)
             return _OPENED[key]

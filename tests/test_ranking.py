@@ -42,3 +42,11 @@ def test_next_in_order_matches_lead(spark):
     df = _data(spark)
     ref = df.withColumn("nx", F.lead("t").over(Window.partitionBy("k").orderBy("t", "o")))
     assert rows(next_in_order(df, "k", "t", "o", "nx"), *ref.columns) == rows(ref)
+
+
+def test_next_in_order_fine_grained_hot_key(spark):
+    rnd = random.Random(11)
+    data = [(0 if i % 3 == 0 else rnd.randint(1, 30), rnd.randint(0, 10**6), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k long, t long, o long").repartition(7)
+    ref = df.withColumn("nx", F.lead("t").over(Window.partitionBy("k").orderBy("t", "o")))
+    assert rows(next_in_order(df, "k", "t", "o", "nx"), *ref.columns) == rows(ref)
