@@ -145,7 +145,8 @@ def member_ranking(sales: DataFrame, menu: DataFrame | None, members: DataFrame)
     """As ``membership_flag`` plus the dense rank of the order day among the
     customer's member days; NULL for non-member rows."""
     flagged = membership_flag(sales, menu, members)
-    member_days = flagged.filter(F.col("membership") == "Y").select("customer_id", "order_date")
+    # 'Y' rows are exactly the inner-join rows on or after the join day
+    member_days = _member_sales(sales, menu, members, after=True).select("customer_id", "order_date")
     ranks = rank_distinct(member_days, "customer_id", "order_date", "ranking")
     return (flagged.join(ranks.withColumn("membership", F.lit("Y")),
                          on=["customer_id", "order_date", "membership"], how="left")
