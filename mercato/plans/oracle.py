@@ -2,7 +2,8 @@
 
 Each statement derives the case-study inputs from the driver tables with
 its own SQL (the same rules as ``sources.fixtures``), then answers the
-question in the style of the case study's SQL. Views ``region nation
+question in its own DuckDB formulation (QUALIFY, FILTER and HAVING clauses,
+USING and ANTI joins), independent of the Spark operators. Views ``region nation
 customer supplier part orders lineitem`` are expected to exist.
 
 Comparison rules: integer results are BIGINT (DuckDB sums are HUGEINT),
@@ -141,315 +142,292 @@ def _sql(body: str, ctes: str = "") -> str:
 
 
 # ---- loyalty -----------------------------------------------------------------------------
-_member_flag = """
-nt AS (
-  SELECT s.customer_id, s.order_date, m1.product_name, m1.price,
-    CASE WHEN s.order_date >= m2.join_date THEN 'Y' ELSE 'N' END AS membership
-  FROM sales s JOIN menu m1 ON s.product_id = m1.product_id
-  LEFT JOIN members m2 ON s.customer_id = m2.customer_id)"""
+_flags = """
+flagged AS (
+  SELECT customer_id, order_date, product_name, price,
+    CASE WHEN coalesce(order_date >= join_date, false) THEN 'Y' ELSE 'N' END AS membership
+  FROM sales JOIN menu USING (product_id) LEFT JOIN members USING (customer_id))"""
 
 LOYALTY = {
     "diner_total_spend": _sql("""
-SELECT s.customer_id, CAST(SUM(m.price) AS BIGINT) AS total_amount
-FROM sales s JOIN menu m ON s.product_id = m.product_id GROUP BY s.customer_id"""),
+SELECT customer_id, CAST(sum(price) AS BIGINT) AS total_amount
+FROM sales JOIN menu USING (product_id) GROUP BY customer_id"""),
     "diner_visits": _sql("""
-SELECT customer_id, COUNT(DISTINCT order_date) AS visits FROM sales GROUP BY customer_id"""),
+SELECT customer_id, count(DISTINCT order_date) AS visits FROM sales GROUP BY customer_id"""),
     "diner_first_item": _sql("""
-SELECT f.customer_id, m.product_name AS first_product
-FROM fi f JOIN menu m ON f.product_id = m.product_id WHERE rn = 1""", """
-fi AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY order_date, product_id) AS rn FROM sales)"""),
+SELECT customer_id, product_name AS first_product
+FROM (SELECT customer_id, product_id FROM sales
+      QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_date, product_id) = 1) f
+JOIN menu USING (product_id)"""),
     "diner_top_item_by_customer": _sql("""
-SELECT pp.customer_id, m.product_name, pp.purchase_count
-FROM pp JOIN menu m ON pp.product_id = m.product_id""", """
-pi AS (SELECT m.product_id FROM sales s JOIN menu m ON s.product_id = m.product_id
-       GROUP BY m.product_id ORDER BY COUNT(*) DESC, m.product_id LIMIT 1),
-pp AS (SELECT customer_id, product_id, COUNT(*) AS purchase_count FROM sales
-       WHERE product_id IN (SELECT product_id FROM pi) GROUP BY customer_id, product_id)"""),
+SELECT customer_id, product_name, count(*) AS purchase_count
+FROM sales JOIN best USING (product_id) JOIN menu USING (product_id)
+GROUP BY customer_id, product_name""", """
+best AS (SELECT product_id FROM sales JOIN menu USING (product_id)
+         GROUP BY product_id ORDER BY count(*) DESC, product_id LIMIT 1)"""),
     "diner_favourite_item": _sql("""
-SELECT customer_id, product_name, order_count FROM (
-  SELECT s.customer_id, m.product_name, COUNT(m.product_id) AS order_count,
-    RANK() OVER (PARTITION BY s.customer_id ORDER BY COUNT(m.product_name) DESC) AS rn
-  FROM sales s JOIN menu m ON s.product_id = m.product_id
-  GROUP BY s.customer_id, m.product_name) ab WHERE rn = 1"""),
+SELECT customer_id, product_name, count(product_id) AS order_count
+FROM sales JOIN menu USING (product_id)
+GROUP BY customer_id, product_name
+QUALIFY rank() OVER (PARTITION BY customer_id ORDER BY count(product_name) DESC) = 1"""),
     "diner_first_after_join": _sql("""
-SELECT customer_id, join_date, order_date, product_name FROM (
-  SELECT s.customer_id, mm.join_date, s.order_date, m1.product_name,
-    ROW_NUMBER() OVER (PARTITION BY s.customer_id ORDER BY s.order_date, s.product_id) AS rn
-  FROM menu m1 JOIN sales s ON s.product_id = m1.product_id
-  JOIN members mm ON s.customer_id = mm.customer_id AND s.order_date >= mm.join_date) f WHERE rn = 1"""),
+SELECT customer_id, join_date, order_date, product_name
+FROM sales JOIN members USING (customer_id) JOIN menu USING (product_id)
+WHERE order_date >= join_date
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_date, product_id) = 1"""),
     "diner_last_before_join": _sql("""
-SELECT customer_id, join_date, order_date, product_name FROM (
-  SELECT s.customer_id, mm.join_date, s.order_date, m1.product_name,
-    DENSE_RANK() OVER (PARTITION BY s.customer_id ORDER BY s.order_date DESC) AS rn
-  FROM menu m1 JOIN sales s ON s.product_id = m1.product_id
-  JOIN members mm ON s.customer_id = mm.customer_id AND s.order_date < mm.join_date) j WHERE rn = 1"""),
+SELECT customer_id, join_date, order_date, product_name
+FROM sales JOIN members USING (customer_id) JOIN menu USING (product_id)
+WHERE order_date < join_date
+QUALIFY order_date = max(order_date) OVER (PARTITION BY customer_id)"""),
     "diner_before_join_totals": _sql("""
-SELECT s.customer_id, COUNT(s.product_id) AS total_item, CAST(SUM(m1.price) AS BIGINT) AS total_amount
-FROM menu m1 JOIN sales s ON s.product_id = m1.product_id
-JOIN members mm ON s.customer_id = mm.customer_id AND s.order_date < mm.join_date
-GROUP BY s.customer_id"""),
+SELECT customer_id, count(product_id) AS total_item, CAST(sum(price) AS BIGINT) AS total_amount
+FROM sales JOIN members USING (customer_id) JOIN menu USING (product_id)
+WHERE order_date < join_date GROUP BY customer_id"""),
     "diner_points": _sql(f"""
-SELECT customer_id, CAST(SUM(points) AS BIGINT) AS total_points FROM (
-  SELECT s.customer_id, CASE WHEN m1.product_name = '{SPECIAL}' THEN m1.price * 20 ELSE m1.price * 10 END AS points
-  FROM sales s JOIN menu m1 ON s.product_id = m1.product_id) a GROUP BY customer_id"""),
+SELECT customer_id, CAST(sum(price * if(product_name = '{SPECIAL}', 20, 10)) AS BIGINT) AS total_points
+FROM sales JOIN menu USING (product_id) GROUP BY customer_id"""),
     "diner_first_week_points": _sql(f"""
-SELECT customer_id, CAST(SUM(reward_point) AS BIGINT) AS reward_points FROM (
-  SELECT s.customer_id,
-    CASE WHEN m1.product_name = '{SPECIAL}' OR s.order_date BETWEEN md.join_date AND md.next_week
-         THEN m1.price * 20 ELSE m1.price * 10 END AS reward_point
-  FROM sales s JOIN md ON s.customer_id = md.customer_id
-  JOIN menu m1 ON m1.product_id = s.product_id
-  WHERE s.order_date < DATE '{CUTOFF}') t GROUP BY customer_id""", """
-md AS (SELECT *, CAST(join_date + INTERVAL 6 DAY AS DATE) AS next_week FROM members)"""),
-    "diner_membership_flag": _sql("SELECT * FROM nt", _member_flag),
+SELECT customer_id,
+  CAST(sum(price * if(product_name = '{SPECIAL}' OR date_diff('day', join_date, order_date) BETWEEN 0 AND 6, 20, 10))
+       AS BIGINT) AS reward_points
+FROM sales JOIN members USING (customer_id) JOIN menu USING (product_id)
+WHERE order_date < DATE '{CUTOFF}' GROUP BY customer_id"""),
+    "diner_membership_flag": _sql("SELECT * FROM flagged", _flags),
     "diner_member_ranking": _sql("""
-SELECT *, CAST(CASE WHEN membership = 'Y'
-  THEN DENSE_RANK() OVER (PARTITION BY customer_id, membership ORDER BY order_date) ELSE NULL END AS BIGINT) AS ranking
-FROM nt""", _member_flag),
+SELECT customer_id, order_date, product_name, price, membership,
+  CAST(if(membership = 'Y', dense_rank() OVER (PARTITION BY customer_id, membership ORDER BY order_date), NULL)
+       AS BIGINT) AS ranking
+FROM flagged""", _flags),
 }
 
 # ---- delivery -------------------------------------------------------------------------------
-_pickup = """
-SELECT c.order_time, r.pickup_time, c.order_id, {extra}
-  date_diff('minute', c.order_time, r.pickup_time) AS time_taken
-FROM co c JOIN ro r ON c.order_id = r.{key}
-WHERE r.distance != 0
-GROUP BY c.order_id, c.order_time, r.pickup_time{group}"""
+_DELIVERED = "ro.distance <> 0"
+
+
+def _pickup_minutes(key: str, extra: str = "") -> str:
+    """Distinct (order, order time, pickup time) of the pizza/run join, with minutes."""
+    return f"""
+SELECT co.order_id, co.order_time, ro.pickup_time, {extra}
+  count(co.order_time) AS n, date_diff('minute', co.order_time, ro.pickup_time) AS mins
+FROM co JOIN ro ON co.order_id = ro.{key}
+WHERE {_DELIVERED}
+GROUP BY ALL"""
+
 
 DELIVERY = {
     "pizza_clean_orders": _sql("SELECT * FROM co"),
     "pizza_clean_runs": _sql("SELECT * FROM ro"),
-    "pizza_a1_count": _sql("SELECT COUNT(*) AS pizza_orders_count FROM co"),
-    "pizza_a2_orders": _sql("SELECT COUNT(DISTINCT order_id) AS unique_order FROM co"),
+    "pizza_a1_count": _sql("SELECT count(*) AS pizza_orders_count FROM co"),
+    "pizza_a2_orders": _sql("SELECT count(DISTINCT order_id) AS unique_order FROM co"),
     "pizza_a3_success": _sql("""
-SELECT runner_id, COUNT(order_id) AS success_orders FROM ro WHERE distance != 0 GROUP BY runner_id"""),
-    "pizza_a4_by_type": _sql("""
-SELECT left(p.pizza_name, 15) AS pizza_name, COUNT(c.pizza_id) AS total_pizza_order
-FROM co c JOIN ro r ON c.order_id = r.order_id JOIN pizza_names p ON c.pizza_id = p.pizza_id
-WHERE r.distance != 0 GROUP BY left(p.pizza_name, 15)"""),
+SELECT runner_id, CAST(count_if(distance <> 0) AS BIGINT) AS success_orders
+FROM ro GROUP BY runner_id HAVING count_if(distance <> 0) > 0"""),
+    "pizza_a4_by_type": _sql(f"""
+SELECT left(pizza_name, 15) AS pizza_name, count(*) AS total_pizza_order
+FROM co JOIN ro USING (order_id) JOIN pizza_names USING (pizza_id)
+WHERE {_DELIVERED} GROUP BY 1"""),
     "pizza_a5_pivot": _sql(f"""
-SELECT c.customer_id,
-  COUNT(CASE WHEN pizza_name COLLATE NOCASE = '{VEG}' THEN 1 END) AS vegetarian_count,
-  COUNT(CASE WHEN pizza_name COLLATE NOCASE = '{MEAT}' THEN 1 END) AS meatlovers_count
-FROM co c JOIN pizza_names p ON c.pizza_id = p.pizza_id GROUP BY c.customer_id"""),
+SELECT customer_id,
+  count(*) FILTER (WHERE pizza_name ILIKE '{VEG}') AS vegetarian_count,
+  count(*) FILTER (WHERE pizza_name ILIKE '{MEAT}') AS meatlovers_count
+FROM co JOIN pizza_names USING (pizza_id) GROUP BY customer_id"""),
     "pizza_a6_max_order": _sql("""
-SELECT order_id, total_pizza FROM (
-  SELECT order_id, total_pizza, RANK() OVER (ORDER BY total_pizza DESC) AS rnk FROM pc) a WHERE rnk = 1""", """
-pc AS (SELECT order_id, COUNT(pizza_id) AS total_pizza FROM co GROUP BY order_id)"""),
+SELECT order_id, count(pizza_id) AS total_pizza FROM co GROUP BY order_id
+QUALIFY total_pizza = max(total_pizza) OVER ()"""),
     "pizza_a7_changes": _sql("""
 SELECT customer_id,
-  COUNT(CASE WHEN exclusions <> '' OR extras <> '' THEN 1 END) AS changes,
-  COUNT(CASE WHEN exclusions = '' AND extras = '' THEN 1 END) AS no_changes
+  count(*) FILTER (WHERE exclusions <> '' OR extras <> '') AS changes,
+  count(*) FILTER (WHERE exclusions = '' AND extras = '') AS no_changes
 FROM co GROUP BY customer_id"""),
     "pizza_a8_both": _sql("""
-SELECT COUNT(*) AS new_pizza FROM co c JOIN ro r ON c.order_id = r.order_id
-WHERE c.exclusions <> '' AND c.extras <> '' AND r.cancellation IS NULL"""),
+SELECT count(*) AS new_pizza FROM co JOIN ro USING (order_id)
+WHERE exclusions <> '' AND extras <> '' AND cancellation IS NULL"""),
     "pizza_a8_both_fixed": _sql("""
-SELECT COUNT(*) AS new_pizza FROM co c JOIN ro r ON c.order_id = r.order_id
-WHERE c.exclusions <> '' AND c.extras <> '' AND r.is_delivered"""),
+SELECT count(*) AS new_pizza FROM co JOIN ro USING (order_id)
+WHERE exclusions <> '' AND extras <> '' AND is_delivered"""),
     "pizza_a9_hourly": _sql("""
-SELECT CAST(hour(order_time) AS BIGINT) AS hour_of_day, COUNT(order_id) AS pizza_count
-FROM co GROUP BY hour(order_time)"""),
+SELECT CAST(extract(hour FROM order_time) AS BIGINT) AS hour_of_day, count(order_id) AS pizza_count
+FROM co GROUP BY 1"""),
     "pizza_a10_weekday": _sql("""
-SELECT dayname(order_time + INTERVAL 2 DAY) AS day_of_week, COUNT(order_id) AS total_pizzas_ordered
-FROM co GROUP BY dayname(order_time + INTERVAL 2 DAY)"""),
+SELECT strftime(order_time + INTERVAL 2 DAY, '%A') AS day_of_week, count(order_id) AS total_pizzas_ordered
+FROM co GROUP BY 1"""),
     "pizza_a10_weekday_fixed": _sql("""
-SELECT dayname(order_time) AS day_of_week, COUNT(order_id) AS total_pizzas_ordered
-FROM co GROUP BY dayname(order_time)"""),
+SELECT strftime(order_time, '%A') AS day_of_week, count(order_id) AS total_pizzas_ordered
+FROM co GROUP BY 1"""),
+    # %U numbers Sunday-started weeks from 0 before the first Sunday; week 1
+    # must hold January 1, so years not starting on a Sunday are shifted by one.
     "pizza_b1_signups": _sql("""
-SELECT CAST((dayofyear(registration_date) - 1 + dayofweek(date_trunc('year', registration_date))) // 7 + 1 AS BIGINT)
-         AS registration_week,
-       COUNT(runner_id) AS no_of_runners
+SELECT CAST(CAST(strftime(registration_date, '%U') AS INTEGER)
+            + if(dayofweek(date_trunc('year', registration_date)) = 0, 0, 1) AS BIGINT) AS registration_week,
+       count(runner_id) AS no_of_runners
 FROM runners GROUP BY 1"""),
-    "pizza_b2_pickup_avg": _sql("SELECT AVG(time_taken) AS avg_time FROM ppt WHERE time_taken > 1",
-                                "ppt AS (" + _pickup.format(extra="", key="runner_id", group="") + ")"),
+    "pizza_b2_pickup_avg": _sql("SELECT avg(mins) AS avg_time FROM p WHERE mins > 1",
+                                "p AS (" + _pickup_minutes("runner_id") + ")"),
     "pizza_b2_pickup_avg_fixed": _sql(
-        "SELECT runner_id, AVG(time_taken) AS avg_time FROM ppt WHERE time_taken > 1 GROUP BY runner_id",
-        "ppt AS (" + _pickup.format(extra="r.runner_id,", key="order_id", group=", r.runner_id") + ")"),
-    "pizza_b3_prep_vs_size": _sql("""
-SELECT pizzas_ordered, AVG(time_taken) AS avg_time FROM pt WHERE time_taken > 1 GROUP BY pizzas_ordered""",
-                                  "pt AS (" + _pickup.format(extra="COUNT(c.order_time) AS pizzas_ordered,",
-                                                             key="runner_id", group="") + ")"),
-    "pizza_b3_prep_vs_size_fixed": _sql("""
-SELECT pizzas_ordered, AVG(time_taken) AS avg_time FROM pt WHERE time_taken > 1 GROUP BY pizzas_ordered""",
-                                        "pt AS (" + _pickup.format(extra="COUNT(c.order_time) AS pizzas_ordered,",
-                                                                   key="order_id", group="") + ")"),
-    "pizza_b4_distance": _sql("""
-SELECT c.customer_id, AVG(r.distance) AS distance
-FROM co c JOIN ro r ON c.order_id = r.order_id WHERE r.distance != 0 GROUP BY c.customer_id"""),
+        "SELECT runner_id, avg(mins) AS avg_time FROM p WHERE mins > 1 GROUP BY runner_id",
+        "p AS (" + _pickup_minutes("order_id", "ro.runner_id,") + ")"),
+    "pizza_b3_prep_vs_size": _sql(
+        "SELECT n AS pizzas_ordered, avg(mins) AS avg_time FROM p WHERE mins > 1 GROUP BY n",
+        "p AS (" + _pickup_minutes("runner_id") + ")"),
+    "pizza_b3_prep_vs_size_fixed": _sql(
+        "SELECT n AS pizzas_ordered, avg(mins) AS avg_time FROM p WHERE mins > 1 GROUP BY n",
+        "p AS (" + _pickup_minutes("order_id") + ")"),
+    "pizza_b4_distance": _sql(f"""
+SELECT customer_id, avg(distance) AS distance FROM co JOIN ro USING (order_id)
+WHERE {_DELIVERED} GROUP BY customer_id"""),
     "pizza_b5_range": _sql("""
-SELECT CAST(MAX(duration) - MIN(duration) AS BIGINT) AS time_diff FROM ro WHERE duration > 0"""),
+SELECT CAST(max(duration) - min(duration) AS BIGINT) AS time_diff FROM ro WHERE duration > 0"""),
     "pizza_b6_speed": _sql("""
-SELECT runner_id, order_id,
-  CAST(CAST(round(AVG((distance * 60) / duration), 2) AS DECIMAL(38, 2)) AS VARCHAR) || 'km/hr' AS avg_speed
-FROM ro WHERE distance != 0 GROUP BY runner_id, order_id"""),
+SELECT runner_id, order_id, printf('%.2fkm/hr', round(avg(60 * distance / duration), 2)) AS avg_speed
+FROM ro WHERE distance <> 0 GROUP BY runner_id, order_id"""),
     "pizza_b7_success_pct": _sql("""
-SELECT runner_id,
-  CAST((100 * SUM(CASE WHEN COALESCE(distance, 0) = 0 THEN 0 ELSE 1 END)) // COUNT(*) AS BIGINT) AS success_percent
+SELECT runner_id, CAST(100 * count_if(coalesce(distance, 0) <> 0) // count(*) AS BIGINT) AS success_percent
 FROM ro GROUP BY runner_id"""),
     "pizza_b7_success_pct_fixed": _sql("""
-SELECT runner_id,
-  round(100.0 * SUM(CASE WHEN COALESCE(distance, 0) = 0 THEN 0 ELSE 1 END) / COUNT(*), 0) AS success_percent
+SELECT runner_id, round(100.0 * count_if(coalesce(distance, 0) <> 0) / count(*)) AS success_percent
 FROM ro GROUP BY runner_id"""),
     "pizza_c1_recipe": _sql("""
-SELECT left(pn.pizza_name, 15) AS pizza_name, left(pt.topping_name, 15) AS topping_name
-FROM pizza_recipes tpr JOIN pizza_toppings pt ON pt.topping_id = tpr.toppings
-JOIN pizza_names pn ON pn.pizza_id = tpr.pizza_id"""),
-    "pizza_d1_revenue": _sql("""
-SELECT CAST(SUM(CASE WHEN c.pizza_id = 1 THEN 12 ELSE 10 END) AS BIGINT) AS amount
-FROM co c JOIN ro r ON c.order_id = r.order_id WHERE r.distance != 0"""),
-    "pizza_d2_revenue_extras": _sql("""
-SELECT '$' || CAST(CAST(amount + extra_amt AS BIGINT) AS VARCHAR) AS total FROM t""", """
-t AS (SELECT SUM(CASE WHEN c.pizza_id = 1 THEN 12 ELSE 10 END) AS amount,
-             SUM(CASE WHEN c.extras != '' THEN 1 ELSE 0 END) AS extra_amt
-      FROM co c JOIN ro r ON c.order_id = r.order_id WHERE r.distance != 0)"""),
+SELECT left(pizza_name, 15) AS pizza_name, left(topping_name, 15) AS topping_name
+FROM pizza_recipes JOIN pizza_toppings ON topping_id = toppings JOIN pizza_names USING (pizza_id)"""),
+    "pizza_d1_revenue": _sql(f"""
+SELECT CAST(sum(if(pizza_id = 1, 12, 10)) AS BIGINT) AS amount
+FROM co JOIN ro USING (order_id) WHERE {_DELIVERED}"""),
+    "pizza_d2_revenue_extras": _sql(f"""
+SELECT printf('$%d', CAST(sum(if(pizza_id = 1, 12, 10)) + count_if(extras <> '') AS BIGINT)) AS total
+FROM co JOIN ro USING (order_id) WHERE {_DELIVERED}"""),
     "pizza_d3_ratings": _sql("SELECT * FROM ratings"),
     "pizza_d4_order_summary": _sql("""
 SELECT co.customer_id, co.order_id, ro.runner_id, rt.rating, co.order_time, ro.pickup_time,
   date_diff('minute', co.order_time, ro.pickup_time) AS time_order_pickup, ro.duration,
-  round(AVG(60 * ro.distance / ro.duration), 1) AS avg_speed, COUNT(co.pizza_id) AS num_pizza
-FROM co JOIN ro ON co.order_id = ro.order_id JOIN ratings rt ON co.order_id = rt.order_id
-GROUP BY co.customer_id, co.order_id, ro.runner_id, rt.rating, co.order_time, ro.pickup_time, ro.duration"""),
-    "pizza_d5_profit": _sql("""
-SELECT '$' || CAST(CAST(round(amount - dist_price, 2) AS DECIMAL(38, 2)) AS VARCHAR) AS total_price FROM t""", """
-t AS (SELECT SUM(CASE WHEN c.pizza_id = 1 THEN 12 ELSE 10 END) AS amount, SUM(r.distance) * 0.30 AS dist_price
-      FROM co c JOIN ro r ON c.order_id = r.order_id WHERE r.distance != 0)"""),
+  round(avg(60 * ro.distance / ro.duration), 1) AS avg_speed, count(co.pizza_id) AS num_pizza
+FROM co JOIN ro ON co.order_id = ro.order_id JOIN ratings rt ON rt.order_id = co.order_id
+GROUP BY ALL"""),
+    "pizza_d5_profit": _sql(f"""
+SELECT '$' || CAST(round(sum(if(pizza_id = 1, 12, 10)) - 0.30 * sum(distance), 2) AS DECIMAL(38, 2))
+  AS total_price
+FROM co JOIN ro USING (order_id) WHERE {_DELIVERED}"""),
     "pizza_d5_profit_fixed": _sql("""
-SELECT '$' || CAST(CAST(round(SUM(p.amount) - SUM(r.distance) * 0.30, 2) AS DECIMAL(38, 2)) AS VARCHAR) AS total_price
-FROM po p JOIN ro r ON p.order_id = r.order_id WHERE r.distance != 0""", """
-po AS (SELECT order_id, SUM(CASE WHEN pizza_id = 1 THEN 12 ELSE 10 END) AS amount FROM co GROUP BY order_id)"""),
+SELECT '$' || CAST(round(sum(rev) - 0.30 * sum(distance), 2) AS DECIMAL(38, 2)) AS total_price
+FROM (SELECT order_id, sum(if(pizza_id = 1, 12, 10)) AS rev FROM co GROUP BY order_id) o
+JOIN ro USING (order_id) WHERE distance <> 0"""),
 }
 
 # ---- bank -------------------------------------------------------------------------------------
-_net = """
-amt AS (
-  SELECT customer_id, month(txn_date) AS month,
-    SUM(CASE WHEN txn_type = 'deposit' THEN txn_amount ELSE -txn_amount END) AS amount
-  FROM customer_transactions GROUP BY customer_id, month(txn_date))"""
+_monthly = """
+monthly AS (
+  SELECT customer_id, CAST(month(txn_date) AS BIGINT) AS month,
+    sum(if(txn_type = 'deposit', txn_amount, -txn_amount)) AS net
+  FROM customer_transactions GROUP BY ALL)"""
+
+
+def _growth(balance: str, denom: str) -> str:
+    return _sql(f"""
+SELECT 100 * count(DISTINCT customer_id) FILTER (WHERE pct > 5)
+       / (SELECT count(DISTINCT customer_id) FROM customer_transactions)::DOUBLE AS percentage_customer
+FROM (SELECT customer_id,
+        100 * (bal - lag(bal) OVER w) / nullif({denom}, 0) AS pct
+      FROM (SELECT customer_id, month, {balance} AS bal FROM monthly) b
+      WINDOW w AS (PARTITION BY customer_id ORDER BY month)) g""", _monthly)
 
-_growth = """
-SELECT 100 * COUNT(DISTINCT customer_id) / (SELECT COUNT(DISTINCT customer_id) FROM customer_transactions)::DOUBLE
-  AS percentage_customer
-FROM pi WHERE percentage_increase > 5"""
 
 BANK = {
-    "bank_a1_nodes": _sql("SELECT COUNT(DISTINCT node_id) AS nodes FROM customer_nodes"),
+    "bank_a1_nodes": _sql("SELECT count(DISTINCT node_id) AS nodes FROM customer_nodes"),
     "bank_a2_nodes_by_region": _sql("""
-SELECT r.region_name, COUNT(DISTINCT c.node_id) AS no_of_nodes
-FROM customer_nodes c JOIN regions r ON r.region_id = c.region_id GROUP BY r.region_name"""),
+SELECT region_name, count(DISTINCT node_id) AS no_of_nodes
+FROM customer_nodes JOIN regions USING (region_id) GROUP BY region_name"""),
     "bank_a3_customers_by_region": _sql("""
-SELECT r.region_name, COUNT(DISTINCT c.customer_id) AS no_of_customers
-FROM customer_nodes c JOIN regions r ON r.region_id = c.region_id GROUP BY r.region_name"""),
+SELECT region_name, count(DISTINCT customer_id) AS no_of_customers
+FROM customer_nodes JOIN regions USING (region_id) GROUP BY region_name"""),
     "bank_a4_realloc_days": _sql("""
-SELECT round(AVG(end_date - start_date)) AS reallocation_avg_time
+SELECT round(avg(date_diff('day', start_date, end_date))) AS reallocation_avg_time
 FROM customer_nodes WHERE end_date <> DATE '9999-12-31'"""),
     "bank_a5_realloc_percentiles": _sql("""
-SELECT region_name,
-  round(quantile_cont(reallocation_days, 0.5), 4) AS median,
-  round(quantile_cont(reallocation_days, 0.8), 4) AS percentile_80th,
-  round(quantile_cont(reallocation_days, 0.95), 4) AS percentile_95th
-FROM rc GROUP BY region_name""", """
-rc AS (SELECT region_name, end_date - start_date AS reallocation_days
-       FROM regions r JOIN customer_nodes cn ON r.region_id = cn.region_id
-       WHERE end_date <> DATE '9999-12-31')"""),
+SELECT region_name, round(q[1], 4) AS median, round(q[2], 4) AS percentile_80th, round(q[3], 4) AS percentile_95th
+FROM (SELECT region_name, quantile_cont(date_diff('day', start_date, end_date), [0.5, 0.8, 0.95]) AS q
+      FROM customer_nodes JOIN regions USING (region_id)
+      WHERE end_date <> DATE '9999-12-31' GROUP BY region_name) t"""),
     "bank_b1_txn_totals": _sql("""
-SELECT txn_type, COUNT(txn_type) AS txn_type_count,
-  '$ ' || format('{:,}', CAST(SUM(txn_amount) AS BIGINT)) AS total_amount
+SELECT txn_type, count(txn_type) AS txn_type_count,
+  '$ ' || format('{:,}', CAST(sum(txn_amount) AS BIGINT)) AS total_amount
 FROM customer_transactions GROUP BY txn_type"""),
     "bank_b2_deposit_avg": _sql("""
-SELECT round(AVG(deposit_count)) AS deposit_count,
-  '$' || CAST(CAST(round(AVG(deposit_amt), 2) AS DECIMAL(38, 2)) AS VARCHAR) AS deposit_amt
-FROM ac""", """
-ac AS (SELECT customer_id, COUNT(txn_type) AS deposit_count, AVG(txn_amount) AS deposit_amt
-       FROM customer_transactions WHERE txn_type = 'deposit' GROUP BY customer_id)"""),
+SELECT round(avg(n)) AS deposit_count, '$' || CAST(round(avg(a), 2) AS DECIMAL(38, 2)) AS deposit_amt
+FROM (SELECT customer_id, count(*) AS n, avg(txn_amount) AS a FROM customer_transactions
+      WHERE txn_type = 'deposit' GROUP BY customer_id) d"""),
     "bank_b3_active_months": _sql("""
-SELECT month_name, COUNT(customer_id) AS customer_count FROM td
-WHERE deposit_count > 1 AND (withdrawal_count = 1 OR purchase_count = 1)
-GROUP BY month_name, months""", """
-td AS (SELECT customer_id, month(txn_date) AS months, upper(monthname(txn_date)) AS month_name,
-         COUNT(CASE WHEN txn_type = 'deposit' THEN 1 END) AS deposit_count,
-         COUNT(CASE WHEN txn_type = 'withdrawal' THEN 1 END) AS withdrawal_count,
-         COUNT(CASE WHEN txn_type = 'purchase' THEN 1 END) AS purchase_count
-       FROM customer_transactions GROUP BY customer_id, months, month_name)"""),
+SELECT upper(monthname(make_date(2000, m, 1))) AS month_name, count(*) AS customer_count
+FROM (SELECT customer_id, month(txn_date) AS m FROM customer_transactions GROUP BY customer_id, m
+      HAVING count_if(txn_type = 'deposit') > 1
+         AND (count_if(txn_type = 'withdrawal') = 1 OR count_if(txn_type = 'purchase') = 1)) a
+GROUP BY m"""),
     "bank_b4_closing_balance": _sql("""
-SELECT customer_id, CAST(month AS BIGINT) AS month,
-  CAST(SUM(amount) OVER (PARTITION BY customer_id ORDER BY month) AS BIGINT) AS closing_balance
-FROM amt""", _net),
-    "bank_b5_growth_pct": _sql(_growth, _net + """,
-cb AS (SELECT customer_id, month, SUM(amount) OVER (PARTITION BY customer_id, month ORDER BY month) AS closing_balance
-       FROM amt),
-pi AS (SELECT customer_id, month, closing_balance,
-         100 * (closing_balance - LAG(closing_balance) OVER w) / NULLIF(LAG(closing_balance) OVER w, 0)
-           AS percentage_increase
-       FROM cb WINDOW w AS (PARTITION BY customer_id ORDER BY month))"""),
-    "bank_b5_growth_pct_fixed": _sql(_growth, _net + """,
-cb AS (SELECT customer_id, month, SUM(amount) OVER (PARTITION BY customer_id ORDER BY month) AS closing_balance
-       FROM amt),
-pi AS (SELECT customer_id, month, closing_balance,
-         100 * (closing_balance - LAG(closing_balance) OVER w) / NULLIF(abs(LAG(closing_balance) OVER w), 0)
-           AS percentage_increase
-       FROM cb WINDOW w AS (PARTITION BY customer_id ORDER BY month))"""),
+SELECT customer_id, month, CAST(sum(net) OVER (PARTITION BY customer_id ORDER BY month) AS BIGINT) AS closing_balance
+FROM monthly""", _monthly),
+    # as written the "closing balance" is partitioned by customer and month: the monthly net
+    "bank_b5_growth_pct": _growth("net", "lag(bal) OVER w"),
+    "bank_b5_growth_pct_fixed": _growth("sum(net) OVER (PARTITION BY customer_id ORDER BY month)",
+                                        "abs(lag(bal) OVER w)"),
 }
 
 # ---- sales mart -----------------------------------------------------------------------------------
 
 
-def _share(cond: str) -> str:
-    return _rr(f"100 * SUM(CASE WHEN {cond} THEN sales END)", "SUM(sales)", 2)
+def _pct_of_total(part: str) -> str:
+    return _rr(f"100 * sum(sales) FILTER (WHERE {part})", "sum(sales)", 2)
 
 
 def _before_after(n: int, by: str | None, year: int | None) -> str:
-    sel = f"{by}, " if by else ""
+    keys = f"{by}, " if by else ""
     where = f"WHERE calendar_year = {year}" if year is not None else ""
     group = f"GROUP BY {by}" if by else ""
     return _sql(f"""
-SELECT *, {_rr('100 * (after_changes - before_changes)', 'before_changes', 2)} AS pct_change FROM sc""", f"""
-wk AS (SELECT DISTINCT week_number AS weekNum FROM cws WHERE week_date = DATE '2020-06-15'),
-sc AS (
-  SELECT {sel}
-    CAST(SUM(CASE WHEN week_number BETWEEN weekNum - {n} AND weekNum - 1 THEN sales END) AS BIGINT) AS before_changes,
-    CAST(SUM(CASE WHEN week_number BETWEEN weekNum AND weekNum + {n - 1} THEN sales END) AS BIGINT) AS after_changes
-  FROM cws JOIN wk ON 1 = 1 {where} {group})""")
+SELECT {keys}before_changes, after_changes,
+  {_rr('100 * (after_changes - before_changes)', 'before_changes', 2)} AS pct_change
+FROM (
+  SELECT {keys}
+    CAST(sum(sales) FILTER (WHERE week_number BETWEEN base - {n} AND base - 1) AS BIGINT) AS before_changes,
+    CAST(sum(sales) FILTER (WHERE week_number BETWEEN base AND base + {n - 1}) AS BIGINT) AS after_changes
+  FROM cws, (SELECT DISTINCT week_number AS base FROM cws WHERE week_date = DATE '2020-06-15') b
+  {where} {group}) t""")
 
 
 MART = {
     "mart_clean": _sql("SELECT * FROM cws"),
     "mart_preview": _sql("""
 SELECT * FROM cws ORDER BY week_date, region, platform, segment, customer_type LIMIT 10"""),
-    "mart_q1_weekday": _sql("SELECT DISTINCT upper(dayname(week_date)) AS day_of_week FROM cws"),
+    "mart_q1_weekday": _sql("SELECT DISTINCT upper(strftime(week_date, '%A')) AS day_of_week FROM cws"),
     "mart_q2_missing_weeks": _sql("""
-SELECT CAST(missing_week_numbers AS BIGINT) AS missing_week_numbers
-FROM generate_series(1, 53) AS t(missing_week_numbers)
-WHERE missing_week_numbers NOT IN (SELECT DISTINCT week_number FROM cws WHERE week_number IS NOT NULL)"""),
+SELECT w AS missing_week_numbers
+FROM range(1, 54) t(w) ANTI JOIN (SELECT DISTINCT week_number FROM cws) s ON t.w = s.week_number"""),
     "mart_q3_txn_by_year": _sql("""
-SELECT calendar_year, CAST(SUM(transactions) AS BIGINT) AS total_transaction FROM cws GROUP BY calendar_year"""),
+SELECT calendar_year, CAST(sum(transactions) AS BIGINT) AS total_transaction FROM cws GROUP BY 1"""),
     "mart_q4_region_month": _sql("""
-SELECT region, monthname(week_date) AS months, CAST(SUM(sales) AS BIGINT) AS total_sales
-FROM cws GROUP BY region, monthname(week_date)"""),
+SELECT region, strftime(week_date, '%B') AS months, CAST(sum(sales) AS BIGINT) AS total_sales
+FROM cws GROUP BY 1, 2"""),
     "mart_q5_platform_rows": _sql("""
-SELECT platform, COUNT(transactions) AS total_no_transaction FROM cws GROUP BY platform"""),
+SELECT platform, count(transactions) AS total_no_transaction FROM cws GROUP BY 1"""),
     "mart_q6_platform_share": _sql(f"""
-SELECT calendar_year, upper(monthname(week_date)) AS months,
-  {_share("platform = 'Retail'")} AS retail_sales,
-  {_share("platform = 'Shopify'")} AS shopify_sales
-FROM cws GROUP BY calendar_year, upper(monthname(week_date))"""),
+SELECT calendar_year, upper(strftime(week_date, '%B')) AS months,
+  {_pct_of_total("platform = 'Retail'")} AS retail_sales,
+  {_pct_of_total("platform = 'Shopify'")} AS shopify_sales
+FROM cws GROUP BY 1, 2"""),
     "mart_q7_demographic_share": _sql(f"""
 SELECT calendar_year,
-  {_share("demographic = 'Couples'")} AS couple_sales,
-  {_share("demographic = 'Families'")} AS family_sales,
-  {_share("demographic = 'unknown'")} AS unknown_sales
-FROM cws GROUP BY calendar_year"""),
+  {_pct_of_total("demographic = 'Couples'")} AS couple_sales,
+  {_pct_of_total("demographic = 'Families'")} AS family_sales,
+  {_pct_of_total("demographic = 'unknown'")} AS unknown_sales
+FROM cws GROUP BY 1"""),
     "mart_q8_retail_contribution": _sql(f"""
-SELECT age_band, demographic, CAST(SUM(sales) AS BIGINT) AS subtotal,
-  {_rr('100 * SUM(sales)', '(SELECT SUM(sales) FROM rt)', 2)} AS percentage_contribution
-FROM rt GROUP BY age_band, demographic""", """
-rt AS (SELECT * FROM cws WHERE platform = 'Retail')"""),
+SELECT age_band, demographic, CAST(sum(sales) AS BIGINT) AS subtotal,
+  {_rr('100 * sum(sales)', 'sum(sum(sales)) OVER ()', 2)} AS percentage_contribution
+FROM cws WHERE platform = 'Retail' GROUP BY 1, 2"""),
     "mart_q9_avg_txn": _sql(f"""
 SELECT calendar_year, platform,
-  {_rr('SUM(CAST(round(avg_transaction * 100) AS BIGINT))', '100 * COUNT(avg_transaction)', 2)}
+  {_rr('sum(CAST(round(avg_transaction * 100) AS BIGINT))', '100 * count(avg_transaction)', 2)}
     AS avg_avg_transactions,
-  {_rr('SUM(sales)', 'SUM(transactions)', 2)} AS proper_avg_transactions
-FROM cws GROUP BY calendar_year, platform"""),
+  {_rr('sum(sales)', 'sum(transactions)', 2)} AS proper_avg_transactions
+FROM cws GROUP BY 1, 2"""),
     "mart_ba1_4w": _before_after(4, None, 2020),
     "mart_ba2_12w": _before_after(12, None, 2020),
     "mart_ba3_4w_by_year": _before_after(4, "calendar_year", None),

@@ -31,12 +31,11 @@ def test_sql_on_views_equals_operators(spark):
         FROM clean_weekly_sales GROUP BY calendar_year ORDER BY calendar_year""")
     assert rows(q3) == rows(mart.txn_by_year(i.clean_sales()))
     ba = spark.sql("""
-        WITH week_num_cte AS (
-          SELECT DISTINCT week_number AS weekNum FROM clean_weekly_sales WHERE week_date = '2020-06-15'),
-        salesChanges AS (
-          SELECT sum(CASE WHEN week_number BETWEEN weekNum - 4 AND weekNum - 1 THEN sales END) AS before_changes,
-                 sum(CASE WHEN week_number BETWEEN weekNum AND weekNum + 3 THEN sales END) AS after_changes
-          FROM clean_weekly_sales JOIN week_num_cte ON 1 = 1 WHERE calendar_year = 2020)
-        SELECT * FROM salesChanges""")
+        SELECT sum(IF(c.week_number BETWEEN b.w - 4 AND b.w - 1, c.sales, NULL)) AS before_changes,
+               sum(IF(c.week_number BETWEEN b.w AND b.w + 3, c.sales, NULL)) AS after_changes
+        FROM clean_weekly_sales c
+        CROSS JOIN (SELECT DISTINCT week_number AS w FROM clean_weekly_sales
+                    WHERE week_date = DATE'2020-06-15') b
+        WHERE c.calendar_year = 2020""")
     want = mart.before_after(i.clean_sales(), 4, year=2020).select("before_changes", "after_changes")
     assert rows(ba) == rows(want)
