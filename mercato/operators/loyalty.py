@@ -59,10 +59,13 @@ def first_item(sales: DataFrame, menu: DataFrame, tie: Sequence[str] = ("product
         "customer_id", F.col("product_name").alias("first_product"))
 
 
-def top_item_by_customer(sales: DataFrame, menu: DataFrame, k: int = 1) -> DataFrame:
+def top_item_by_customer(sales: DataFrame, menu: DataFrame, k: int = 1,
+                         priced: DataFrame | None = None) -> DataFrame:
     """The k most bought products overall (ties by product_id), and how often
-    each customer bought them."""
-    counts = _priced(sales, menu).groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    each customer bought them. ``priced`` (``sales ⋈ menu``, if already
+    written) saves the join for the overall count."""
+    ranked = priced if priced is not None else priced_sales(sales, menu)
+    counts = ranked.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "product_id").limit(k).select("product_id")
     # top holds at most k rows by construction: safe to broadcast.
     bought = sales.join(F.broadcast(top), on="product_id", how="left_semi")

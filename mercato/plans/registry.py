@@ -113,7 +113,8 @@ def _loyalty() -> dict[str, Query]:
         "diner_total_spend": _q(lambda i: L.total_spend(i.priced_sales(), None)),
         "diner_visits": _q(lambda i: L.visits(i.sales())),
         "diner_first_item": _q(lambda i: L.first_item(i.sales(), i.menu())),
-        "diner_top_item_by_customer": _q(lambda i: L.top_item_by_customer(i.sales(), i.menu())),
+        "diner_top_item_by_customer": _q(lambda i: L.top_item_by_customer(i.sales(), i.menu(),
+                                                                      priced=i.priced_sales())),
         "diner_favourite_item": _q(lambda i: L.favourite_item(i.priced_sales(), None)),
         "diner_first_after_join": _q(lambda i: L.first_after_join(i.priced_sales(), None, i.members())),
         "diner_last_before_join": _q(lambda i: L.last_before_join(i.priced_sales(), None, i.members())),
