@@ -165,7 +165,16 @@ def _pickup_times(orders: DataFrame, runs: DataFrame, run_key: str,
     """One row per (order_id, order_time, pickup_time, *carry) of the join,
     with the joined row count. Both sides are reduced to distinct tuples
     before the shuffle; the join then yields each combination once."""
-    j = _order_times(orders).join(_delivered_pickups(runs, run_key, carry), on="order_id")
+    pickups = _delivered_pickups(runs, run_key, carry)
+    if run_key != "order_id":
+        # Joining on a low-cardinality run column (runner_id, as written) puts
+        # all runs under a few keys. Only orders whose id equals such a key can
+        # match, so the pizza rows are cut to them before anything shuffles;
+        # AQE then sees a tiny side and broadcasts it instead of shuffling the
+        # runs into hot keys.
+        keys = _delivered_by_distance(runs).select(F.col(run_key).alias("order_id")).distinct()
+        orders = orders.join(keys, on="order_id", how="left_semi")
+    j = _order_times(orders).join(pickups, on="order_id")
     return j.select(
         "order_id", "order_time", "pickup_time", *carry,
         (F.col("n_pizza") * F.col("n_run")).alias("pizzas_ordered"),
