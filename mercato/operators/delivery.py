@@ -137,6 +137,11 @@ def hourly_volume(orders: DataFrame) -> DataFrame:
             .agg(F.count("order_id").alias("pizza_count")).orderBy("hour_of_day"))
 
 
+def hour_of_day(orders: DataFrame) -> DataFrame:
+    """The hour of every pizza's order time (the bare projections of A9)."""
+    return orders.select(F.hour("order_time").cast("bigint").alias("hour_of_day"))
+
+
 def weekday_volume(orders: DataFrame, shift_days: int = WEEKDAY_SHIFT_DAYS) -> DataFrame:
     """Pizzas per weekday name of ``order_time + shift_days`` (the case study
     shifts by 2 days, which relabels every weekday; pass 0 for true names)."""

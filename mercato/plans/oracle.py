@@ -249,6 +249,7 @@ WHERE exclusions <> '' AND extras <> '' AND is_delivered"""),
     "pizza_a9_hourly": _sql("""
 SELECT CAST(extract(hour FROM order_time) AS BIGINT) AS hour_of_day, count(order_id) AS pizza_count
 FROM co GROUP BY 1"""),
+    "pizza_a9_hour_rows": _sql("SELECT CAST(hour(order_time) AS BIGINT) AS hour_of_day FROM co"),
     "pizza_a10_weekday": _sql("""
 SELECT strftime(order_time + INTERVAL 2 DAY, '%A') AS day_of_week, count(order_id) AS total_pizzas_ordered
 FROM co GROUP BY 1"""),

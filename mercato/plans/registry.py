@@ -143,6 +143,7 @@ def _delivery() -> dict[str, Query]:
         "pizza_a8_both": _q(lambda i: D.both_changes(i.orders(), i.runs())),
         "pizza_a8_both_fixed": _q(lambda i: D.both_changes_fixed(i.orders(), i.runs())),
         "pizza_a9_hourly": _q(lambda i: D.hourly_volume(i.orders())),
+        "pizza_a9_hour_rows": _q(lambda i: D.hour_of_day(i.orders())),
         "pizza_a10_weekday": _q(lambda i: D.weekday_volume(i.orders())),
         "pizza_a10_weekday_fixed": _q(lambda i: D.weekday_volume(i.orders(), shift_days=0)),
         "pizza_b1_signups": _q(lambda i: D.signups_per_week(i.runners())),
