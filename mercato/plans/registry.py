@@ -62,7 +62,7 @@ class Inputs:
 
     def priced_sales(self) -> DataFrame:
         """The loyalty fact joined once with its menu (a denormalised star)."""
-        return self._kept("priced_sales", lambda: loyalty.priced_sales(self.fx.sales(), self.fx.menu()))
+        return self._kept("priced_sales", lambda: loyalty.priced_sales(self.sales(), self.fx.menu()))
 
     def orders(self) -> DataFrame:
         return self._kept("customer_orders_clean",
@@ -86,14 +86,14 @@ class Inputs:
     def prepare(self) -> None:
         """Write every kept table now (otherwise the first query does it).
 
-        Independent tables are written by concurrent jobs; ratings reads the
-        cleaned orders and runs, so it goes last."""
-        first = (self.sales, self.priced_sales, self.orders, self.runs, self.customer_nodes,
-                 self.clean_sales)
-        with ThreadPoolExecutor(max_workers=len(first)) as pool:
-            for f in [pool.submit(b) for b in first]:
-                f.result()
-        self.ratings()
+        Independent tables are written by concurrent jobs. Ratings read the
+        cleaned orders and runs, and the priced fact reads the written sales
+        (one lineitem-orders join fewer), so they form a second phase."""
+        for phase in ((self.sales, self.orders, self.runs, self.customer_nodes, self.clean_sales),
+                      (self.ratings, self.priced_sales)):
+            with ThreadPoolExecutor(max_workers=len(phase)) as pool:
+                for f in [pool.submit(b) for b in phase]:
+                    f.result()
 
 
 Query = Callable[[SparkSession, str], DataFrame]
