@@ -12,6 +12,20 @@ from mercato.plans.registry import Inputs, queries  # noqa: E402
 from mercato.session import build_session  # noqa: E402
 
 
+def features(plan: str) -> dict[str, int]:
+    return {
+        "exch": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobin", plan)),
+        "single": len(re.findall(r"Exchange SinglePartition", plan)),
+        "bcast": len(re.findall(r"BroadcastExchange", plan)),
+        "bnlj": len(re.findall(r"BroadcastNestedLoopJoin", plan)),
+        "cart": len(re.findall(r"CartesianProduct", plan)),
+        "window": len(re.findall(r"\bWindow\b", plan)),
+        "smj": len(re.findall(r"SortMergeJoin", plan)),
+        "python": len(re.findall(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas", plan)),
+        "topk": len(re.findall(r"TakeOrderedAndProject", plan)),
+    }
+
+
 def main(sf):
     spark = build_session("local[8]", shuffle_partitions=8)
     Inputs(spark, sf).prepare()
@@ -19,18 +33,7 @@ def main(sf):
         df = fn(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        feats = {
-            "exch": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange RoundRobin", plan)),
-            "single": len(re.findall(r"Exchange SinglePartition", plan)),
-            "bcast": len(re.findall(r"BroadcastExchange", plan)),
-            "bnlj": len(re.findall(r"BroadcastNestedLoopJoin", plan)),
-            "cart": len(re.findall(r"CartesianProduct", plan)),
-            "window": len(re.findall(r"\bWindow\b", plan)),
-            "smj": len(re.findall(r"SortMergeJoin", plan)),
-            "python": len(re.findall(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas", plan)),
-            "topk": len(re.findall(r"TakeOrderedAndProject", plan)),
-        }
-        print(f"{k:34s} " + " ".join(f"{n}={v}" for n, v in feats.items() if v))
+        print(f"{k:34s} " + " ".join(f"{n}={v}" for n, v in features(plan).items() if v))
 
 
 if __name__ == "__main__":
