@@ -32,15 +32,24 @@ def tsql_week(col) -> Column:
     return int_div((F.dayofyear(d) + jan1_weekday - 2).cast("bigint"), F.lit(7)) + 1
 
 
+# Fixed origin for counting whole minutes: earlier than any timestamp handled,
+# so truncation toward zero equals flooring.
+_MINUTE_ORIGIN = "0001-01-01 00:00:00"
+
+
+def _minutes_since_origin(col) -> Column:
+    return F.timestamp_diff("MINUTE", F.lit(_MINUTE_ORIGIN).cast("timestamp_ntz"),
+                            _c(col).cast("timestamp_ntz"))
+
+
 def minute_boundaries(start, end) -> Column:
     """Number of minute boundaries crossed from ``start`` to ``end``.
 
     18:05:59 -> 18:15:01 gives 10 (a plain elapsed-minutes difference gives 9).
-    Both ends are cut to the minute first, so the elapsed difference is exact.
+    Computed on wall-clock (timestamp_ntz) values as the difference of whole
+    minutes since a fixed origin, so no session time zone or DST shift enters.
     """
-    return F.timestamp_diff(
-        "MINUTE", F.date_trunc("MINUTE", _c(start)), F.date_trunc("MINUTE", _c(end))
-    )
+    return _minutes_since_origin(end) - _minutes_since_origin(start)
 
 
 def month_name(col, case: str = "title") -> Column:

@@ -17,6 +17,13 @@ DEMOGRAPHICS = {"C": "Couples", "F": "Families"}
 UNKNOWN = "unknown"
 
 
+def _wall_clock(col) -> F.Column:
+    """Text to a wall-clock timestamp (timestamp_ntz): no session time zone
+    enters, as with the source data. Unparseable text gives NULL."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("string").try_cast("timestamp_ntz")
+
+
 def clean_customer_orders(raw: DataFrame) -> DataFrame:
     """``'null'`` exclusions become ``''``; ``'null'`` or NULL extras become
     ``''``; order_time text becomes a timestamp."""
@@ -24,7 +31,7 @@ def clean_customer_orders(raw: DataFrame) -> DataFrame:
         "order_id", "customer_id", "pizza_id",
         null_text("exclusions", "").alias("exclusions"),
         null_text("extras", "", sql_null_too=True).alias("extras"),
-        F.try_to_timestamp(F.col("order_time").cast("string")).alias("order_time"),
+        _wall_clock("order_time").alias("order_time"),
     )
 
 
@@ -39,7 +46,7 @@ def clean_runner_orders(raw: DataFrame) -> DataFrame:
     distance = leading_number("distance")
     return raw.select(
         "order_id", "runner_id",
-        F.try_to_timestamp(null_text("pickup_time", None)).alias("pickup_time"),
+        _wall_clock(null_text("pickup_time", None)).alias("pickup_time"),
         distance.alias("distance"),
         leading_number("duration", integral=True).cast("int").alias("duration"),
         F.when(F.col("cancellation").isin("null", ""), "").otherwise(F.col("cancellation")).alias("cancellation"),
