@@ -32,14 +32,17 @@ def tsql_week(col) -> Column:
     return int_div((F.dayofyear(d) + jan1_weekday - 2).cast("bigint"), F.lit(7)) + 1
 
 
-# Fixed origin for counting whole minutes: earlier than any timestamp handled,
-# so truncation toward zero equals flooring.
-_MINUTE_ORIGIN = "0001-01-01 00:00:00"
+# Fixed origin day for counting whole minutes.
+_MINUTE_ORIGIN = "1970-01-01"
 
 
 def _minutes_since_origin(col) -> Column:
-    return F.timestamp_diff("MINUTE", F.lit(_MINUTE_ORIGIN).cast("timestamp_ntz"),
-                            _c(col).cast("timestamp_ntz"))
+    """Whole minutes from the origin to a wall-clock time, from its date,
+    hour and minute: date arithmetic and field extraction on timestamp_ntz
+    involve no time zone, so no DST change can shift the count."""
+    ts = _c(col).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(ts), F.lit(_MINUTE_ORIGIN).cast("date")).cast("bigint")
+    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)
 
 
 def minute_boundaries(start, end) -> Column:
@@ -47,7 +50,8 @@ def minute_boundaries(start, end) -> Column:
 
     18:05:59 -> 18:15:01 gives 10 (a plain elapsed-minutes difference gives 9).
     Computed on wall-clock (timestamp_ntz) values as the difference of whole
-    minutes since a fixed origin, so no session time zone or DST shift enters.
+    minutes since a fixed origin day, so no session time zone or DST shift
+    enters.
     """
     return _minutes_since_origin(end) - _minutes_since_origin(start)
 

@@ -26,7 +26,6 @@ WEEK_RANGE = (10, 40)                # ISO weeks kept in weekly sales
 SEGMENTS = {"BUILDING": "C1", "HOUSEHOLD": "F2", "MACHINERY": "C3", "FURNITURE": "F4"}
 CUSTOMER_TYPES = ("New", "Existing", "Guest")  # by c_custkey % 3
 SHOPIFY_PRIORITIES = ("4-NOT SPECIFIED", "5-LOW")
-TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _shifted(col: str) -> Column:
@@ -37,6 +36,12 @@ def _plus_seconds(ts: Column, secs: Column) -> Column:
     return F.timestamp_add("SECOND", secs, ts)
 
 
+def _text(ts: Column) -> Column:
+    """Wall-clock text ``yyyy-MM-dd HH:mm:ss`` of a timestamp_ntz value; a
+    plain cast, so no session time zone (or DST gap) enters."""
+    return ts.cast("timestamp_ntz").cast("string")
+
+
 class Fixtures:
     def __init__(self, tables: Tables):
         self.t = tables
@@ -90,7 +95,7 @@ class Fixtures:
             (F.col("l_partkey") % 2 + 1).alias("pizza_id"),
             exclusions.alias("exclusions"),
             extras.alias("extras"),
-            F.date_format(self._order_time(), TS_TEXT).alias("order_time"),
+            _text(self._order_time()).alias("order_time"),
         )
 
     def runner_orders(self) -> DataFrame:
@@ -98,7 +103,7 @@ class Fixtures:
         o = self.t.read("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         cancelled = F.col("o_orderstatus") == "P"
         k, c = F.col("o_orderkey"), F.col("o_custkey")
-        pickup = F.date_format(_plus_seconds(self._order_time(), 30 + c % 1500), TS_TEXT)
+        pickup = _text(_plus_seconds(self._order_time(), 30 + c % 1500))
         dist_unit = F.when(k % 3 == 0, "km").when(k % 3 == 1, " km").otherwise("")
         dur_unit = (F.when(k % 4 == 0, " mins").when(k % 4 == 1, "minutes")
                     .when(k % 4 == 2, " minute").otherwise(""))

@@ -56,3 +56,20 @@ def test_names_unpadded(spark):
     r = df.select(day_name("d", "upper").alias("a"), month_name("d").alias("b"),
                   month_name("d", "upper").alias("c")).first()
     assert (r.a, r.b, r.c) == ("MONDAY", "June", "JUNE")
+
+
+def test_wall_clock_times_ignore_session_time_zone(spark):
+    from mercato.operators.cleaning import _wall_clock
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = set()
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([("2021-03-14 01:59:30", "2021-03-14 03:00:10"),
+                                        ("2020-11-01 00:30:00", "2021-06-01 00:30:00")], "a string, b string")
+            r = df.select(_wall_clock("a").alias("a"), _wall_clock("b").alias("b")).select(
+                F.hour("a").alias("h"), minute_boundaries("a", "b").alias("m")).collect()
+            got.add(tuple((x.h, x.m) for x in r))
+        assert got == {((1, 61), (0, 212 * 1440))}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
