@@ -30,6 +30,9 @@ def round_ratio(num, den, digits: int = 2) -> Column:
     scale = 10 ** digits
     n = _c(num).cast("decimal(38,0)")
     d = F.nullif(_c(den).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
-    sign = F.signum(n) * F.signum(d)
+    sign = (F.signum(n) * F.signum(d)).cast("bigint")  # signum is a double
     whole = int_div(F.abs(n) * (2 * scale) + F.abs(d), F.abs(d) * 2)
-    return (sign * whole) / F.lit(float(scale))
+    # shift the decimal point in decimal arithmetic (exact), then convert once,
+    # so the double is the one nearest to the exact decimal at any magnitude
+    shifted = (sign * whole).cast("decimal(38,0)") / F.lit(scale).cast("decimal(38,0)")
+    return shifted.cast("double")

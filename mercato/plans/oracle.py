@@ -25,8 +25,10 @@ def _rr(num: str, den: str, digits: int = 2) -> str:
     s = 10 ** digits
     n = f"CAST(({num}) AS HUGEINT)"
     d = f"NULLIF(CAST(({den}) AS HUGEINT), 0)"
-    return (f"(sign({n}) * sign({d}) * ((abs({n}) * {2 * s} + abs({d})) // (2 * abs({d})))"
-            f" / {float(s)})")
+    step = "1" if digits == 0 else f"0.{'0' * (digits - 1)}1"
+    whole = f"(sign({n}) * sign({d}) * ((abs({n}) * {2 * s} + abs({d})) // (2 * abs({d}))))"
+    # exact decimal, then its text to DOUBLE (correctly rounded at any size)
+    return f"CAST(CAST(CAST({whole} AS DECIMAL(38, 0)) * {step} AS VARCHAR) AS DOUBLE)"
 
 
 def _d(col: str) -> str:
