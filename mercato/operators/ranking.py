@@ -52,9 +52,14 @@ def first_by(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str],
     so the work is a partial aggregate rather than a sort of each whole group.
     """
     keys = _cols(keys)
-    packed = F.struct(*[F.col(c) for c in [*order, *carry]])
+    # NULLs order last, as ascending ORDER BY does in the case study's SQL;
+    # the flag fields are dropped from the output below.
+    flags = [F.col(c).isNull().alias(f"__null_{i}") for i, c in enumerate(order)]
+    fields = [f for pair in zip(flags, [F.col(c) for c in order]) for f in pair]
+    packed = F.struct(*fields, *[F.col(c) for c in carry])
     agg = F.max(packed) if last else F.min(packed)
-    return df.groupBy(*keys).agg(agg.alias("__f")).select(*keys, "__f.*")
+    return df.groupBy(*keys).agg(agg.alias("__f")).select(
+        *keys, *[F.col(f"__f.{c}") for c in [*order, *carry]])
 
 
 def dense_rank_by(df: DataFrame, keys: Sequence[str] | str, order: str,

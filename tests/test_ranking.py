@@ -50,3 +50,8 @@ def test_next_in_order_fine_grained_hot_key(spark):
     df = spark.createDataFrame(data, "k long, t long, o long").repartition(7)
     ref = df.withColumn("nx", F.lead("t").over(Window.partitionBy("k").orderBy("t", "o")))
     assert rows(next_in_order(df, "k", "t", "o", "nx"), *ref.columns) == rows(ref)
+
+
+def test_first_by_orders_nulls_last(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, 3, 7), (2, None, 1)], "k long, t long, v long")
+    assert rows(first_by(df, "k", ["t"], carry=["v"])) == [(1, 3, 7), (2, None, 1)]
