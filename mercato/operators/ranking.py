@@ -39,8 +39,19 @@ def ties_at_max(df: DataFrame, keys: Sequence[str] | str | None, value: str,
         top = df.agg(agg.alias(ext))
         return df.join(F.broadcast(top), F.col(value) == F.col(ext)).drop(ext)
     top = df.groupBy(*keys).agg(agg.alias(ext))
-    joined = df.join(top, on=keys, how="inner")
-    return joined.filter(F.col(value) == F.col(ext)).drop(ext)
+    return _join_back(df, top, keys).filter(F.col(value) == F.col(ext)).drop(ext)
+
+
+def _join_back(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join per-key results back on ``keys`` with null-safe equality, so a
+    NULL key is one group, as in a window partition."""
+    renamed = per_key.select(*[F.col(k).alias(f"__key_{k}") for k in keys],
+                             *[c for c in per_key.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+        cond = c if cond is None else cond & c
+    return df.join(renamed, cond, how).drop(*[f"__key_{k}" for k in keys])
 
 
 def first_by(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str],
@@ -71,7 +82,7 @@ def dense_rank_by(df: DataFrame, keys: Sequence[str] | str, order: str,
     one key (e.g. distinct days), whatever the number of rows.
     """
     keys = _cols(keys)
-    return df.join(rank_distinct(df, keys, order, name, descending), on=[*keys, order], how="inner")
+    return _join_back(df, rank_distinct(df, keys, order, name, descending), [*keys, order])
 
 
 def rank_distinct(df: DataFrame, keys: Sequence[str] | str, order: str, name: str,
@@ -79,7 +90,7 @@ def rank_distinct(df: DataFrame, keys: Sequence[str] | str, order: str, name: st
     """Distinct (keys, order) pairs numbered 1, 2, ... within each key."""
     keys = _cols(keys)
     distinct = df.select(*keys, order).distinct()
-    o = F.col(order).desc() if descending else F.col(order).asc()
+    o = F.col(order).desc_nulls_first() if descending else F.col(order).asc_nulls_last()
     return distinct.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(o)))
 
 
@@ -102,7 +113,8 @@ def next_in_order(df: DataFrame, key: str, t: str, tie: str, name: str) -> DataF
     runs when this is called), so every branch sees the same ids.
     """
     rid, nid, part = "__rid", "__nid", "__part"
-    ordered = df.orderBy(key, t, tie).withColumn(rid, F.monotonically_increasing_id())
+    ordered = (df.orderBy(*[F.col(c).asc_nulls_last() for c in (key, t, tie)])
+               .withColumn(rid, F.monotonically_increasing_id()))
     ordered = ordered.withColumn(part, F.shiftright(F.col(rid), 33))
     # The ids are read by three branches below; a reliable checkpoint (in the
     # shared spark.checkpoint.dir) fixes them once and cuts the lineage.
@@ -114,7 +126,7 @@ def next_in_order(df: DataFrame, key: str, t: str, tie: str, name: str) -> DataF
         nid, F.when(F.col(rid) < F.col("__last"), F.col(rid) + 1).otherwise(F.col("__next_first")))
     succ = ordered.select(F.col(rid).alias(nid), F.col(key).alias("__succ_key"), F.col(t).alias("__succ_t"))
     out = linked.join(succ, on=nid, how="left")
-    nxt = F.when(F.col("__succ_key") == F.col(key), F.col("__succ_t"))
+    nxt = F.when(F.col("__succ_key").eqNullSafe(F.col(key)), F.col("__succ_t"))
     return out.select(*df.columns, nxt.alias(name))
 
 

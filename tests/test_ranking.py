@@ -55,3 +55,17 @@ def test_next_in_order_fine_grained_hot_key(spark):
 def test_first_by_orders_nulls_last(spark):
     df = spark.createDataFrame([(1, None, 5), (1, 3, 7), (2, None, 1)], "k long, t long, v long")
     assert rows(first_by(df, "k", ["t"], carry=["v"])) == [(1, 3, 7), (2, None, 1)]
+
+
+def test_helpers_keep_null_keys_like_windows(spark):
+    df = spark.createDataFrame([(None, 1, 1, 2), (None, 2, 2, 2), (1, 5, 3, 1), (1, None, 4, 9), (None, 2, 5, 0)],
+                               "k long, t long, o long, v long")
+    w = Window.partitionBy("k").orderBy(F.desc("v"))
+    ref = df.withColumn("r", F.rank().over(w)).filter("r = 1").drop("r")
+    assert rows(ties_at_max(df, "k", "v"), *ref.columns) == rows(ref)
+    lead_ref = df.withColumn("nx", F.lead("t").over(
+        Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), "o")))
+    assert rows(next_in_order(df, "k", "t", "o", "nx"), *lead_ref.columns) == rows(lead_ref)
+    dr = df.select("k", "t", F.dense_rank().over(
+        Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last())).alias("r")).distinct()
+    assert rows(rank_distinct(df, "k", "t", "r")) == rows(dr)
