@@ -54,8 +54,8 @@ co_raw AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 co AS (
   SELECT order_id, customer_id, pizza_id,
-    CASE WHEN exclusions = 'null' THEN '' ELSE exclusions END AS exclusions,
-    CASE WHEN extras = 'null' OR extras IS NULL THEN '' ELSE extras END AS extras,
+    if(exclusions = 'null', '', exclusions) AS exclusions,
+    coalesce(nullif(extras, 'null'), '') AS extras,
     CAST(order_time AS TIMESTAMP) AS order_time
   FROM co_raw),
 ro_raw AS (
@@ -70,24 +70,16 @@ ro_raw AS (
          THEN CASE WHEN o_orderkey % 2 = 0 THEN 'Restaurant Cancellation' ELSE 'Customer Cancellation' END
          ELSE CASE o_orderkey % 3 WHEN 0 THEN 'null' WHEN 1 THEN '' ELSE NULL END END AS cancellation
   FROM orders),
-ro_txt AS (
+ro AS (
+  -- keep only the digits (and the decimal point) of the dirty texts
   SELECT order_id, runner_id,
-    CASE WHEN pickup_time = 'null' THEN NULL ELSE CAST(pickup_time AS TIMESTAMP) END AS pickup_time,
-    CASE WHEN distance LIKE 'null' THEN ''
-         WHEN distance LIKE '%km' THEN trim(distance, 'km') ELSE distance END AS distance,
-    CASE WHEN duration LIKE 'null' THEN ' '
-         WHEN duration LIKE '%mins' THEN trim(duration, 'mins')
-         WHEN duration LIKE '%minute' THEN trim(duration, 'minute')
-         WHEN duration LIKE '%minutes' THEN trim(duration, 'minutes') ELSE duration END AS duration,
-    CASE WHEN cancellation IN ('null', '') THEN '' ELSE cancellation END AS cancellation
+    TRY_CAST(nullif(pickup_time, 'null') AS TIMESTAMP) AS pickup_time,
+    TRY_CAST(nullif(regexp_replace(distance, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS distance,
+    TRY_CAST(nullif(regexp_replace(duration, '[^0-9]', '', 'g'), '') AS INTEGER) AS duration,
+    if(cancellation IN ('null', ''), '', cancellation) AS cancellation,
+    coalesce(TRY_CAST(nullif(regexp_replace(distance, '[^0-9.]', '', 'g'), '') AS DOUBLE), 0) <> 0
+      AS is_delivered
   FROM ro_raw),
-ro AS (
-  SELECT order_id, runner_id, pickup_time,
-    TRY_CAST(trim(distance) AS DOUBLE) AS distance,
-    TRY_CAST(trim(duration) AS INTEGER) AS duration,
-    cancellation,
-    COALESCE(TRY_CAST(trim(distance) AS DOUBLE), 0) <> 0 AS is_delivered
-  FROM ro_txt),
 runners AS (
   SELECT s_suppkey AS runner_id, DATE '2021-01-01' + CAST(s_suppkey % 28 AS INTEGER) AS registration_date
   FROM supplier),
@@ -130,10 +122,9 @@ weekly_sales AS (
 cws AS (
   SELECT d AS week_date, CAST(weekofyear(d) AS BIGINT) AS week_number, CAST(month(d) AS BIGINT) AS month_number,
     CAST(year(d) AS BIGINT) AS calendar_year, region, platform, segment, customer_type,
-    CASE WHEN right(segment, 1) = '1' THEN 'Young Adults' WHEN right(segment, 1) = '2' THEN 'Middle Aged'
-         WHEN right(segment, 1) IN ('3', '4') THEN 'Retirees' ELSE 'unknown' END AS age_band,
-    CASE WHEN left(segment, 1) = 'C' THEN 'Couples' WHEN left(segment, 1) = 'F' THEN 'Families'
-         ELSE 'unknown' END AS demographic,
+    coalesce(MAP {{'1': 'Young Adults', '2': 'Middle Aged', '3': 'Retirees', '4': 'Retirees'}}[right(segment, 1)],
+             'unknown') AS age_band,
+    coalesce(MAP {{'C': 'Couples', 'F': 'Families'}}[left(segment, 1)], 'unknown') AS demographic,
     transactions, sales, {_rr('sales', 'transactions', 2)} AS avg_transaction
   FROM (SELECT *, CAST(strptime(week_date, '%d/%m/%y') AS DATE) AS d FROM weekly_sales) w)"""
 
