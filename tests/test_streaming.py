@@ -27,6 +27,7 @@ def _stream_vs_batch(spark, kind, raw):
 
 
 CLEANERS_BATCH = {
+    "customer_orders": C.clean_customer_orders,
     "runner_orders": C.clean_runner_orders,
     "weekly_sales": C.clean_weekly_sales,
 }
@@ -43,3 +44,8 @@ def test_stream_weekly_sales(spark):
     fx = Fixtures(Tables(spark, SF))
     raw = fx.weekly_sales()
     _stream_vs_batch(spark, "weekly_sales", raw)
+
+
+def test_stream_customer_orders(spark):
+    fx = Fixtures(Tables(spark, SF))
+    _stream_vs_batch(spark, "customer_orders", fx.customer_orders())
