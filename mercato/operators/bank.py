@@ -54,12 +54,20 @@ def realloc_avg_days(nodes: DataFrame, open_end: str = OPEN_END) -> DataFrame:
 def realloc_percentiles(nodes: DataFrame, regions: DataFrame, open_end: str = OPEN_END,
                         ps: Sequence[float] = PERCENTILES,
                         names: Sequence[str] = PERCENTILE_NAMES,
-                        digits: int | None = None) -> DataFrame:
+                        digits: int | None = None, approx_accuracy: int | None = None) -> DataFrame:
     """Exact interpolated percentiles (percentile_cont) of closed-allocation
     days per region. The aggregate keeps a value -> count map per region and
-    merges partial maps, so a large region does not gather its rows."""
+    merges partial maps, so a large region does not gather its rows.
+
+    ``approx_accuracy`` opts into ``percentile_approx`` (a mergeable sketch of
+    bounded size, returning observed values, not interpolated ones) for
+    metrics with very many distinct values."""
     c = _closed(nodes, open_end).join(regions, on="region_id")
-    g = c.groupBy("region_name").agg(F.percentile("days", list(ps)).alias("_p"))
+    if approx_accuracy is None:
+        p = F.percentile("days", list(ps))
+    else:
+        p = F.percentile_approx("days", list(ps), approx_accuracy).cast("array<double>")
+    g = c.groupBy("region_name").agg(p.alias("_p"))
     cols = []
     for i, name in enumerate(names):
         v = F.col("_p")[i]
@@ -87,20 +95,27 @@ def deposit_averages(txns: DataFrame, deposit: str = "deposit") -> DataFrame:
     )
 
 
-def active_months(txns: DataFrame, min_deposits: int = 1, exact: int = 1) -> DataFrame:
+def active_months(txns: DataFrame, min_deposits: int = 1, exact: int = 1,
+                  grain: str = "month") -> DataFrame:
     """Customers per month with more than ``min_deposits`` deposits and
-    exactly ``exact`` withdrawals or exactly ``exact`` purchases."""
-    t = txns.withColumn("months", F.month("txn_date"))
+    exactly ``exact`` withdrawals or exactly ``exact`` purchases.
+
+    ``grain="month"`` keys on the month of the year, as the case study does
+    (the same month of different years falls together);
+    ``grain="year_month"`` keeps years apart and adds ``calendar_year``."""
+    keys = ["months"] if grain == "month" else ["calendar_year", "months"]
+    t = txns.withColumn("months", F.month("txn_date")).withColumn("calendar_year", F.year("txn_date"))
     kind = F.col("txn_type")
-    per = t.groupBy("customer_id", "months").agg(
+    per = t.groupBy("customer_id", *keys).agg(
         F.count(F.when(kind == "deposit", 1)).alias("d"),
         F.count(F.when(kind == "withdrawal", 1)).alias("w"),
         F.count(F.when(kind == "purchase", 1)).alias("p"),
     )
     ok = per.filter((F.col("d") > min_deposits) & ((F.col("w") == exact) | (F.col("p") == exact)))
-    g = ok.groupBy("months").agg(F.count("customer_id").alias("customer_count"))
+    g = ok.groupBy(*keys).agg(F.count("customer_id").alias("customer_count"))
     name = month_name_of("months", "upper")
-    return g.orderBy("months").select(name.alias("month_name"), "customer_count")
+    extra = [] if grain == "month" else [F.col("calendar_year").cast("bigint").alias("calendar_year")]
+    return g.orderBy(*keys).select(*extra, name.alias("month_name"), "customer_count")
 
 
 def _monthly_net(txns: DataFrame) -> DataFrame:

@@ -78,3 +78,15 @@ def test_growth_share_zero_previous_gives_no_error(txns):
     assert B.growth_share(txns).first()[0] == pytest.approx(100 * 1 / 3)
     # fixed: running balance, |prev|. c1: 130 -> 330 grows ; c2: 10 -> 0 -> 40 (prev 0 skipped)
     assert B.growth_share_fixed(txns).first()[0] == pytest.approx(100 * 1 / 3)
+
+
+def test_active_months_year_grain_keeps_years_apart(txns):
+    got = rows(B.active_months(txns, grain="year_month"))
+    assert got == [(2020, "JANUARY", 1)]  # customer 3 has one deposit in each year
+
+
+def test_percentiles_approx_opt_in(nodes):
+    n, r = nodes
+    got = {x.region_name: x for x in B.realloc_percentiles(n, r, approx_accuracy=10000).collect()}
+    # observed values, not interpolated: Asia's days are 10 and 20
+    assert got["Asia"].median in (10.0, 20.0) and got["Europe"].median == 3.0
