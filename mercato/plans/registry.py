@@ -99,9 +99,22 @@ class Inputs:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# One Inputs per (session, data directory): its fingerprint and opened tables
+# are reused by every query of the session (source reads are cached per
+# session as well, see sources.tables).
+_INPUTS: dict[tuple[str, str], Inputs] = {}
+
+
+def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INPUTS:
+        _INPUTS[key] = Inputs(spark, sf_dir)
+    return _INPUTS[key]
+
+
 def _q(fn: Callable[[Inputs], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Inputs(spark, sf_dir))
+        return fn(inputs_for(spark, sf_dir))
     run.__doc__ = fn.__doc__
     return run
 
