@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +47,7 @@ def keep(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFram
 
 def arrow_type(kind: str) -> pa.DataType:
     return {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
-            "boolean": pa.bool_(), "binary": pa.binary()}[kind]
+            "boolean": pa.bool_(), "binary": pa.binary(), "ints": pa.list_(pa.int32())}[kind]
 
 
 def batch(schema: str, columns: Iterable[Sequence]) -> pa.RecordBatch:
@@ -60,6 +62,17 @@ def pieces(items: Sequence, size: int) -> Iterator[Sequence]:
         yield items[i:i + size]
 
 
+@contextmanager
+def no_cycles():
+    """No search for reference cycles meanwhile: it would walk the large memos
+    of a worker again and again, and they hold none."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 class Cache(dict):
     """A bounded memo: ``make(key)`` fills a missing key; once ``limit`` keys
     are held all are dropped, so a worker's memory stays bounded."""
@@ -75,5 +88,9 @@ class Cache(dict):
         return value
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")

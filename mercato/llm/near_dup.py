@@ -9,8 +9,9 @@ A document's set holds its distinct 5-word shingles. Steps:
 3. Star phase: every node of a bucket is compared with the bucket's two hubs
    (smallest and largest fingerprint), so a bucket of n nodes gives 2n pairs.
 4. Mixed phase: buckets whose nodes do not all hang together yet are compared
-   in blocks, pairs of different components only, on the signatures. Nothing
-   but the survivors leaves the task. So no link is lost to the star phase.
+   in blocks, pairs of different components only, each in the first band that
+   it shares. Only verified links leave the task, so that neither links are
+   lost to the star phase nor pairs of a large group written out.
 5. In both phases a candidate is compared batch by batch; after each batch it
    is dropped once the posterior probability of a similarity at or above the
    threshold (uniform prior, Beta posterior) falls below ``miss``. Survivors
@@ -42,6 +43,7 @@ STEP = 32          # values compared between two posterior checks
 THRESHOLD = (75, 100)
 MISS = 1e-4        # posterior below which a candidate is dropped
 BLOCK = 2048       # nodes of a bucket compared in one block
+BLOCK_WORDS = 2_000_000  # shingles of the nodes in one block
 SEED = 20_240_601
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -150,41 +152,58 @@ def _own(batches):
         yield b.take(pa.array(ok, pa.int64()))
 
 
-def _cells(rows: DataFrame, block: int) -> DataFrame:
-    """Deal the nodes of each bucket into blocks and the blocks into cells
+def _cells(rows: DataFrame) -> DataFrame:
+    """Deal the nodes of each bucket into its blocks and the blocks into cells
     (x, y): within a block (x = y) or between two of them (side 0 and side 1)."""
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     rows = rows.withColumn("k", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
     rows = rows.withColumn("z", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.select("bucket", "fp", "comp", F.least("k", "z").alias("x"), F.greatest("k", "z").alias("y"),
+    return rows.select("bucket", "fp", "comp", "n_shingles", F.least("k", "z").alias("x"), F.greatest("k", "z").alias("y"),
                        (F.col("z") < F.col("k")).cast("int").alias("side"))
 
 
-def _mixed(least, threshold, key, data):
-    """All pairs of different components in one cell, compared on the signatures."""
+def _jaccard(s: np.ndarray, t: np.ndarray, threshold: tuple[int, int]) -> bool:
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return threshold[1] * both >= threshold[0] * (len(s) + len(t) - both)
+
+
+def _mixed(least, threshold, width, rows, key, data):
+    """Links between different components in one cell: compared on the
+    signatures, survivors verified on the texts. A pair is dealt with in the
+    first band that it shares; components that a link joins are one from then on."""
     fp, comp, n, side = (np.array(data.column(c).to_pylist(), object if c in ("fp", "comp") else None) for c in ("fp", "comp", "n_shingles", "side"))
     sig = np.frombuffer(b"".join(data.column("sig").to_pylist()), "<u4").reshape(len(fp), -1)
+    cut = sig.reshape(len(fp), -1, rows)
+    band = next(k for k in range(cut.shape[1]) if xxhash.xxh3_64_intdigest(cut[0, k].tobytes(), k) == key[0] % (1 << 64))
+    texts, sets = data.column("text"), {}
     _, comp = np.unique(comp, return_inverse=True)
     (up, down), found = threshold, []
+
+    def of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingles(words(texts[i].as_py()), width)
+        return sets[i]
+
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    for k, i in enumerate(left):
+    for k, i in enumerate(left.tolist()):
         j = left[k + 1:] if key[1] == key[2] else right
         j = j[(comp[j] != comp[i]) & (np.minimum(n[i], n[j]) * down >= np.maximum(n[i], n[j]) * up)]
         for m_to, m in least.items():  # batch after batch over the shrinking rest
             j = j[(sig[j, :m_to] == sig[i, :m_to]).sum(axis=1) >= m]
-        found += [(fp[i], fp[x]) if fp[i] < fp[x] else (fp[x], fp[i]) for x in j]
+        if band and len(j):
+            j = j[~(cut[j, :band] == cut[i, :band]).all(axis=2).any(axis=1)]
+        for x in j.tolist():
+            if comp[x] != comp[i] and _jaccard(of(i), of(x), threshold):
+                found.append((fp[i], fp[x]))
+                comp[comp == comp[x]] = comp[i]
     return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
 
 
 def _verified(batches, width, threshold):
-    up, down = threshold
     sets = Cache(lambda t: shingles(words(t), width), 64)
     for x in batches:
         a, b, ok = x.column("text_a").to_pylist(), x.column("text_b").to_pylist(), []
         for i, (s, t) in enumerate(zip(a, b)):
-            s, t = sets[s], sets[t]
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            if down * both >= up * (len(s) + len(t) - both):
+            if _jaccard(sets[s], sets[t], threshold):
                 ok.append(i)
         yield x.select(["a", "b"]).take(pa.array(ok, pa.int64()))
 
@@ -208,7 +227,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, perms: int = PERMS,
-                    rows: int = ROWS, step: int = STEP, miss: float = MISS, block: int = BLOCK) -> DataFrame:
+                    rows: int = ROWS, step: int = STEP, miss: float = MISS, block: int = BLOCK, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     ``docs`` needs doc_id and text; other columns are ignored. An empty table
@@ -233,24 +252,29 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, i
     pairs = pairs.where(F.least("n_a", "n_b") * down >= F.greatest("n_a", "n_b") * up)
     pairs = keep(pairs.mapInArrow(lambda it: _pruned(it, least), "a binary, b binary"), "star")
 
-    def verify(candidates: DataFrame) -> DataFrame:
-        ends = candidates.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(nodes.select("fp", "doc_id"), "fp")
+    def texts_of(some_nodes: DataFrame) -> DataFrame:
+        ends = some_nodes.join(nodes.select("fp", "doc_id"), "fp")
         texts = docs.join(ends, docs["doc_id"].eqNullSafe(ends["doc_id"])).select(docs["doc_id"], "fp", "text").distinct()
-        texts = keep(texts.select("fp", "text").mapInArrow(_own, "fp binary, text string"), "texts")
-        for side in ("a", "b"):
-            candidates = candidates.join(texts.select(F.col("fp").alias(side), F.col("text").alias(f"text_{side}")), side)
-        return keep(candidates.mapInArrow(lambda it: _verified(it, width, threshold), "a binary, b binary"), "edges")
+        return keep(texts.select("fp", "text").mapInArrow(_own, "fp binary, text string"), "texts")
 
-    edges = verify(pairs)
+    texts = texts_of(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct())
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("fp").alias(side), F.col("text").alias(f"text_{side}")), side)
+    edges = keep(pairs.mapInArrow(lambda it: _verified(it, width, threshold), "a binary, b binary"), "edges")
     labels = components(edges)
 
-    own = met.join(labels, "fp", "left").select("bucket", "fp", F.coalesce("comp", "fp").alias("comp"))
-    own = keep(own, "own")
-    mixed = own.groupBy("bucket").agg(F.min("comp").alias("one"), F.max("comp").alias("other"), F.count(F.lit(1)).alias("n")).where("one != other AND n > 3")  # in three, the hubs have met all
-    cells = _cells(own.join(mixed.select("bucket", "n"), "bucket"), block).join(nodes.select("fp", "n_shingles", "sig"), "fp")
-    more = cells.groupBy("bucket", "x", "y").applyInArrow(lambda key, t: _mixed(least, threshold, [v.as_py() for v in key], t), "a binary, b binary")
-    more = keep(more.distinct().join(pairs, ["a", "b"], "left_anti"), "mixed")
-    labels = components(edges.unionByName(verify(more)))
+    own = met.select("bucket", "fp").join(labels, "fp", "left").join(nodes.select("fp", "n_shingles"), "fp")
+    own = keep(own.select("bucket", "fp", "n_shingles", F.coalesce("comp", "fp").alias("comp")), "own")
+    # In three nodes the two hubs have met all.
+    mixed = own.groupBy("bucket").agg(F.min("comp").alias("one"), F.max("comp").alias("other"), F.count(F.lit(1)).alias("n"),
+                                      F.sum("n_shingles").alias("words")).where("one != other AND n > 3")
+    blocks = F.ceil(F.greatest(F.col("n") / block, F.col("words") / block_words)).cast("int")
+    open_ = keep(own.join(mixed.select("bucket", blocks.alias("blocks")), "bucket"), "mixed")
+    texts = texts_of(open_.select("fp").distinct())
+    cells = _cells(open_).join(nodes.select("fp", "sig"), "fp").join(texts, "fp")
+    more = cells.groupBy("bucket", "x", "y").applyInArrow(
+        lambda key, t: _mixed(least, threshold, width, rows, [v.as_py() for v in key], t), "a binary, b binary")
+    labels = components(edges.unionByName(keep(more, "more")))
 
     grouped = nodes.select("fp", "doc_id").join(labels, "fp", "left").select("fp", "doc_id", F.coalesce("comp", "fp").alias("comp"))
     first = grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

@@ -6,8 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import near_dup
-from mercato.llm.common import documents
+import public_tokenizers
+
+from mercato.llm import byte_bpe, decontaminate, near_dup, toxicity
+from mercato.llm.common import documents, table
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +30,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_toxicity": op4_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
+#: Trained, hashed and tokenized results have no SQL form; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {}

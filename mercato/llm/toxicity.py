@@ -58,9 +58,15 @@ HELD_OUT = 2         # remainder of crc32(doc_id) mod 4 that is never learned fr
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
+def _class_of(points: np.ndarray) -> np.ndarray:
+    """Character classes of code points: a-z as 1..26, 0-9 as 27, others by code point."""
+    x = points.astype(np.int64)
+    return np.where((x >= 97) & (x <= 122), x - 96, np.where((x >= 48) & (x <= 57), 27, 28 + x % 36)).astype(np.int32)
+
+
 def classes(term: str) -> np.ndarray:
-    """Character classes between two edge marks (0): a-z as 1..26, digits as 27, others by code point."""
-    return np.array([0, *[ord(c) - 96 if "a" <= c <= "z" else 27 if c.isdigit() else 28 + ord(c) % 36 for c in term], 0], np.int32)
+    """The classes of a term's characters between two edge marks (0)."""
+    return np.concatenate([[0], _class_of(np.frombuffer(term.encode("utf-32-le", "replace"), "<u4")), [0]]).astype(np.int32)
 
 
 def terms(text: str | None) -> set[str]:
@@ -143,30 +149,31 @@ class Model:
             if not len(picks):
                 continue
             for part in pieces(at, 512):
-                x = np.stack([classes(found[i][:WINDOW]) for i in part])
+                points = np.frombuffer("".join(found[i][:WINDOW] for i in part).encode("utf-32-le", "replace"), "<u4")
+                x = np.zeros((len(part), n), np.int32)
+                x[:, 1:-1] = _class_of(points).reshape(len(part), n - 2)
                 code = np.zeros((len(part), len(picks)), np.int32)
                 for k in range(ORDER):
                     code = code * LETTERS + x[:, picks[:, k]]
-                value = self.table[code] @ weights
-                out[part] += value / np.sqrt(_norms(code, weights))
+                out[part] += (self.table[code] @ weights) / np.sqrt(_norms(code, picks[:, -1] - picks[:, 0]))
         return out
 
     def document(self, strongest: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-min(30.0, max(-30.0, strongest @ self.logit[:-1] + self.logit[-1])))))
 
 
-def _norms(code: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _norms(code: np.ndarray, spans: np.ndarray) -> np.ndarray:
     """Squared norms per row: weights of equal codes are summed first."""
-    order = np.argsort(code, axis=1, kind="stable")
-    code, w = np.take_along_axis(code, order, 1), weights[order]
-    total = np.cumsum(w, axis=1)
+    packed = np.sort(code * 8 + spans.astype(np.int32), axis=1)  # spans are below 8
+    total = np.cumsum(DECAY ** np.arange(1, 9)[packed & 7], axis=1)
+    code = packed >> 3
     last = np.ones(code.shape, bool)
     last[:, :-1] = code[:, 1:] != code[:, :-1]
     rows, cols = np.nonzero(last)
     ends = total[rows, cols]
+    sums = np.diff(ends, prepend=0.0)
     first = np.ones(len(rows), bool)
     first[1:] = rows[1:] != rows[:-1]
-    sums = np.diff(ends, prepend=0.0)
     sums[first] = ends[first]
     return np.bincount(rows, sums ** 2, len(code))
 
@@ -319,8 +326,10 @@ def _scorer(model: Model):
             known.clear()
             new = list(found)
         for part in pieces(new, 20_000):
-            for t, s in zip(part, model.score_terms([bare(t) for t in part])):
-                known[t] = s
+            plain = [bare(t) for t in part]
+            once = list(dict.fromkeys(plain))
+            value = dict(zip(once, model.score_terms(once).tolist()))
+            known.update(zip(part, map(value.__getitem__, plain)))
         return np.fromiter((known[t] for t in found), float, len(found))
 
     return score
