@@ -28,12 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.common import batch, no_cycles, pieces, tune
-from mercato.llm.segments import segments, simple
-
-WORDS = 800_000        # pre-tokens kept by a worker
-SEGMENTS = 400_000     # segments (a word with its signs) kept by a worker
-LONGEST_KEPT = 200     # characters; longer pre-tokens are encoded anew each time
-RUN = 1_000_000        # characters whose new segments are encoded together
+from mercato.llm.segments import SegmentEncoder
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -82,16 +77,15 @@ class RankQueue:
         return held
 
 
-class ByteBpe:
+class ByteBpe(SegmentEncoder):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__()
         self.ranks = ranks
         self.vocabulary = [b""] * (max(ranks.values()) + 1)
         for b, i in ranks.items():
             self.vocabulary[i] = b
         self.split = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values()) + 1)
-        self.kept: dict[str, bytes] = {}                     # ids as little-endian 32-bit integers
-        self.words: dict[str, bytes] = {}
         self.byte = np.array([ranks[bytes([i])] for i in range(256)])
         self.first = np.full((256, 256), -1, np.int64)       # ranks of byte pairs
         self.joined: dict[int, int] = {}                     # (left id, right id) -> rank of both
@@ -168,46 +162,12 @@ class ByteBpe:
         ids = ids[left_over].astype("<i4").tobytes()
         return [ids[x:y] for x, y in zip(at, at[1:])]
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of distinct segments; what recurs is kept, the rest only returned."""
-        found = {s: simple(s) or self.split(s) for s in new}
-        wanted = {p for ps in found.values() for p in ps}
-        known = self.words
-        todo, ids = [], {}
-        for p in wanted:
-            held = known.get(p)
-            if held is None:
-                raw = p.encode("utf-8", "replace")
-                whole = self.ranks.get(raw)
-                if whole is None:
-                    todo.append((p, raw))
-                    continue
-                held = whole.to_bytes(4, "little")
-            ids[p] = held
-        for part in pieces(todo, 4096):
-            ids.update(zip([p for p, _ in part], self.merge([raw for _, raw in part])))
-        if len(known) > WORDS:
-            known.clear()
-        known.update((p, x) for p, x in ids.items() if len(p) <= LONGEST_KEPT)
-        return {s: ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for s, ps in found.items()}
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text. Texts are taken in runs of about a million characters."""
-        run: list[list[str]] = []
-        size = 0
-        for i, text in enumerate(texts):
-            run.append(segments(text) if text else [])
-            size += len(text or "")
-            if size > RUN or i + 1 == len(texts):
-                new = set(chain.from_iterable(run)).difference(self.kept)
-                if len(self.kept) > SEGMENTS:
-                    self.kept.clear()
-                    new = set(chain.from_iterable(run))
-                if new:
-                    self.kept.update(self._learn(new))
-                for found in run:
-                    yield np.frombuffer(b"".join(map(self.kept.__getitem__, found)), "<i4")
-                run, size = [], 0
+    def ids_of(self, found: list[str]) -> Iterator[bytes]:
+        raws = [p.encode("utf-8", "replace") for p in found]
+        whole = [self.ranks.get(raw) for raw in raws]
+        todo = [raw for raw, r in zip(raws, whole) if r is None]
+        merged = chain.from_iterable(map(self.merge, pieces(todo, 4096)))
+        return (next(merged) if r is None else r.to_bytes(4, "little") for r in whole)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))

@@ -9,6 +9,15 @@ Cutting texts there changes no pre-token.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
+from itertools import chain
+
+import numpy as np
+
+WORDS = 800_000        # pre-tokens kept by a worker
+SEGMENTS = 400_000     # segments (a word with its signs) kept by a worker
+LONGEST_KEPT = 200     # characters; longer pre-tokens are encoded anew each time
+RUN = 1_000_000        # characters whose new segments are encoded together
 
 _CUT = re.compile(r" (?=\S)")
 _SIGNS = frozenset(".,!?;:")
@@ -29,3 +38,50 @@ def simple(segment: str) -> list[str] | None:
     if body[-1:] in _SIGNS and body[:-1].isalpha():
         return [segment[:-1], segment[-1]]
     return None
+
+
+class SegmentEncoder:
+    """Encodes texts by segment; ids of recurring segments and pre-tokens are kept
+    as little-endian 32-bit integers in memos that are emptied when full."""
+
+    def __init__(self):
+        self.kept: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def split(self, segment: str) -> list[str]:
+        """Pre-tokens of a segment, or coarser parts that are encoded alike alone."""
+        raise NotImplementedError
+
+    def ids_of(self, found: list[str]) -> Iterable[bytes]:
+        """Ids of each of these parts."""
+        raise NotImplementedError
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of distinct segments."""
+        found = {s: simple(s) or self.split(s) for s in new}
+        wanted = {p for ps in found.values() for p in ps}
+        known = self.words
+        ids = {p: known[p] for p in wanted if p in known}
+        todo = [p for p in wanted if p not in ids]
+        ids.update(zip(todo, self.ids_of(todo)))
+        if len(known) > WORDS:
+            known.clear()
+        known.update((p, x) for p, x in ids.items() if len(p) <= LONGEST_KEPT)
+        return {s: ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for s, ps in found.items()}
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text. Texts are taken in runs of about a million characters."""
+        run: list[list[str]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            run.append(segments(text) if text else [])
+            size += len(text or "")
+            if size > RUN or i + 1 == len(texts):
+                if len(self.kept) > SEGMENTS:
+                    self.kept.clear()
+                new = set(chain.from_iterable(run)).difference(self.kept)
+                if new:
+                    self.kept.update(self._learn(new))
+                for found in run:
+                    yield np.frombuffer(b"".join(map(self.kept.__getitem__, found)), "<i4")
+                run, size = [], 0
