@@ -1,27 +1,53 @@
 """The training-data pipeline: each stage works on what the one before kept.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
-returns the documents it leaves. ``run`` writes each stage's documents as
-Parquet in the shared folder and rereads them for the next one.
+returns the documents it leaves, all columns as they came (redaction changes
+text and n_chars). ``run`` writes each stage's documents as Parquet in the
+shared folder and rereads them for the next one.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import near_dup
-from mercato.llm.common import documents, keep
+from mercato.llm import byte_bpe, decontaminate, near_dup, secrets, toxicity
+from mercato.llm.common import documents, keep, table
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; the model learns from the labels of these documents."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the smallest doc_id."""
-    kept = near_dup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return near_dup.without_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets in its text become a mark."""
+    clean = secrets.redact_documents(docs)
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")) if "n_chars" in docs.columns else clean
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text and what they decode to, as digests."""
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [
-    ("minhash_near_dedup", near_duplicates),
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("secret_scan", redact_secrets),
+    ("byte_bpe", encode),
 ]
 
 #: Trained models and encoders have no SQL form; tests hold run() against brute force.

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import gc
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes of one Arrow batch sent to a Python worker. Documents can be
@@ -16,9 +19,29 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application: they
+    need not have it installed, nor the driver's working folder."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    name = Path(SparkFiles.getRootDirectory(), f"{package.name}-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(name))
+    _SHIPPED.add(app)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Bound the Arrow batches of the session, so that a worker holds a few
-    megabytes of text at a time whatever the documents' lengths."""
+    megabytes of text at a time whatever the documents' lengths; send the
+    workers this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark

@@ -28,10 +28,12 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -209,32 +211,57 @@ def _matched(batches, index: Index, alpha: float):
 
 
 def _item_words(batches):
+    """The distinct terms of each item, and on the first of them its number of words."""
     for b in batches:
-        rows = [(t, n) for text in b.column(0).to_pylist() for w in [words(text)] for t, n in zip(sorted(set(w)), [len(w)] + [0] * len(w))]
-        yield batch("term string, n long", list(zip(*rows)) if rows else [[], []])
+        rows = []
+        for item_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found = words(text)
+            rows += [(item_id, text if not k else None, t, 0 if k else len(found)) for k, t in enumerate(sorted(set(found)))]
+        yield batch("item_id long, text string, term string, n long", list(zip(*rows)) if rows else [[]] * 4)
+
+
+def _unmatched(batches, index: Index, alpha: float, at: int):
+    for b in batches:
+        ok = [i for i, text in enumerate(b.column(at).to_pylist()) if not index.match(text, alpha)]
+        yield b.take(pa.array(ok, pa.int64()))
+
+
+def indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
+    """An index for each block of items; document frequencies are those of all items."""
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).distinct()
+    counted = items.mapInArrow(_item_words, "item_id long, text string, term string, n long")
+    found = keep(counted, "item_words")
+    items = found.where("n > 0").select("item_id", "text", "n")          # one row for each item with a word
+    size = items.agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if not size["items"]:
+        return
+    df = keep(found.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "item_terms")
+    blocks = -(-size["bytes"] // index_bytes)
+    of_block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
+    for k in range(blocks):
+        terms = df.join(found.where(of_block == k).select("term").distinct(), "term", "left_semi")
+        some = items.where(of_block == k).orderBy("item_id", "text")
+        yield Index([(r["item_id"], r["text"]) for r in some.collect()], {r["term"]: r["df"] for r in terms.collect()}, size["items"], size["n"] / size["items"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, alpha: float = ALPHA, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """One row for each document and item whose overlap is verified."""
     spark = tune(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(r"text RLIKE '\\w'").distinct()
-    items = keep(items, "items")
-    # Document frequencies over all items, held per item for the terms it has.
-    counted = items.select("text").mapInArrow(_item_words, "term string, n long")
-    df = keep(counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("n")), "item_terms")
-    size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    if not size["n"]:
-        return spark.createDataFrame([], OUT)
-    mean = df.agg(F.sum("n")).first()[0] / size["n"]
-    blocks = -(-size["bytes"] // index_bytes)
     found = []
-    for k in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        held = some.select("text").mapInArrow(_item_words, "term string, n long").select("term").distinct()
-        own = {r["term"]: r["df"] for r in df.join(held, "term", "left_semi").collect()}
-        index = Index([(r["item_id"], r["text"]) for r in some.orderBy("item_id", "text").collect()], own, size["n"], mean)
+    for index in indexes(benchmark, index_bytes):
         sent = spark.sparkContext.broadcast(index)
         found.append(docs.mapInArrow(lambda it, sent=sent: _matched(it, sent.value, alpha), OUT))
+    if not found:
+        return spark.createDataFrame([], OUT)
     return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(
         *(F.max(c).alias(c) for c in ("score", "overlap", "question_overlap", "answer_overlap")))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, alpha: float = ALPHA, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """The rows of ``docs`` in which no item is found, all columns as they are."""
+    spark, at = tune(docs.sparkSession), docs.columns.index("text")
+    for index in indexes(benchmark, index_bytes):
+        sent = spark.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(lambda it, sent=sent: _unmatched(it, sent.value, alpha, at), docs.schema)
+    return docs

@@ -101,17 +101,20 @@ def least_matches(perms: int, step: int, threshold: tuple[int, int], miss: float
     return out
 
 
+SIGNED = "doc_id long, h long, n_shingles long, fp binary, sig binary"
+
+
 def _signed(batches, width, perms):
     for b in batches:
         ids, fps, sizes, sigs = [], [], [], []
-        for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for doc_id, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
             w = words(text)
             s = shingles(w, width)
             ids.append(doc_id)
             sizes.append(len(s))
             fps.append(xxhash.xxh3_128_digest(b" ".join(w)) if w else None)
             sigs.append(signature(s, perms).tobytes() if w else None)
-        yield batch("doc_id long, n_shingles long, fp binary, sig binary", (ids, sizes, fps, sigs))
+        yield batch(SIGNED, (ids, b.column(1).to_pylist(), sizes, fps, sigs))
 
 
 def _banded(batches, perms, rows):
@@ -226,16 +229,30 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("fp", F.col("next").alias("comp"))
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, perms: int = PERMS,
-                    rows: int = ROWS, step: int = STEP, miss: float = MISS, block: int = BLOCK, block_words: int = BLOCK_WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     ``docs`` needs doc_id and text; other columns are ignored. An empty table
-    gives an empty result."""
+    gives an empty result. ``settings`` are those of ``groups``."""
+    return groups(docs, **settings).drop("h")
+
+
+def without_copies(docs: DataFrame, **settings) -> DataFrame:
+    """One row of ``docs`` for each group of near copies, all columns as they
+    are. Documents without a doc_id that only link with one another all stay."""
+    kept = groups(docs, **settings).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("h").alias("kept_h")).distinct()
+    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_h"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, perms: int = PERMS, rows: int = ROWS,
+           step: int = STEP, miss: float = MISS, block: int = BLOCK, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``near_duplicates`` with h, the hash of each row's text."""
     tune(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     least = least_matches(perms, step, threshold, miss)
-    base = keep(docs.mapInArrow(lambda it: _signed(it, width, perms), "doc_id long, n_shingles long, fp binary, sig binary"), "signed")
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    base = keep(hashed.mapInArrow(lambda it: _signed(it, width, perms), SIGNED), "signed")
     some = base.where("fp IS NOT NULL")
     # One node per fingerprint; equal fingerprints have equal signatures.
     nodes = some.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig"))
@@ -279,6 +296,6 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, i
     grouped = nodes.select("fp", "doc_id").join(labels, "fp", "left").select("fp", "doc_id", F.coalesce("comp", "fp").alias("comp"))
     first = grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     found = grouped.join(first, "comp").select("fp", "component_id")
-    out = some.select("doc_id", "n_shingles", "fp").join(found, "fp").select("doc_id", "n_shingles", "component_id")
-    alone = base.where("fp IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = some.select("doc_id", "h", "n_shingles", "fp").join(found, "fp").select("doc_id", "h", "n_shingles", "component_id")
+    alone = base.where("fp IS NULL").select("doc_id", "h", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

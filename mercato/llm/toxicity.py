@@ -35,6 +35,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -367,3 +368,22 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Da
     tune(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return score_documents(docs, train(docs, labels, max_docs))
+
+
+def _harmless(batches, model: Model, at: int):
+    score = _scorer(model)
+    for b in batches:
+        found = [terms(t) for t in b.column(at).to_pylist()]
+        score(set().union(*found) if found else set())
+        ok = [i for i, f in enumerate(found) if model.document(strongest(score(f))) < CUT]
+        yield b.take(pa.array(ok, pa.int64()))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
+    tune(docs.sparkSession)
+    model = train(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), labels, max_docs)
+    if model is None:
+        return docs
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    return docs.mapInArrow(lambda it: _harmless(it, sent.value, at), docs.schema)
