@@ -14,6 +14,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -33,7 +34,7 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [k for k in os.environ.get("BENCH_ONLY", "").split(",") if k]
     spark = build_session(f"local[{cpus}]", app="mercato-bench", shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="mercato-bench-")})
     qs = queries()
     if only:
         qs = {k: v for k, v in qs.items() if k in only}

@@ -5,11 +5,9 @@ whole-stage codegen; none is a Python UDF.
 """
 
 from mercato.functions.dates import (
-    day_name,
     day_name_of,
     month_name_of,
     minute_boundaries,
-    month_name,
     parse_dmy,
     shift_years,
     tsql_week,
@@ -18,6 +16,6 @@ from mercato.functions.numeric import round_ratio
 from mercato.functions.text import dollars, leading_number, money_text, null_text
 
 __all__ = [
-    "day_name", "day_name_of", "month_name_of", "minute_boundaries", "month_name", "parse_dmy", "shift_years",
+    "day_name_of", "month_name_of", "minute_boundaries", "parse_dmy", "shift_years",
     "tsql_week", "round_ratio", "dollars", "leading_number", "money_text", "null_text",
 ]

@@ -56,15 +56,6 @@ def minute_boundaries(start, end) -> Column:
     return _minutes_since_origin(end) - _minutes_since_origin(start)
 
 
-def month_name(col, case: str = "title") -> Column:
-    """Full month name without padding; ``case`` is title, upper or lower."""
-    return _case(F.date_format(_c(col), "MMMM"), case)
-
-
-def day_name(col, case: str = "title") -> Column:
-    return _case(F.date_format(_c(col), "EEEE"), case)
-
-
 # Fixed reference days for naming numbers: 2023-01-01 was a Sunday.
 _SUNDAY = "2023-01-01"
 

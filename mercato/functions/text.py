@@ -20,14 +20,16 @@ def null_text(col, to: str | None = "", sql_null_too: bool = False) -> Column:
 
 
 def leading_number(col, integral: bool = False) -> Column:
-    """First number inside a text such as ``'20km'``, ``'32 mins'``.
+    """The number at the start of a text such as ``'20km'``, ``'32 mins'``,
+    ``'-5km'``, ``'.5km'`` or ``'1,200km'``.
 
-    Unit words and blanks are dropped whatever their spelling; text with no
-    digits (``'null'``, ``''``) gives NULL instead of a cast error.
+    What follows the number (a unit, blanks) is dropped whatever its spelling.
+    Any other text, such as ``'null'``, ``''`` or ``'1,2km'``, gives NULL
+    instead of a wrong number. ``integral`` cuts the decimals off.
     """
-    pattern = r"(\d+)" if integral else r"(\d+(?:\.\d+)?)"
-    txt = F.regexp_extract(_c(col), pattern, 1)
-    return txt.try_cast("bigint" if integral else "double")
+    number = r"(?:(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?|\.\d+)"
+    txt = F.replace(F.regexp_extract(_c(col), rf"^\s*([+-]?{number})(?![\d.,])", 1), F.lit(","), F.lit(""))
+    return txt.try_cast("decimal(38,10)").try_cast("bigint") if integral else txt.try_cast("double")
 
 
 def money_text(col, prefix: str = "$ ") -> Column:
@@ -36,9 +38,12 @@ def money_text(col, prefix: str = "$ ") -> Column:
 
 
 def dollars(col, digits: int | None = None) -> Column:
-    """``'$'`` followed by the value; with ``digits`` the value is shown with
-    exactly that many decimals (no exponent notation for large amounts)."""
-    c = _c(col)
-    if digits is not None:
-        c = F.round(c, digits).cast(f"decimal(38,{digits})")
-    return F.concat(F.lit("$"), c.cast("string"))
+    """``'$'`` followed by the value; with ``digits`` it is rounded first."""
+    return F.concat(F.lit("$"), _c(col).cast("string") if digits is None else rounded_text(col, digits))
+
+
+def rounded_text(col, digits: int = 2) -> Column:
+    """The value rounded to ``digits`` decimals as text, without trailing zeros
+    or exponent, as a database prints a rounded float."""
+    text = F.round(_c(col), digits).cast(f"decimal(38,{digits})").cast("string")
+    return F.regexp_replace(text, r"\.?0+$", "")

@@ -135,7 +135,7 @@ def closing_balance(txns: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy("customer_id", "month") if ordered else out
 
 
-def _growth_share(balances: DataFrame, txns: DataFrame, threshold: int, absolute: bool) -> DataFrame:
+def _growth_share(balances: DataFrame, threshold: int, absolute: bool) -> DataFrame:
     w = Window.partitionBy("customer_id").orderBy("month")
     prev = F.lag("closing_balance").over(w)
     g = balances.select("customer_id", "closing_balance", prev.alias("prev"))
@@ -144,12 +144,11 @@ def _growth_share(balances: DataFrame, txns: DataFrame, threshold: int, absolute
     # a zero previous balance gives no ratio.
     diff = (F.col("closing_balance") - F.col("prev")).cast("decimal(38,0)") * 100
     grew = F.when(denom != 0, (diff - denom * threshold) * F.signum(denom) > 0)
-    grown = g.filter(grew).agg(F.countDistinct("customer_id").alias("grown"))
-    everyone = txns.agg(F.countDistinct("customer_id").alias("everyone"))
-    # both sides are one-row aggregates
-    return grown.crossJoin(F.broadcast(everyone)).select(
-        ((F.col("grown") * 100).cast("double") / F.nullif(F.col("everyone"), F.lit(0)).cast("double"))
-        .alias("percentage_customer"))
+    # Every customer with transactions has a balance, and the rows already lie
+    # by customer: one scan and one exchange give both counts.
+    each = g.groupBy("customer_id").agg(F.max(grew).alias("grew")).filter("customer_id IS NOT NULL")
+    grown, everyone = F.count(F.when(F.col("grew"), 1)), F.count(F.lit(1))
+    return each.agg(((grown * 100).cast("double") / F.nullif(everyone, F.lit(0)).cast("double")).alias("percentage_customer"))
 
 
 def growth_share(txns: DataFrame, threshold: int = GROWTH_THRESHOLD) -> DataFrame:
@@ -157,10 +156,10 @@ def growth_share(txns: DataFrame, threshold: int = GROWTH_THRESHOLD) -> DataFram
     more than ``threshold`` percent over the previous month's net (the
     "closing balance" there is partitioned by customer and month)."""
     net = _monthly_net(txns).withColumnRenamed("amount", "closing_balance")
-    return _growth_share(net, txns, threshold, absolute=False)
+    return _growth_share(net, threshold, absolute=False)
 
 
 def growth_share_fixed(txns: DataFrame, threshold: int = GROWTH_THRESHOLD) -> DataFrame:
     """Share of customers whose running closing balance grew by more than
     ``threshold`` percent of the previous balance's size in some month."""
-    return _growth_share(closing_balance(txns, ordered=False), txns, threshold, absolute=True)
+    return _growth_share(closing_balance(txns, ordered=False), threshold, absolute=True)

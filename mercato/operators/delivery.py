@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from mercato.functions.dates import day_name_of, minute_boundaries, tsql_week
 from mercato.functions.numeric import int_div, round_ratio
 from mercato.operators.ranking import ties_at_max
-from mercato.functions.text import dollars
+from mercato.functions.text import dollars, rounded_text
 
 # Fixed values of the case study (defaults of the parameters below).
 VEGETARIAN = "Vegetarian"
@@ -31,7 +31,6 @@ PRICE_BY_PIZZA = {1: 12}
 OTHER_PIZZA_PRICE = 10
 EXTRA_FEE = 1
 PAY_PER_KM = 0.30
-NAME_WIDTH = 15  # pizza and topping names are retyped to varchar(15)
 RATINGS_ROWS = [
     (1, 1, 101, 4),
     (1, 2, 102, 3),
@@ -43,9 +42,9 @@ RATINGS_ROWS = [
     (2, 8, 105, 4),
 ]
 RATINGS_SCHEMA = T.StructType([
-    T.StructField("runner_id", T.LongType()),
-    T.StructField("order_id", T.LongType()),
-    T.StructField("customer_id", T.LongType()),
+    T.StructField("runner_id", T.IntegerType()),
+    T.StructField("order_id", T.IntegerType()),
+    T.StructField("customer_id", T.IntegerType()),
     T.StructField("rating", T.IntegerType()),
 ])
 
@@ -55,10 +54,6 @@ def _delivered_by_distance(runs: DataFrame) -> DataFrame:
     return runs.filter(F.col("distance") != 0)
 
 
-def _short_name(col: str) -> Column:
-    return F.substring(F.col(col), 1, NAME_WIDTH)
-
-
 def _price(price_by_id: dict[int, int], other: int) -> Column:
     out = F.lit(other)
     for pid, p in price_by_id.items():
@@ -84,7 +79,7 @@ def delivered_by_type(orders: DataFrame, runs: DataFrame, names: DataFrame) -> D
     """Delivered pizzas per pizza name."""
     per_pizza = (orders.join(_delivered_by_distance(runs).select("order_id"), on="order_id")
                  .groupBy("pizza_id").agg(F.count("pizza_id").alias("n")))
-    return (per_pizza.join(names.select("pizza_id", _short_name("pizza_name").alias("pizza_name")), on="pizza_id")
+    return (per_pizza.join(names.select("pizza_id", "pizza_name"), on="pizza_id")
             .groupBy("pizza_name").agg(F.sum("n").alias("total_pizza_order")))
 
 
@@ -156,8 +151,14 @@ def signups_per_week(runners: DataFrame) -> DataFrame:
             .agg(F.count("runner_id").alias("no_of_runners")))
 
 
+def _by_order(orders: DataFrame) -> DataFrame:
+    """Pizza rows dealt by order: the groups within an order and the join on
+    order_id that follows then share this one exchange."""
+    return orders.repartition("order_id")
+
+
 def _order_times(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("order_id", "order_time").agg(F.count("order_time").alias("n_pizza"))
+    return _by_order(orders).groupBy("order_id", "order_time").agg(F.count("order_time").alias("n_pizza"))
 
 
 def _delivered_pickups(runs: DataFrame, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -215,7 +216,7 @@ def prep_vs_size_fixed(orders: DataFrame, runs: DataFrame, min_minutes: int = MI
 def avg_distance(orders: DataFrame, runs: DataFrame) -> DataFrame:
     """Average distance per customer, weighted by pizza rows as written.
     Orders are reduced to (order, customer, pizzas) before the join."""
-    per_order = orders.groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+    per_order = _by_order(orders).groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
     j = per_order.join(_delivered_by_distance(runs).select("order_id", "distance"), on="order_id")
     return j.groupBy("customer_id").agg(
         (F.sum(F.col("distance") * F.col("n")) / F.sum("n")).alias("distance"))
@@ -227,12 +228,11 @@ def duration_range(runs: DataFrame) -> DataFrame:
 
 
 def speed_per_delivery(runs: DataFrame) -> DataFrame:
-    """``<km/h with 2 decimals>km/hr`` per runner and order."""
+    """``<km/h rounded to 2 decimals>km/hr`` per runner and order."""
     # a zero duration gives no speed instead of failing the job (ANSI)
     speed = F.avg(F.try_divide(F.col("distance") * 60, F.col("duration")))
     return (_delivered_by_distance(runs).groupBy("runner_id", "order_id")
-            .agg(F.concat(F.round(speed, 2).cast("decimal(38,2)").cast("string"), F.lit("km/hr"))
-                 .alias("avg_speed")))
+            .agg(F.concat(rounded_text(speed), F.lit("km/hr")).alias("avg_speed")))
 
 
 def success_percent(runs: DataFrame) -> DataFrame:
@@ -251,8 +251,7 @@ def success_percent_fixed(runs: DataFrame) -> DataFrame:
 def recipe_toppings(recipes: DataFrame, toppings: DataFrame, names: DataFrame) -> DataFrame:
     """Standard toppings of each pizza (recipes hold one topping id per row)."""
     j = recipes.join(toppings, recipes.toppings == toppings.topping_id).join(names, on="pizza_id")
-    return j.select(_short_name("pizza_name").alias("pizza_name"),
-                    _short_name("topping_name").alias("topping_name"))
+    return j.select("pizza_name", "topping_name")
 
 
 # ---- D. pricing and ratings -----------------------------------------------------
@@ -273,13 +272,13 @@ def _delivered_revenue(orders, runs, price_by_id, other) -> DataFrame:
 
 def revenue(orders: DataFrame, runs: DataFrame, price_by_id: dict[int, int] | None = None,
             other: int = OTHER_PIZZA_PRICE) -> DataFrame:
-    j = _delivered_revenue(orders, runs, price_by_id or PRICE_BY_PIZZA, other)
+    j = _delivered_revenue(orders, runs, PRICE_BY_PIZZA if price_by_id is None else price_by_id, other)
     return j.agg(F.sum("amount").alias("amount"))
 
 
 def revenue_with_extras(orders: DataFrame, runs: DataFrame, price_by_id: dict[int, int] | None = None,
                         other: int = OTHER_PIZZA_PRICE, extra_fee: int = EXTRA_FEE) -> DataFrame:
-    j = _delivered_revenue(orders, runs, price_by_id or PRICE_BY_PIZZA, other)
+    j = _delivered_revenue(orders, runs, PRICE_BY_PIZZA if price_by_id is None else price_by_id, other)
     total = F.sum("amount") + F.sum("with_extras") * extra_fee
     return j.agg(dollars(total).alias("total"))
 
@@ -311,7 +310,7 @@ def order_summary(orders: DataFrame, runs: DataFrame, ratings: DataFrame) -> Dat
     pizza count before the joins; averages are weighted by that count, which
     gives the same result as joining every pizza row.
     """
-    per_order = orders.groupBy("order_id", "customer_id", "order_time").agg(
+    per_order = _by_order(orders).groupBy("order_id", "customer_id", "order_time").agg(
         F.count("pizza_id").alias("n"))
     r = runs.select("order_id", "runner_id", "pickup_time", "duration", "distance")
     j = per_order.join(r, on="order_id").join(ratings.select("order_id", "rating"), on="order_id")
@@ -331,7 +330,7 @@ def order_summary(orders: DataFrame, runs: DataFrame, ratings: DataFrame) -> Dat
 def profit(orders: DataFrame, runs: DataFrame, price_by_id: dict[int, int] | None = None,
            other: int = OTHER_PIZZA_PRICE, per_km: float = PAY_PER_KM) -> DataFrame:
     """As written: the distance of an order is paid once per pizza row."""
-    j = _delivered_revenue(orders, runs, price_by_id or PRICE_BY_PIZZA, other)
+    j = _delivered_revenue(orders, runs, PRICE_BY_PIZZA if price_by_id is None else price_by_id, other)
     left = F.sum("amount") - F.sum(F.col("distance") * F.col("n")) * per_km
     return j.agg(dollars(left, 2).alias("total_price"))
 
@@ -339,6 +338,6 @@ def profit(orders: DataFrame, runs: DataFrame, price_by_id: dict[int, int] | Non
 def profit_fixed(orders: DataFrame, runs: DataFrame, price_by_id: dict[int, int] | None = None,
                  other: int = OTHER_PIZZA_PRICE, per_km: float = PAY_PER_KM) -> DataFrame:
     """Revenue minus the runner fee paid once per delivered order."""
-    j = _delivered_revenue(orders, runs, price_by_id or PRICE_BY_PIZZA, other)
+    j = _delivered_revenue(orders, runs, PRICE_BY_PIZZA if price_by_id is None else price_by_id, other)
     left = F.sum("amount") - F.sum("distance") * per_km
     return j.agg(dollars(left, 2).alias("total_price"))

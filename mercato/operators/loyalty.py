@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.ranking import first_by, rank_distinct, ties_at_max
+from mercato.operators.ranking import first_by, rank_distinct
 
 # Fixed values of the case study (defaults of the parameters below).
 SPECIAL_PRODUCT = "sushi"
@@ -54,7 +54,13 @@ def visits(sales: DataFrame) -> DataFrame:
 
 def first_item(sales: DataFrame, menu: DataFrame, tie: Sequence[str] = ("product_id",)) -> DataFrame:
     """First product each customer bought (earliest day, then ``tie``)."""
-    first = first_by(sales, "customer_id", ["order_date", *tie])
+    if tuple(tie) == ("product_id",):
+        # Two hash aggregates: the least product of each day, then that of the first day.
+        days = sales.groupBy("customer_id", "order_date").agg(F.min("product_id").alias("product_id"))
+        first = days.groupBy("customer_id").agg(
+            F.coalesce(F.min_by("product_id", "order_date"), F.min("product_id")).alias("product_id"))
+    else:
+        first = first_by(sales, "customer_id", ["order_date", *tie])
     return first.join(menu, on="product_id").select(
         "customer_id", F.col("product_name").alias("first_product"))
 
@@ -67,8 +73,7 @@ def top_item_by_customer(sales: DataFrame, menu: DataFrame, k: int = 1,
     ranked = priced if priced is not None else priced_sales(sales, menu)
     counts = ranked.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "product_id").limit(k).select("product_id")
-    # top holds at most k rows by construction: safe to broadcast.
-    bought = sales.join(F.broadcast(top), on="product_id", how="left_semi")
+    bought = sales.join(top, on="product_id", how="left_semi")
     per_customer = bought.groupBy("customer_id", "product_id").agg(
         F.count(F.lit(1)).alias("purchase_count"))
     return (per_customer.join(menu, on="product_id")
@@ -81,12 +86,16 @@ def favourite_item(sales: DataFrame, menu: DataFrame | None) -> DataFrame:
     # ranked by count(product_name), reported as count(product_id), as written
     counts = _priced(sales, menu).groupBy("customer_id", "product_name").agg(
         F.count("product_id").alias("order_count"), F.count("product_name").alias("_by_name"))
-    return ties_at_max(counts, "customer_id", "_by_name").select(
-        "customer_id", "product_name", "order_count")
+    # The window holds a customer's menu items, not the sales.
+    rank = F.rank().over(Window.partitionBy("customer_id").orderBy(F.desc("_by_name")))
+    return counts.withColumn("_rank", rank).filter("_rank = 1").select("customer_id", "product_name", "order_count")
 
 
-def _member_sales(sales: DataFrame, menu: DataFrame | None, members: DataFrame, after: bool) -> DataFrame:
-    joined = _priced(sales, menu).join(members, on="customer_id", how="inner")
+def _of_members(per_day: DataFrame, members: DataFrame, after: bool) -> DataFrame:
+    """Rows already reduced to a customer's days, joined with the members and
+    cut at the join day. The join takes no raw sales: a customer with any share
+    of the rows brings at most a row for each day (and product)."""
+    joined = per_day.join(members, on="customer_id", how="inner")
     cond = F.col("order_date") >= F.col("join_date") if after else F.col("order_date") < F.col("join_date")
     return joined.filter(cond)
 
@@ -94,23 +103,29 @@ def _member_sales(sales: DataFrame, menu: DataFrame | None, members: DataFrame,
 def first_after_join(sales: DataFrame, menu: DataFrame | None, members: DataFrame,
                      tie: Sequence[str] = ("product_id",)) -> DataFrame:
     """First purchase on or after the join day, one row per member."""
-    j = _member_sales(sales, menu, members, after=True)
+    bought = _priced(sales, menu).select("customer_id", "order_date", *tie, "product_name").distinct()
+    j = _of_members(bought, members, after=True)
     first = first_by(j, "customer_id", ["order_date", *tie], carry=["join_date", "product_name"])
     return first.select("customer_id", "join_date", "order_date", "product_name")
 
 
 def last_before_join(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """Every item of the last purchase day before joining."""
-    j = _member_sales(sales, menu, members, after=False)
-    return ties_at_max(j, "customer_id", "order_date").select(
-        "customer_id", "join_date", "order_date", "product_name")
+    bought = _priced(sales, menu).groupBy("customer_id", "order_date", "product_name").agg(F.count(F.lit(1)).alias("n"))
+    before = _of_members(bought, members, after=False)
+    # A customer_id out of an inner join is never NULL: plain equality will do.
+    last = before.groupBy("customer_id").agg(F.max("order_date").alias("order_date"))
+    items = before.join(last, on=["customer_id", "order_date"])
+    each = items.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+    return each.select("customer_id", "join_date", "order_date", "product_name")
 
 
 def before_join_totals(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """Items and money spent before joining."""
-    j = _member_sales(sales, menu, members, after=False)
-    return j.groupBy("customer_id").agg(
-        F.count("product_id").alias("total_item"), F.sum("price").alias("total_amount"))
+    days = _priced(sales, menu).groupBy("customer_id", "order_date").agg(
+        F.count("product_id").alias("items"), F.sum("price").alias("amount"))
+    return _of_members(days, members, after=False).groupBy("customer_id").agg(
+        F.sum("items").alias("total_item"), F.sum("amount").alias("total_amount"))
 
 
 def points(sales: DataFrame, menu: DataFrame | None, special: str = SPECIAL_PRODUCT,
@@ -127,29 +142,32 @@ def first_week_points(sales: DataFrame, menu: DataFrame | None, members: DataFra
                       lo: int = BASE_MULTIPLIER) -> DataFrame:
     """Member points before ``cutoff``: ``hi`` for the special product or any
     order from the join day to ``days`` later (both ends included)."""
-    j = (_priced(sales, menu).filter(F.col("order_date") < F.lit(cutoff).cast("date"))
-         .join(members, on="customer_id"))
-    bonus = (F.col("product_name") == special) | F.col("order_date").between(
-        F.col("join_date"), F.date_add("join_date", days))
-    pts = F.when(bonus, F.col("price") * hi).otherwise(F.col("price") * lo)
+    is_special = F.coalesce(F.col("product_name") == special, F.lit(False))
+    per_day = _priced(sales, menu).filter(F.col("order_date") < F.lit(cutoff).cast("date")).groupBy(
+        "customer_id", "order_date", is_special.alias("_special")).agg(F.sum("price").alias("amount"))
+    j = per_day.join(members, on="customer_id")
+    bonus = F.col("_special") | F.col("order_date").between(F.col("join_date"), F.date_add("join_date", days))
+    pts = F.when(bonus, F.col("amount") * hi).otherwise(F.col("amount") * lo)
     return j.groupBy("customer_id").agg(F.sum(pts).alias("reward_points"))
 
 
-def membership_flag(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
+def membership_flag(sales: DataFrame, menu: DataFrame | None, members: DataFrame,
+                    ordered: bool = True) -> DataFrame:
     """Every sale with ``Y`` when made on or after joining, else ``N``
-    (non-members compare with NULL and get ``N``)."""
+    (non-members compare with NULL and get ``N``), by customer and day."""
     j = _priced(sales, menu).join(members, on="customer_id", how="left")
     flag = F.when(F.col("order_date") >= F.col("join_date"), "Y").otherwise("N")
-    return j.select("customer_id", "order_date", "product_name", "price",
-                    flag.alias("membership"))
+    out = j.select("customer_id", "order_date", "product_name", "price", flag.alias("membership"))
+    return out.orderBy("customer_id", "order_date") if ordered else out
 
 
 def member_ranking(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """As ``membership_flag`` plus the dense rank of the order day among the
     customer's member days; NULL for non-member rows."""
-    flagged = membership_flag(sales, menu, members)
+    flagged = membership_flag(sales, menu, members, ordered=False)
     # 'Y' rows are exactly the inner-join rows on or after the join day
-    member_days = _member_sales(sales, menu, members, after=True).select("customer_id", "order_date")
+    days = _priced(sales, menu).select("customer_id", "order_date").distinct()
+    member_days = _of_members(days, members, after=True).select("customer_id", "order_date")
     ranks = rank_distinct(member_days, "customer_id", "order_date", "ranking")
     return (flagged.join(ranks.withColumn("membership", F.lit("Y")),
                          on=["customer_id", "order_date", "membership"], how="left")

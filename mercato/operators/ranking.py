@@ -10,11 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.session import shared_dir
-
 
 def _cols(cols) -> list[str]:
     if cols is None:
@@ -73,18 +71,6 @@ def first_by(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str],
         *keys, *[F.col(f"__f.{c}") for c in [*order, *carry]])
 
 
-def dense_rank_by(df: DataFrame, keys: Sequence[str] | str, order: str,
-                  name: str, descending: bool = False) -> DataFrame:
-    """Add ``dense_rank() over (partition by keys order by order)`` as ``name``.
-
-    The rank of a value is computed on the distinct (keys, order) pairs and
-    joined back, so a window never holds more than the distinct values of
-    one key (e.g. distinct days), whatever the number of rows.
-    """
-    keys = _cols(keys)
-    return _join_back(df, rank_distinct(df, keys, order, name, descending), [*keys, order])
-
-
 def rank_distinct(df: DataFrame, keys: Sequence[str] | str, order: str, name: str,
                   descending: bool = False) -> DataFrame:
     """Distinct (keys, order) pairs numbered 1, 2, ... within each key."""
@@ -94,42 +80,16 @@ def rank_distinct(df: DataFrame, keys: Sequence[str] | str, order: str, name: st
     return distinct.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(o)))
 
 
-def next_in_order(df: DataFrame, key: str, t: str, tie: str, name: str) -> DataFrame:
+def next_time(df: DataFrame, key: str, t: str, tie: str, name: str) -> DataFrame:
     """Add ``lead(t) over (partition by key order by t, tie)`` as ``name``.
 
-    No window is partitioned by ``key``, so a key with a third of all rows is
-    still spread over many tasks:
-
-    1. sort globally by (key, t, tie): range partitioning splits a hot key;
-    2. number rows with ``monotonically_increasing_id`` right after the sort,
-       which is consecutive within a task (partition index in the high bits);
-    3. a row's successor is id + 1, or, for the last row of a task, the first
-       id of the next non-empty task (a table of one row per partition, so its
-       broadcast is bounded by the partition count);
-    4. join each row to its successor by id (unique keys, no skew) and take
-       the successor's ``t`` when it has the same ``key``.
-
-    (key, t, tie) must be unique. The numbered rows are checkpointed (a job
-    runs when this is called), so every branch sees the same ids.
+    Only the next time is wanted, so the window runs over the distinct
+    (key, t) pairs, of which a key has as many as the calendar has times,
+    whatever its number of rows. A row whose ``tie`` is not the largest of its
+    time is followed by another row of the same time. (key, t, tie) must be
+    unique and ``t`` and ``tie`` not NULL.
     """
-    rid, nid, part = "__rid", "__nid", "__part"
-    ordered = (df.orderBy(*[F.col(c).asc_nulls_last() for c in (key, t, tie)])
-               .withColumn(rid, F.monotonically_increasing_id()))
-    ordered = ordered.withColumn(part, F.shiftright(F.col(rid), 33))
-    # The ids are read by three branches below; a reliable checkpoint (in the
-    # shared spark.checkpoint.dir) fixes them once and cuts the lineage.
-    shared_dir(df.sparkSession)
-    ordered = ordered.checkpoint(eager=True)
-    bounds = ordered.groupBy(part).agg(F.min(rid).alias("__first"), F.max(rid).alias("__last"))
-    bounds = bounds.withColumn("__next_first", F.lead("__first").over(Window.orderBy(part)))
-    linked = ordered.join(F.broadcast(bounds), on=part).withColumn(
-        nid, F.when(F.col(rid) < F.col("__last"), F.col(rid) + 1).otherwise(F.col("__next_first")))
-    succ = ordered.select(F.col(rid).alias(nid), F.col(key).alias("__succ_key"), F.col(t).alias("__succ_t"))
-    out = linked.join(succ, on=nid, how="left")
-    nxt = F.when(F.col("__succ_key").eqNullSafe(F.col(key)), F.col("__succ_t"))
-    return out.select(*df.columns, nxt.alias(name))
-
-
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """Global top-k (sort + limit planned as a distributed TakeOrderedAndProject)."""
-    return df.orderBy(*order).limit(k)
+    times = df.groupBy(key, t).agg(F.max(tie).alias("__last"))
+    times = times.withColumn("__next", F.lead(t).over(Window.partitionBy(key).orderBy(t)))
+    j = _join_back(df, times, [key, t])
+    return j.withColumn(name, F.when(F.col(tie) < F.col("__last"), F.col(t)).otherwise(F.col("__next"))).select(*df.columns, name)

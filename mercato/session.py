@@ -1,10 +1,7 @@
-"""Session construction and the shared folder used to cut lineage."""
+"""Session construction and the shared folder of written tables."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Session settings the operators rely on. AQE re-plans joins at runtime:
@@ -44,23 +41,13 @@ def build_session(master: str | None = None, app: str = "mercato",
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by all executors for checkpoints and written tables.
-
-    Taken from ``spark.checkpoint.dir`` as set by the cluster. Only when the
-    session has none (local tests) a fresh folder is created and registered.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        current = tempfile.mkdtemp(prefix="mercato-ckpt-")
-        sc.setCheckpointDir(current)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+def shared_dir(spark: SparkSession) -> str | None:
+    """Folder shared by all executors for checkpoints and written tables: the
+    session's ``spark.checkpoint.dir``. None where it is unset; nothing is
+    written then."""
+    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or None
 
 
-def table_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_dir(spark), "tables", name)
+def session_key(spark: SparkSession) -> str:
+    """Tells apart the sessions of one application."""
+    return f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"

@@ -7,10 +7,11 @@ named by ``spark.checkpoint.dir`` and later queries scan it, with filter
 pushdown and partition pruning. Writing cuts the lineage, so a lost
 executor costs a re-read of the written files, not a re-run of the joins.
 
-Tables are keyed by a fingerprint of the source files (path, size, mtime)
-and a layout version, so a changed source or layout gets a fresh table.
-A table is complete only when its ``_SUCCESS`` marker exists; its schema is
-kept next to it, so an existing table is opened without planning its builder.
+Tables are keyed by a fingerprint of all source files (path, size, mtime)
+and of the code that derives them, so a changed source or rule gets a fresh
+table. A table is written under a name of its own and renamed when complete,
+its schema with it: of two writers one wins, and no reader sees half a table.
+An existing table is opened without planning its builder.
 """
 
 from __future__ import annotations
@@ -18,14 +19,13 @@ from __future__ import annotations
 import hashlib
 import json
 import threading
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from mercato.session import shared_dir
-
-LAYOUT_VERSION = "1"
+from mercato.session import session_key, shared_dir
 
 # Written tables are immutable: the DataFrame reading one is reused for the
 # rest of the session instead of re-analysing its builder plan.
@@ -67,14 +67,25 @@ def _read_text(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
-def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
-    h = hashlib.sha256(LAYOUT_VERSION.encode())
+def _files(fs, p) -> list[str]:
+    """Every file below a path, with its size and time."""
+    if not fs.exists(p):
+        return []
+    found, names = fs.listFiles(p, True), []
+    while found.hasNext():
+        st = found.next()
+        names.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    return sorted(names)
+
+
+def fingerprint(spark: SparkSession, paths: Sequence[str], rules: Sequence[str] = ()) -> str:
+    """Digest of the files below ``paths`` and of the texts ``rules``."""
+    h = hashlib.sha256()
     for path in sorted(paths):
         fs, p = _fs(spark, path)
-        h.update(path.encode())
-        if fs.exists(p):
-            st = fs.getFileStatus(p)
-            h.update(f"{st.getLen()}:{st.getModificationTime()}".encode())
+        h.update("\n".join([path, *_files(fs, p)]).encode())
+    for text in rules:
+        h.update(text.encode())
     return h.hexdigest()[:16]
 
 
@@ -83,7 +94,10 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, key: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/tables/{key}"
+        folder = shared_dir(spark)
+        if folder is None:
+            raise ValueError("written tables need spark.checkpoint.dir")
+        self.root = f"{folder.rstrip('/')}/tables/{key}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -91,7 +105,7 @@ class Catalog:
     def table(self, name: str, build: Callable[[], DataFrame],
               partition_by: Sequence[str] = ()) -> DataFrame:
         path = self.path(name)
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (session_key(self.spark), path)
         with _GUARD:
             lock = _LOCKS.setdefault(key, threading.Lock())
         with lock:
@@ -102,10 +116,13 @@ class Catalog:
                 else:
                     df = build()
                     schema = df.schema  # keeps types and column order on read
-                    w = df.write.mode("overwrite")
-                    if partition_by:
-                        w = w.partitionBy(*partition_by)
-                    w.parquet(path)
-                    _write_text(self.spark, schema_file, schema.json())
+                    own = f"{self.root}/.{name}-{uuid.uuid4().hex}"
+                    df.write.parquet(own, partitionBy=list(partition_by) or None)
+                    _write_text(self.spark, f"{own}/_mercato_schema.json", schema.json())
+                    fs, source = _fs(self.spark, own)
+                    target = _fs(self.spark, path)[1]
+                    # Where another application was first, its table stands.
+                    if fs.exists(target) or not fs.rename(source, target):
+                        fs.delete(source, True)
                 _OPENED[key] = self.spark.read.schema(schema).parquet(path).select(*schema.names)
             return _OPENED[key]

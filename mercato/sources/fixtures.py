@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.dates import shift_years
-from mercato.operators.ranking import next_in_order
+from mercato.operators.ranking import next_time
 from mercato.sources.tables import Tables
 
 # Fixed values of the derivation rules.
@@ -21,8 +21,7 @@ YEAR_SHIFT = 20                      # order dates move from 1995-2001 to 2015-2
 MEMBER_EPOCH = "2017-01-01"          # members join on this day + custkey % 365
 RUNNER_EPOCH = "2021-01-01"          # runners register on this day + suppkey % 28
 OPEN_END = "9999-12-31"              # open customer node
-WEEKLY_FROM = "1998-01-01"           # weekly sales use orders from this date on
-WEEK_RANGE = (10, 40)                # ISO weeks kept in weekly sales
+FIRST_WEEK, N_WEEKS = 10, 31         # weekly sales are moved into ISO weeks 10..40 of their ISO year
 SEGMENTS = {"BUILDING": "C1", "HOUSEHOLD": "F2", "MACHINERY": "C3", "FURNITURE": "F4"}
 CUSTOMER_TYPES = ("New", "Existing", "Guest")  # by c_custkey % 3
 SHOPIFY_PRIORITIES = ("4-NOT SPECIFIED", "5-LOW")
@@ -57,6 +56,11 @@ class Fixtures:
             "l_orderkey", "l_linenumber",
         )
 
+    def sales_fact(self) -> DataFrame:
+        """Every sale with its product's name and price (NULL where the menu has none)."""
+        menu = self.menu().withColumn("on_menu", F.lit(True))
+        return self.sales().join(menu, on="product_id", how="left")
+
     def menu(self) -> DataFrame:
         return self.t.read("part", "p_partkey", "p_type", "p_size").select(
             F.col("p_partkey").alias("product_id"),
@@ -150,7 +154,7 @@ class Fixtures:
         n = self.t.read("nation", "n_nationkey", "n_regionkey")
         cn = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "n_regionkey")
         j = o.join(cn, o.o_custkey == cn.c_custkey)
-        j = next_in_order(j, "o_custkey", "o_orderdate", "o_orderkey", "next_orderdate")
+        j = next_time(j, "o_custkey", "o_orderdate", "o_orderkey", "next_orderdate")
         return j.select(
             F.col("o_custkey").alias("customer_id"),
             F.col("n_regionkey").alias("region_id"),
@@ -173,16 +177,22 @@ class Fixtures:
 
     # ---- sales mart (week 5) ----------------------------------------------
     def weekly_sales(self) -> DataFrame:
-        """Raw weekly sales: week text ``d/M/yy``, one row per week and cut."""
-        o = (self.t.read("orders", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-             .filter(F.col("o_orderdate") >= F.lit(WEEKLY_FROM).cast("timestamp_ntz")))
+        """Raw weekly sales: week text ``d/M/yy``, one row per week and cut.
+
+        Every order counts. The case study's year has weeks without sales, so
+        an order of ISO week w moves to week FIRST_WEEK + (w - 1) % N_WEEKS of
+        the same ISO year."""
+        o = self.t.read("orders", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
         c = self.t.read("customer", "c_custkey", "c_nationkey", "c_mktsegment")
         n = self.t.read("nation", "n_nationkey", "n_regionkey")
         r = self.t.read("region", "r_regionkey", "r_name")
         geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
         cust = c.join(geo, c.c_nationkey == geo.n_nationkey)
         j = o.join(cust, o.o_custkey == cust.c_custkey)
-        week = F.date_trunc("week", _shifted("o_orderdate")).cast("date")
+        monday = F.date_trunc("week", _shifted("o_orderdate")).cast("date")
+        iso_year = F.year(F.date_add(monday, 3))
+        first_monday = F.date_trunc("week", F.make_date(iso_year, F.lit(1), F.lit(4))).cast("date")
+        week = F.date_add(first_monday, (FIRST_WEEK - 1 + (F.weekofyear(monday) - 1) % N_WEEKS) * 7)
         segment = F.lit("null")
         for name, code in reversed(SEGMENTS.items()):
             segment = F.when(F.col("c_mktsegment") == name, code).otherwise(segment)
@@ -193,7 +203,6 @@ class Fixtures:
         g = (j.select(week.alias("wk"), F.col("r_name").alias("region"), platform.alias("platform"),
                       segment.alias("segment"), ctype.alias("customer_type"),
                       F.round("o_totalprice").cast("bigint").alias("amount"))
-             .filter(F.weekofyear("wk").between(*WEEK_RANGE))
              .groupBy("wk", "region", "platform", "segment", "customer_type")
              .agg(F.count(F.lit(1)).alias("transactions"), F.sum("amount").alias("sales")))
         return g.select(

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mercato.session import session_key
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -28,7 +30,7 @@ class Tables:
         return os.path.join(self.root, f"{name}.parquet")
 
     def read(self, name: str, *columns: str) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.path(name))
+        key = (session_key(self.spark), self.path(name))
         df = _OPENED.get(key)
         if df is None:
             df = _OPENED[key] = self.spark.read.parquet(self.path(name))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,7 +44,13 @@ def start_clean_sink(spark: SparkSession, kind: str, source_dir: str, table_dir:
     output across restarts and lost executors. ``available_now`` processes
     what is there and stops; otherwise the query keeps running.
     """
-    checkpoint = checkpoint or f"{shared_dir(spark).rstrip('/')}/streams/{kind}"
+    if checkpoint is None:
+        folder = shared_dir(spark)
+        if folder is None:
+            raise ValueError("give a checkpoint folder, or set spark.checkpoint.dir")
+        # A log for each source and target: sinks of one kind do not share one.
+        own = hashlib.sha256(f"{source_dir}\n{table_dir}".encode()).hexdigest()[:16]
+        checkpoint = f"{folder.rstrip('/')}/streams/{kind}-{own}"
     w = (clean_stream(spark, kind, source_dir).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if kind in PARTITION_BY:

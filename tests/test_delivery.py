@@ -99,7 +99,7 @@ def test_runner_experience(spark, pizza):
     assert rows(P.success_percent(runs)) == [(1, 100), (2, 75), (3, 50)]
     assert rows(P.success_percent_fixed(runs)) == [(1, 100.0), (2, 75.0), (3, 50.0)]
     speed = dict(((r, o), s) for r, o, s in rows(P.speed_per_delivery(runs)))
-    assert speed[(1, 1)] == "37.50km/hr" and speed[(2, 8)] == "93.60km/hr"
+    assert speed[(1, 1)] == "37.5km/hr" and speed[(2, 8)] == "93.6km/hr"
     # per-runner pickup minutes counted by minute boundaries (order 1: 18:05 -> 18:15)
     fixed = dict(rows(P.pickup_avg_fixed(orders, runs)))
     assert set(fixed) == {1, 2, 3}
@@ -153,4 +153,26 @@ def test_zero_duration_gives_no_speed_instead_of_error(spark):
     runs = spark.createDataFrame([(1, 1, 10.0, 0), (2, 1, 10.0, 20)],
                                  "order_id long, runner_id long, distance double, duration int")
     got = dict(((r, o), s) for r, o, s in rows(P.speed_per_delivery(runs)))
-    assert got[(1, 1)] is None and got[(1, 2)] == "30.00km/hr"
+    assert got[(1, 1)] is None and got[(1, 2)] == "30km/hr"
+
+
+def test_names_are_not_cut(spark):
+    names = spark.createDataFrame([(1, "Quattro Stagioni classic"), (2, "Quattro Stagioni special")], "pizza_id long, pizza_name string")
+    orders = spark.createDataFrame([(1, 1), (2, 2), (2, 2)], "order_id long, pizza_id long")
+    runs = spark.createDataFrame([(1, 5.0), (2, 6.0)], "order_id long, distance double")
+    assert rows(P.delivered_by_type(orders, runs, names)) == [("Quattro Stagioni classic", 1), ("Quattro Stagioni special", 2)]
+
+
+@pytest.mark.parametrize("of", [P.pickup_avg_fixed, P.prep_vs_size_fixed, P.avg_distance])
+def test_one_exchange_on_the_order_side(spark, of):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = spark.range(100).selectExpr("id order_id", "id % 7 customer_id", "timestamp_ntz'2021-01-01 10:00:00' order_time", "id pizza_id")
+        runs = spark.range(100).selectExpr("id order_id", "id % 3 runner_id", "timestamp_ntz'2021-01-01 10:09:00' pickup_time", "5.0D distance")
+        plan = of(orders, runs)._jdf.queryExecution().executedPlan().toString()
+        left = plan.split("SortMergeJoin")[1].split("Exchange hashpartitioning(order_id")
+        assert plan.count("REPARTITION_BY_COL") == 1 and "hashpartitioning(order_id#" in plan
+        assert plan.split("REPARTITION_BY_COL")[0].count("ENSURE_REQUIREMENTS") <= 1 and left
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

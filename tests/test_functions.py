@@ -3,8 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import rows
-from mercato.functions import (day_name, leading_number, minute_boundaries, money_text,
-                               month_name, null_text, parse_dmy, round_ratio, tsql_week)
+from mercato.functions.text import rounded_text
+from mercato.functions import (leading_number, minute_boundaries, money_text, null_text, parse_dmy, round_ratio, tsql_week)
 
 
 def test_tsql_week_starts_sunday_with_jan1_in_week1(spark):
@@ -51,11 +51,25 @@ def test_null_text_and_money(spark):
     assert m == "$ 1,358,148"
 
 
-def test_names_unpadded(spark):
-    df = spark.createDataFrame([(dt.date(2020, 6, 15),)], "d date")
-    r = df.select(day_name("d", "upper").alias("a"), month_name("d").alias("b"),
-                  month_name("d", "upper").alias("c")).first()
-    assert (r.a, r.b, r.c) == ("MONDAY", "June", "JUNE")
+def test_leading_number(spark):
+    texts = [".5km", "-5km", "1,200km", "32.5 mins", " 20 km", "null", "", "1,2km", "km 5", "1.2.3", "+7", "12,345.5 km", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [(r.a, r.b) for r in df.select("i", leading_number("t").alias("a"), leading_number("t", integral=True).alias("b")).orderBy("i").collect()]
+    assert got == [(0.5, 0), (-5.0, -5), (1200.0, 1200), (32.5, 32), (20.0, 20), (None, None), (None, None), (None, None),
+                   (None, None), (None, None), (7.0, 7), (12345.5, 12345), (None, None)]
+
+
+def test_round_ratio_keeps_decimals(spark):
+    r = spark.range(1).select(
+        round_ratio(F.lit(10.75), F.lit(1)).alias("a"), round_ratio(F.lit(99.5), F.lit(2)).alias("b"),
+        round_ratio(F.lit("10.75").cast("decimal(9,2)"), F.lit(2)).alias("c"), round_ratio(F.lit(-1), F.lit(8)).alias("d")).first()
+    assert tuple(r) == (10.75, 49.75, 5.38, -0.13)
+
+
+def test_rounded_text(spark):
+    r = spark.range(1).select(rounded_text(F.lit(37.5)).alias("a"), rounded_text(F.lit(40.0)).alias("b"), rounded_text(F.lit(100.004)).alias("c"),
+                              rounded_text(F.lit(93.6) / 7).alias("d"), rounded_text(F.lit(0.0)).alias("e")).first()
+    assert tuple(r) == ("37.5", "40", "100", "13.37", "0")
 
 
 def test_wall_clock_times_ignore_session_time_zone(spark):

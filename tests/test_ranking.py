@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from mercato.operators.ranking import first_by, next_in_order, rank_distinct, ties_at_max
+from mercato.operators.ranking import first_by, next_time, rank_distinct, ties_at_max
 
 
 def _data(spark, n=400, seed=7):
@@ -38,18 +38,18 @@ def test_rank_distinct_matches_dense_rank(spark):
     assert rows(rank_distinct(df, "k", "t", "r")) == rows(ref)
 
 
-def test_next_in_order_matches_lead(spark):
+def test_next_time_matches_lead(spark):
     df = _data(spark)
     ref = df.withColumn("nx", F.lead("t").over(Window.partitionBy("k").orderBy("t", "o")))
-    assert rows(next_in_order(df, "k", "t", "o", "nx"), *ref.columns) == rows(ref)
+    assert rows(next_time(df, "k", "t", "o", "nx"), *ref.columns) == rows(ref)
 
 
-def test_next_in_order_fine_grained_hot_key(spark):
+def test_next_time_fine_grained_hot_key(spark):
     rnd = random.Random(11)
     data = [(0 if i % 3 == 0 else rnd.randint(1, 30), rnd.randint(0, 10**6), i) for i in range(3000)]
     df = spark.createDataFrame(data, "k long, t long, o long").repartition(7)
     ref = df.withColumn("nx", F.lead("t").over(Window.partitionBy("k").orderBy("t", "o")))
-    assert rows(next_in_order(df, "k", "t", "o", "nx"), *ref.columns) == rows(ref)
+    assert rows(next_time(df, "k", "t", "o", "nx"), *ref.columns) == rows(ref)
 
 
 def test_first_by_orders_nulls_last(spark):
@@ -63,9 +63,9 @@ def test_helpers_keep_null_keys_like_windows(spark):
     w = Window.partitionBy("k").orderBy(F.desc("v"))
     ref = df.withColumn("r", F.rank().over(w)).filter("r = 1").drop("r")
     assert rows(ties_at_max(df, "k", "v"), *ref.columns) == rows(ref)
-    lead_ref = df.withColumn("nx", F.lead("t").over(
-        Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), "o")))
-    assert rows(next_in_order(df, "k", "t", "o", "nx"), *lead_ref.columns) == rows(lead_ref)
+    timed = df.where("t IS NOT NULL")
+    lead_ref = timed.withColumn("nx", F.lead("t").over(Window.partitionBy("k").orderBy("t", "o")))
+    assert rows(next_time(timed, "k", "t", "o", "nx"), *lead_ref.columns) == rows(lead_ref)
     dr = df.select("k", "t", F.dense_rank().over(
         Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last())).alias("r")).distinct()
     assert rows(rank_distinct(df, "k", "t", "r")) == rows(dr)
