@@ -14,8 +14,8 @@ from itertools import chain
 
 import numpy as np
 
-WORDS = 800_000        # pre-tokens kept by a worker
-SEGMENTS = 400_000     # segments (a word with its signs) kept by a worker
+WORDS = 1_400_000      # pre-tokens kept by a worker
+SEGMENTS = 700_000     # segments (a word with its signs) kept by a worker
 LONGEST_KEPT = 200     # characters; longer pre-tokens are encoded anew each time
 RUN = 1_000_000        # characters whose new segments are encoded together
 
@@ -25,9 +25,8 @@ _ODD = re.compile(r" (?:\s|\Z)")
 
 
 def segments(text: str) -> list[str]:
-    """Segments that join to the text; all but the first begin with a space."""
-    found = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-    return [found[0], *[" " + s for s in found[1:]]]
+    """The text cut there; the spaces at the cuts, which lead all segments but the first, are left out."""
+    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
 
 
 def simple(segment: str) -> list[str] | None:
@@ -45,8 +44,8 @@ class SegmentEncoder:
     as little-endian 32-bit integers in memos that are emptied when full."""
 
     def __init__(self):
-        self.kept: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}     # by segment, of the segment behind a space
+        self.words: dict[str, bytes] = {}    # by pre-token
 
     def split(self, segment: str) -> list[str]:
         """Pre-tokens of a segment, or coarser parts that are encoded alike alone."""
@@ -79,9 +78,11 @@ class SegmentEncoder:
             if size > RUN or i + 1 == len(texts):
                 if len(self.kept) > SEGMENTS:
                     self.kept.clear()
-                new = set(chain.from_iterable(run)).difference(self.kept)
-                if new:
-                    self.kept.update(self._learn(new))
+                starts = {found[0] for found in run if found}
+                new = set(chain.from_iterable(found[1:] for found in run)).difference(self.kept)
+                ids = self._learn(starts.union(" " + s for s in new))
+                self.kept.update((s, ids[" " + s]) for s in new)
+                kept = self.kept.__getitem__
                 for found in run:
-                    yield np.frombuffer(b"".join(map(self.kept.__getitem__, found)), "<i4")
+                    yield np.frombuffer(b"".join([ids[found[0]], *map(kept, found[1:])]) if found else b"", "<i4")
                 run, size = [], 0

@@ -27,6 +27,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from mercato.llm.segments import SegmentEncoder
 MAGIC = b"DAC1"
 BLOCK = 512              # bits between two entries of a rank directory
 FILE_TOKENS = 4_000_000
-PIECE = 1 << 18          # ids packed at once
+PIECE = 1 << 18          # wide values packed at once
 
 MANIFEST = "file string, first_id long, first_hash long, docs long, tokens long, bytes long"
 
@@ -61,7 +62,7 @@ class TextEncoder(SegmentEncoder):
 
     def ids_of(self, found: list[str]) -> Iterator[bytes]:
         for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False):
-            yield np.array(e.ids, "<i4").tobytes()
+            yield array("i", e.ids).tobytes()
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -90,21 +91,37 @@ def widths(ids: np.ndarray) -> list[int]:
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
-    """Values of ``width`` bits each, behind one another, least significant bit first."""
-    shift = np.arange(width, dtype=np.uint32)
-    return b"".join(np.packbits((values[i:i + PIECE, None] >> shift & 1).astype(np.uint8), bitorder="little").tobytes()
-                    for i in range(0, len(values), PIECE))
+    """Values of ``width`` bits each, behind one another, least significant bit
+    first: eight of them fill ``width`` bytes."""
+    n = len(values)
+    if width > 16:
+        shift = np.arange(width, dtype=np.uint32)
+        return b"".join(np.packbits((values[i:i + PIECE, None] >> shift & 1).astype(np.uint8), bitorder="little").tobytes()
+                        for i in range(0, n, PIECE))
+    eight = np.zeros(n + -n % 8, np.uint64)
+    eight[:n] = values
+    eight = eight.reshape(-1, 8)
+    low, high = (eight[:, h] for h in (0, 4))
+    low, high = low.copy(), high.copy()
+    for k in range(1, 4):
+        low |= eight[:, k] << np.uint64(k * width)
+        high |= eight[:, 4 + k] << np.uint64(k * width)
+    out = np.zeros((len(eight), 2), "<u8")
+    out[:, 0] = low | high << np.uint64(4 * width) if width < 16 else low
+    out[:, 1] = high >> np.uint64(64 - 4 * width)
+    return out.view(np.uint8)[:, :width].tobytes()[:-(-n * width // 8)]
 
 
 def unpack(data: np.ndarray, width: int, start: int, stop: int) -> np.ndarray:
-    """The values [start, stop) of packed bytes."""
-    out = []
-    for a in range(start, stop, PIECE):
-        b = min(stop, a + PIECE)
-        low, high = a * width, b * width
-        bits = np.unpackbits(data[low // 8:-(-high // 8)], bitorder="little")[low % 8:low % 8 + high - low]
-        out.append(bits.reshape(b - a, width).astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32)))
-    return np.concatenate(out) if out else np.empty(0, np.uint32)
+    """The values [start, stop) of packed bytes, each from the few bytes it lies in."""
+    bit = np.arange(start * width, stop * width, width, dtype=np.int64)
+    at = bit >> 3
+    held = np.concatenate([data[start * width // 8:-(-stop * width // 8)], np.zeros(8, np.uint8)])
+    at -= start * width // 8
+    out = held[at].astype(np.uint64)
+    for k in range(1, (width + 14) // 8):
+        out |= held[at + k].astype(np.uint64) << np.uint64(8 * k)
+    return (out >> (bit & 7).astype(np.uint64) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def _padded(data: bytes) -> bytes:
@@ -196,7 +213,7 @@ def _written(batches, path: str, end_id: int, folder: str, file_tokens: int):
     files, root = _file_system(folder)
     files.create_dir(root, recursive=True)
     enc = encoder(path)
-    doc_ids, lengths, runs, first = [], [], [], 0
+    doc_ids, lengths, runs, first, held = [], [], [], 0, 0
 
     def close():
         name = f"{uuid.uuid4().hex}.dac"
@@ -214,9 +231,10 @@ def _written(batches, path: str, end_id: int, folder: str, file_tokens: int):
                 doc_ids.append(doc_id)
                 lengths.append(len(ids) + 1)
                 runs += [ids, np.array([end_id], "<i4")]
-                if sum(lengths[-1:]) >= file_tokens or len(doc_ids) % 256 == 0 and sum(lengths) >= file_tokens:
+                held += len(ids) + 1
+                if held >= file_tokens:
                     yield close()
-                    doc_ids, lengths, runs = [], [], []
+                    doc_ids, lengths, runs, held = [], [], [], 0
     if doc_ids:
         yield close()
 
@@ -249,7 +267,9 @@ def _read(batches, folder: str):
 def read_summary(manifest: DataFrame, folder: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32."""
     folder = _uri(folder)
-    rows = manifest.select("file", "start").repartition("file")
+    rows = manifest.select("file", "start")
+    # A task for a few files each: rows this small would else be put in one task.
+    rows = rows.repartition(max(1, rows.count() // 2), "file")
     return rows.mapInArrow(lambda it: _read(it, folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
