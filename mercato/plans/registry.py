@@ -37,6 +37,12 @@ SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineit
 RULES = (fixtures, cleaning, delivery, ranking, dates, numeric, text)
 
 
+def source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Fingerprint of the source files and of the derivation rules."""
+    tables = Tables(spark, sf_dir)
+    return fingerprint(spark, [tables.path(t) for t in SOURCES], [inspect.getsource(m) for m in RULES])
+
+
 class Inputs:
     """Reference-shaped inputs of one data directory.
 
@@ -47,14 +53,10 @@ class Inputs:
     ``materialize`` off, they are lazy plans and nothing is written.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
-        tables = Tables(spark, sf_dir)
-        self.fx = Fixtures(tables)
-        self.catalog = None
-        if materialize and shared_dir(spark):
-            rules = [inspect.getsource(m) for m in RULES]
-            key = fingerprint(spark, [tables.path(t) for t in SOURCES], rules)
-            self.catalog = Catalog(spark, key)
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, key: str | None = None):
+        key = key or source_key(spark, sf_dir)
+        self.fx = Fixtures(Tables(spark, sf_dir, key))
+        self.catalog = Catalog(spark, key) if materialize and shared_dir(spark) else None
 
     def __getattr__(self, name):
         return getattr(self.fx, name)
@@ -107,16 +109,16 @@ class Inputs:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# One Inputs per (session, data directory): its fingerprint and opened tables
-# are reused by every query of the session (source reads are cached per
-# session as well, see sources.tables).
-_INPUTS: dict[tuple[str, str], Inputs] = {}
+# One Inputs per (session, data directory, fingerprint): its opened tables are
+# reused by every query of the session until a source file changes.
+_INPUTS: dict[tuple[str, str, str], Inputs] = {}
 
 
 def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
-    key = (session_key(spark), sf_dir)
+    files = source_key(spark, sf_dir)
+    key = (session_key(spark), sf_dir, files)
     if key not in _INPUTS:
-        _INPUTS[key] = Inputs(spark, sf_dir)
+        _INPUTS[key] = Inputs(spark, sf_dir, key=files)
     return _INPUTS[key]
 
 
