@@ -43,26 +43,43 @@ MAGIC = b"DAC1"
 BLOCK = 512              # bits between two entries of a rank directory
 FILE_TOKENS = 4_000_000
 PIECE = 1 << 18          # wide values packed at once
+RUN = 500_000            # ids of whole documents read at once
 
 MANIFEST = "file string, first_id long, first_hash long, docs long, tokens long, bytes long"
 
 
+def byte_characters() -> dict[int, int]:
+    """The published byte-level alphabet: printable Latin-1 bytes stand for
+    themselves, the others for the code points from 256 on, in order."""
+    same = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in same]
+    return {b: b for b in same} | {b: 256 + k for k, b in enumerate(rest)}
+
+
 class TextEncoder(SegmentEncoder):
     """The tokenizers library with its byte-level pre-tokenizer; strings of
-    special tokens in a text are ordinary text."""
+    special tokens in a text are ordinary text. A plain word is one pre-token
+    and goes to the library's BPE model itself, all else to its whole encoder."""
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.alphabet = self.tokenizer.model, byte_characters()
 
     def split(self, segment: str) -> list[str]:
         return [segment]
 
     def ids_of(self, found: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False):
-            yield array("i", e.ids).tobytes()
+        tokenize, alphabet = self.model.tokenize, self.alphabet
+        plain = [(p[1:] if p[:1] == " " else p).isalpha() for p in found]
+        rest = iter(self.tokenizer.encode_batch_fast([p for p, x in zip(found, plain) if not x], add_special_tokens=False))
+        for p, x in zip(found, plain):
+            if x:
+                yield array("i", [t.id for t in tokenize(p.encode().decode("latin-1").translate(alphabet))]).tobytes()
+            else:
+                yield array("i", next(rest).ids).tobytes()
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -76,10 +93,8 @@ def encoder(path: str) -> TextEncoder:
 
 def widths(ids: np.ndarray) -> list[int]:
     """Chunk widths of the least total size: a level of w bits costs w + 1 for each id that reaches it."""
-    bits = np.maximum(1, np.frexp(ids.astype(np.float64))[1])
-    top = int(bits.max()) if len(ids) else 1
-    reach = np.array([(bits > b).sum() for b in range(top + 1)])     # ids longer than b bits
-    reach[0] = len(ids)
+    top = max(1, int(ids.max()).bit_length()) if len(ids) else 1
+    reach = [len(ids), *(int((ids >= 1 << b).sum()) for b in range(1, top)), 0]     # ids longer than b bits
     best, cut = [0.0] * (top + 1), [0] * (top + 1)
     for b in range(top - 1, -1, -1):                                # cost of all bits from b on
         best[b], cut[b] = min((int(reach[b]) * (e - b + (e < top)) + best[e], e) for e in range(b + 1, top + 1))
@@ -114,14 +129,14 @@ def pack(values: np.ndarray, width: int) -> bytes:
 
 def unpack(data: np.ndarray, width: int, start: int, stop: int) -> np.ndarray:
     """The values [start, stop) of packed bytes, each from the few bytes it lies in."""
-    bit = np.arange(start * width, stop * width, width, dtype=np.int64)
-    at = bit >> 3
-    held = np.concatenate([data[start * width // 8:-(-stop * width // 8)], np.zeros(8, np.uint8)])
-    at -= start * width // 8
-    out = held[at].astype(np.uint64)
-    for k in range(1, (width + 14) // 8):
-        out |= held[at + k].astype(np.uint64) << np.uint64(8 * k)
-    return (out >> (bit & 7).astype(np.uint64) & np.uint64((1 << width) - 1)).astype(np.uint32)
+    low = start * width // 8
+    held = np.concatenate([data[low:-(-stop * width // 8)], np.zeros(8, np.uint8)])
+    bit = np.arange(start * width - 8 * low, stop * width - 8 * low, width, dtype=np.int64)
+    kind = np.dtype("<u4") if width <= 25 else np.dtype("<u8")
+    # The integer that begins at each byte, whatever its alignment.
+    words = np.ndarray(len(held) - kind.itemsize + 1, kind, held.data, strides=(1,))
+    out = words[bit >> 3] >> (bit & 7).astype(kind)
+    return (out & kind.type((1 << width) - 1)).astype(np.uint32)
 
 
 def _padded(data: bytes) -> bytes:
@@ -258,10 +273,15 @@ def _read(batches, folder: str):
         for name, start in zip(b.column("file").to_pylist(), b.column("start").to_pylist()):
             with files.open_input_file(f"{root}/{name}") as f:
                 reader = Reader(f.read())
-            found = [reader.document(k) for k in range(len(reader.doc_ids))]
+            starts = reader.starts.tolist()
+            sums, k = [], 0
+            while k < len(reader.doc_ids):                # documents of about RUN ids together
+                end = max(k + 1, int(np.searchsorted(reader.starts, starts[k] + RUN, "right")) - 1)
+                ids = memoryview(reader.slice(starts[k], starts[end]).astype("<u4")).cast("B")
+                sums += [zlib.crc32(ids[4 * (a - starts[k]):4 * (b - starts[k])]) for a, b in zip(starts[k:end], starts[k + 1:end + 1])]
+                k = end
             yield batch("doc_id long, start long, n_tokens long, ids_crc32 long", (
-                reader.doc_ids, [start + int(s) for s in reader.starts[:-1]], [len(x) for x in found],
-                [zlib.crc32(x.astype("<u4").tobytes()) for x in found]))
+                reader.doc_ids, [start + s for s in starts[:-1]], np.diff(reader.starts), sums))
 
 
 def read_summary(manifest: DataFrame, folder: str) -> DataFrame:
