@@ -9,12 +9,21 @@ never raises the determinant; a reweighting step with all documents within the
 97.5 % distance ends it. A document farther out than the ``TAIL`` quantile of
 the chi-square law is rejected.
 
+Most documents repeat no line and no words, and those that do repeat a little.
+These two statistics are judged by their non-zero part: 0 stays 0, others count
+from the median of the non-zero values on, in units of their quartiles' spread
+(at least ``ZERO``). The part is that of the estimate's level or the next wider
+one with ``MIN_PART`` such documents. Where there is none, or the level of the
+estimate has but one, a text counts from 0 on in units of ZERO: among clean
+texts one that is extreme in repeats alone is an outlier.
+
 Groups with fewer than ``MIN_GROUP`` documents take the estimate of their
 language, and languages with fewer that of all documents. Each estimate is made
 of sums over all rows of its group: Spark aggregates them partially, so a source
 may hold any share of the rows, and no group is gathered. Scatter matrices get
 the variances of ``FLOOR`` added: most documents have no symbols or repeated
-lines at all, and a plain covariance would be singular.
+lines at all, and a plain covariance would be singular. The floors of the
+repeats are one unit of their scale.
 
 Null languages and sources are groups of their own. Null and empty texts have
 no words and fail the base rules. Repeated rows are judged each.
@@ -35,10 +44,13 @@ SPACE = " \t\n\x0b\x0c\r"
 MIN_WORDS, REPEATED = 50, 50        # base rules: words at least; per cent of words repeated at most
 FEATURES = ("word_length", "symbols", "lines", "repeats")
 FLOOR = (0.05, 0.35, 1.0, 1.0)      # standard deviations added to the scatter
+INFLATED = (2, 3)                   # features that are 0 in most documents, judged by their non-zero part
+ZERO = 0.6                          # least unit of these, and the unit where no non-zero part is known
+MIN_PART = 20                       # documents that a non-zero part is known from
 CORE = 0.75                         # share of a group that the determinant is taken of
 STEPS = 4
 MIN_GROUP = 80
-TAIL = 1e-8
+TAIL = 1e-3
 
 STATS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 
@@ -152,6 +164,34 @@ def minimum_covariance(rows: DataFrame, floor: tuple[float, ...], core: float =
     return estimate(near, consistency(0.975, k), "reweighted")
 
 
+def non_zero_parts(levels: DataFrame) -> DataFrame:
+    """Per ``key`` the count n and the quartiles q of each inflated feature's non-zero values."""
+    some = {i: F.when(F.col(f"f{i}") > 0, F.col(f"f{i}")) for i in INFLATED}
+    return levels.groupBy("key").agg(*(a for i, v in some.items() for a in (
+        F.count(v).alias(f"n{i}"), F.percentile_approx(v, [0.25, 0.5, 0.75], 10_000).alias(f"q{i}"))))
+
+
+def unit_of(i: int) -> tuple[Column, Column]:
+    """Where an inflated feature counts from and its unit, from a group's level ``at`` (0 source,
+    1 language, 2 all) and the parts n{i}_{level}, q{i}_{level}."""
+    n = [F.coalesce(f"n{i}_{k}", F.lit(0)) for k in range(3)]
+    lone = F.element_at(F.array(*n), F.col("at") + 1) <= 1
+    q = F.coalesce(*(F.when((F.col("at") <= k) & (n[k] >= MIN_PART), F.col(f"q{i}_{k}")) for k in range(3)))
+    q = F.when(~lone, q)
+    return (F.coalesce(q[1], F.lit(0.0)).alias(f"from{i}"),
+            F.greatest(F.coalesce((q[2] - q[0]) / 1.349, F.lit(ZERO)), F.lit(ZERO)).alias(f"unit{i}"))
+
+
+def scaled(i: int) -> Column:
+    f = F.col(f"f{i}")
+    return F.when(f > 0, F.greatest(F.lit(0.0), f - F.col(f"from{i}")) / F.col(f"unit{i}")).when(f == 0, 0.0) if i in INFLATED else f
+
+
+def share_log(part: Column, whole: Column) -> Column:
+    """About the log of the per cent where it is small; grows without bound towards 100 %."""
+    return F.log1p(100 * part / whole) - F.log(1 - part / whole)
+
+
 def judged(docs: DataFrame, min_group: int = MIN_GROUP, tail: float = TAIL) -> DataFrame:
     """Statistics, base_failed, the squared distance and kept of every row of ``docs``."""
     tune(docs.sparkSession)
@@ -161,7 +201,7 @@ def judged(docs: DataFrame, min_group: int = MIN_GROUP, tail: float = TAIL) -> D
     rows = keep(rows.withColumn("base_failed", failed), "statistics")
     n = F.col("n_words")
     vector = (F.log(F.col("word_chars") / n), F.log1p(100 * F.col("n_symbols") / n),
-              F.log1p(100 * F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))), F.log1p(100 * F.col("n_repeat_words") / n))
+              share_log(F.col("n_dup_lines"), F.greatest("n_lines", F.lit(1))), share_log(F.col("n_repeat_words"), n))
     k = len(vector)
     every = rows.where("NOT base_failed").select("doc_id", "lang", "source", *(v.alias(f"f{i}") for i, v in enumerate(vector)))
 
@@ -169,13 +209,22 @@ def judged(docs: DataFrame, min_group: int = MIN_GROUP, tail: float = TAIL) -> D
     sources = every.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n_source"))
     langs = sources.groupBy("lang").agg(F.sum("n_source").alias("n_lang"))
     # Which estimate a (lang, source) takes, and which rows each estimate is made of.
-    takes = F.when(F.col("n_source") >= min_group, own).when(F.col("n_lang") >= min_group, lang).otherwise(F.lit("all"))
-    takes = keep(sources.join(langs, "lang").select("lang", "source", takes.alias("key")), "takes")
+    at = F.when(F.col("n_source") >= min_group, 0).when(F.col("n_lang") >= min_group, 1).otherwise(2)
+    takes = sources.join(langs, "lang").select("lang", "source", own.alias("key0"), lang.alias("key1"), F.lit("all").alias("key2"), at.alias("at"))
+    # The non-zero parts of the three levels, and from these the scale of each (lang, source).
+    some = every.where(" OR ".join(f"f{i} > 0" for i in INFLATED))
+    parts = keep(non_zero_parts(some.select(F.explode(F.array(own, lang, F.lit("all"))).alias("key"), *(f"f{i}" for i in INFLATED))), "parts")
+    for level in range(3):
+        takes = takes.join(parts.select(F.col("key").alias(f"key{level}"), *(F.col(f"{c}{i}").alias(f"{c}{i}_{level}") for i in INFLATED for c in "nq")), f"key{level}", "left")
+    key = F.element_at(F.array("key0", "key1", "key2"), F.col("at") + 1)
+    takes = keep(takes.select("lang", "source", key.alias("key"), *(c for i in INFLATED for c in unit_of(i))), "takes")
     used = takes.select(F.col("key").alias("used")).distinct()
-    levels = takes.select("lang", "source", F.explode(F.array(own, lang, F.lit("all"))).alias("used")).join(used, "used")
-    found = minimum_covariance(keep(every.join(levels.withColumnRenamed("used", "key"), ["lang", "source"]), "vectors"), FLOOR)
+    levels = takes.select("lang", "source", *(f"{c}{i}" for i in INFLATED for c in ("from", "unit")), F.explode(F.array(own, lang, F.lit("all"))).alias("used")).join(used, "used")
+    vectors = every.join(levels.withColumnRenamed("used", "key"), ["lang", "source"]).select("key", *(scaled(i).alias(f"f{i}") for i in range(k)))
+    found = minimum_covariance(keep(vectors, "vectors"), FLOOR)
     cut = chi_square_quantile(tail, k)
     out = rows.select("*", *(F.when(~F.col("base_failed"), v).alias(f"f{i}") for i, v in enumerate(vector)))
-    out = out.join(takes, ["lang", "source"], "left").join(found, "key", "left").withColumn("d2", F.when(~F.col("base_failed"), distance(k)))
+    out = out.join(takes, ["lang", "source"], "left").join(found, "key", "left")
+    out = out.withColumns({f"f{i}": scaled(i) for i in INFLATED}).withColumn("d2", F.when(~F.col("base_failed"), distance(k)))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & F.coalesce(F.col("d2") <= cut, F.lit(True))).alias("kept"), "d2")

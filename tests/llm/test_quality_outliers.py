@@ -63,6 +63,27 @@ def test_small_groups_take_a_wider_estimate(spark):
     assert not got[3000].kept and all(got[i].kept for i in got if i != 3000)
 
 
+def test_extreme_in_lines_or_repeats_alone(spark):
+    rnd = random.Random(4)
+    made = lambda n: ["".join(rnd.choices("abcdefgh", k=rnd.randrange(4, 8))) for _ in range(n)]
+    clean = lambda: "\n".join(" ".join(made(8)) for _ in range(12))
+    # 18 of 40 lines are the same word, no three-word window occurs twice: 45 % of the lines, no repeats.
+    lines = "\n".join(x for _ in range(19) for x in ("same", " ".join(made(5)))) + "\n" + "\n".join(" ".join(made(5)) for _ in range(2))
+    part = made(24)
+    repeats = " ".join(part + made(52) + part)
+    n, _, _, dup, rep = plain(lines)
+    assert dup / 40 == 0.45 and rep == 0
+    n, _, _, dup, rep = plain(repeats)
+    assert dup == 0 and rep / n == 0.48
+    # Source "other" of the language repeats now and then; it doesn't excuse texts of the clean one.
+    rows = [(i, clean(), "en", "web") for i in range(200)] + [(1000, lines, "en", "web"), (1001, repeats, "en", "web")]
+    mild = lambda k: "\n".join([" ".join(made(8)) for _ in range(12)] + ["again"] * k)
+    rows += [(2000 + i, mild(2 + i % 3) if i < 40 else clean(), "en", "other") for i in range(200)]
+    got = {r.doc_id: r for r in Q.judged(spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert not got[1000].base_failed and not got[1001].base_failed
+    assert sorted(i for i, r in got.items() if not r.kept) == [1000, 1001]
+
+
 def test_edge_rows(spark):
     rows = Q.judged(edge_docs(spark)).collect()
     assert len(rows) == 15 and all(r.base_failed and not r.kept for r in rows if r.doc_id not in (4, 5))
