@@ -1,6 +1,6 @@
 """Personal data: base patterns, and contextual extraction bootstrapped from them.
 
-Base matches (e-mail, IP, card, phone) are the seeds. The words beside a seed
+Base matches (e-mail, IP, card, phone) are the seeds. The nearest words beside a seed
 are lexical patterns ("L:" before it, "R:" behind it). Identifier-like tokens
 outside base spans, three digits or a sign like @ or _ among five or more
 characters, are the candidates; they are instances with patterns of their own.
@@ -9,6 +9,10 @@ Spark scores the graph of patterns and instances in rounds:
     pattern:  sum over its instances of n * score(instance) / (occurrences of its word + 1)
     instance: 1 for a seed; else 1 - prod over its patterns of (1 - score(pattern))
 
+Words are white-space tokens, cut at the ends of spans, at quotes, brackets and
+the like and behind a glued label (`email:`, `id=`), without punctuation at their
+ends; contexts and occurrences take the same words.
+
 A pattern's denominator counts its word everywhere in the corpus, so "the" stays
 near 0 however many seeds it precedes. Only patterns seen beside ``SUPPORT``
 distinct instances of score above ``CONFIDENT`` count for instances. Candidates whose final score
@@ -85,13 +89,67 @@ def is_candidate(token: str) -> bool:
 
 
 def word(token: str) -> str:
-    return token.strip(STRIP).lower()
-
-
-def context(text: str, s: int, e: int) -> tuple[str, str]:
-    """The words beside a span; empty where there is none."""
-    left, right = text[max(0, s - 200):s].split(), text[e:e + 200].split()
-    return word(left[-1]) if left else "", word(right[0]) if right else ""
+    return token.strip(STRIP + "=").lower()
+
+
+# Cuts within a token; no comma in a number, no apostrophe in a word.
+_CUT = re.compile(r"""["()\[\]{}<>|;!?]+|,(?![0-9])|(?<!\w)'|'(?!\w)""")
+# A label glued to what it names; no URL scheme, no group of hexadecimal digits (MAC, IPv6).
+_LABEL = re.compile(r"(?![0-9A-Fa-f]{1,4}:)[^\W\d_][\w-]*[:=](?!//)")
+
+
+def parts(token: str) -> list[tuple[int, int]]:
+    """(start, end) of a token's parts."""
+    out, at = [], 0
+    for m in [*_CUT.finditer(token), None]:
+        end = m.start() if m else len(token)
+        label = _LABEL.match(token, at, end)
+        if label and label.end() < end:
+            out.append((at, label.end()))
+            at = label.end()
+        if at < end:
+            out.append((at, end))
+        at = m.end() if m else end
+    return out
+
+
+def words(token: str) -> list[str]:
+    if token.isalnum():
+        return [token.lower()]
+    return [w for s, e in parts(token) if (w := word(token[s:e]))]
+
+
+def contexts(text: str, spans: list[tuple[int, int]], counts: Counter, inner: Counter) -> dict[tuple[int, int], tuple[str, str]]:
+    """The nearest words beside every span, empty where there is none; counts the
+    text's tokens outside of spans, and the words within them (``inner``)."""
+    cuts = sorted({0, len(text), *(x for span in spans for x in span)})
+    inside = sorted(spans)
+    first, last = {}, {}           # cut -> nearest word behind it, and before it
+    k, reach = 0, 0
+    segments = []
+    for s, e in zip(cuts, cuts[1:]):
+        while k < len(inside) and inside[k][0] <= s:
+            reach = max(reach, inside[k][1])
+            k += 1
+        piece = text[s:e]
+        if reach > s:
+            w = word(piece)
+            inner[w] += 1
+            ends = w, w
+        else:
+            counts.update(piece.split())
+            ends = _nearest(piece[:200].split()), _nearest(piece[-200:].split()[::-1], -1)
+        segments.append((s, e, ends))
+    for order, found, side in ((segments, last, 1), (segments[::-1], first, 0)):
+        w, far = "", 0
+        for s, e, ends in order:
+            found[(s, e)[1 - side]] = w if far <= 200 else ""
+            w, far = (ends[side], 0) if ends[side] else (w, far + e - s)
+    return {(s, e): (last.get(s, ""), first.get(e, "")) for s, e in spans}
+
+
+def _nearest(tokens: list[str], at: int = 0) -> str:
+    return next((found[at] for t in tokens if (found := words(t))), "")
 
 
 _MAYBE = re.compile(r"[0-9@]")
@@ -106,9 +164,13 @@ def candidates(text: str | None, base: list[Span]):
         if len(token) < 5 or not _MAYBE.search(token):
             continue
         at = text.index(token, at)
-        value = token.strip(STRIP)
-        if value and is_candidate(value):
-            s = at + token.index(value)
+        # The parts that look like identifiers; the whole token if none does.
+        for pieces in (parts(token), [(0, len(token))]):
+            found = [(s, v) for s, e in pieces if (v := token[s:e].strip(STRIP)) and is_candidate(v)]
+            if found:
+                break
+        for s, value in found:
+            s = at + token.index(value, s)
             if not any(b[0] < s + len(value) and s < b[2] for b in base):
                 yield s, s + len(value), value
         at += len(token)
@@ -120,11 +182,15 @@ def joined(spans: list[Span]) -> str:
 
 def _found(batches):
     """Role 0: a document and its base spans; 1: a seed; 2: a candidate; 3: how often a word occurs."""
-    counts: Counter = Counter()
+    counts, inner = Counter(), Counter()   # tokens outside of spans, words of spans
 
     def counted():
-        rows = list(counts.items())
+        for token, n in counts.items():
+            for w in words(token):
+                inner[w] += n
+        rows = list(inner.items())
         counts.clear()
+        inner.clear()
         none = [None] * len(rows)
         return batch(FOUND, (none, none, [3] * len(rows), [w for w, _ in rows], none, none, none, none, [n for _, n in rows]))
 
@@ -134,12 +200,13 @@ def _found(batches):
             for doc_id, h, text in zip(*(c.to_pylist() for c in b.columns)):
                 base = base_spans(text)
                 rows.append((doc_id, h, 0, joined(base), None, None, None, None, None))
-                rows += [(doc_id, h, 1, text[s:e], *context(text, s, e), s, e, None) for s, _, e in base]
-                rows += [(doc_id, h, 2, v, *context(text, s, e), s, e, None) for s, e, v in candidates(text, base)]
+                more = list(candidates(text, base))
                 if text:
-                    counts.update(map(word, text.split()))
+                    beside = contexts(text, [*((s, e) for s, _, e in base), *((s, e) for s, e, _ in more)], counts, inner)
+                    rows += [(doc_id, h, 1, text[s:e], *beside[s, e], s, e, None) for s, _, e in base]
+                    rows += [(doc_id, h, 2, v, *beside[s, e], s, e, None) for s, e, v in more]
             yield batch(FOUND, list(zip(*rows)) if rows else [[]] * 9)
-            if len(counts) > COUNTED:
+            if len(counts) + len(inner) > COUNTED:
                 yield counted()
         yield counted()
 

@@ -1,6 +1,7 @@
 """Base spans against the plain patterns; contexts of seeds find unseen identifiers."""
 import random
 import re
+from collections import Counter
 from hashlib import sha256
 
 from edge import edge_docs, load
@@ -46,6 +47,29 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert all(got[100 + i].spans == "" for i in range(50))
 
 
+def test_contexts_beside_punctuation(spark):
+    forms = ['wrote customerid "%s", then left', "wrote customerid ( %s ) then left", "wrote customerid %s, then left", "wrote customerid:%s then left", 'wrote {"customerid":"%s","then":1} left']
+    rows = [(100 * k + i, f % (f"jane{k}x{i}@example.org" if i < 8 else f"KX-88{k}{i:02d}")) for k, f in enumerate(forms) for i in range(12)]
+    for k in range(len(forms)):  # every form on its own: its seeds alone have to find its identifiers
+        own = [r for r in rows if r[0] // 100 == k]
+        got = {r.doc_id: r for r in I.find_personal_data(spark.createDataFrame(own, "doc_id long, text string")).collect()}
+        for i, t in own:
+            at = t.find("KX-88")
+            assert got[i].n_context == (at >= 0) and (at < 0 or got[i].spans == f"context:{at}:{at + 8}"), (t, got[i])
+
+
+def test_words_and_contexts_agree():
+    assert I.words('email:jane@x.org') == ["email", "jane@x.org"] and I.words("1,234") == ["1,234"] and I.words("don't") == ["don't"]
+    assert [v for *_, v in I.candidates("ab:12:cd:34:ef:56 http://x/1234 id=KX-1234,", [])] == ["ab:12:cd:34:ef:56", "http://x/1234", "KX-1234"]
+    counts, inner = Counter(), Counter()
+    t = 'to jane@x.org. Next/1.2.3.4 " , end'
+    spans = [(s, e) for s, _, e in I.base_spans(t)]
+    got = I.contexts(t, spans, counts, inner)
+    known = {w for x in counts for w in I.words(x)} | set(inner)
+    assert all(not w or w in known for pair in got.values() for w in pair)
+    assert got[spans[0]] == ("to", "next/") and got[spans[1]] == ("next/", "end")
+
+
 def test_scores_against_plain_iteration(spark):
     rnd = random.Random(5)
     words = ["id", "mail", "of", "to"]
