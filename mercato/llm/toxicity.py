@@ -195,13 +195,13 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, r
     return w[:-1], float(w[-1])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 50) -> np.ndarray:
     xb = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(xb.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(xb @ w, -30, 30)))
-        h = xb.T @ (xb * (p * (1 - p) + 1e-9)[:, None]) + 0.5 * np.eye(len(w))
-        step = np.linalg.solve(h, xb.T @ (y - p) - 0.5 * w)
+        h = xb.T @ (xb * (weight * p * (1 - p) + 1e-9)[:, None]) + 0.5 * np.eye(len(w))
+        step = np.linalg.solve(h, xb.T @ (weight * (y - p)) - 0.5 * w)
         w += step
         if np.abs(step).max() < 1e-7:
             break
@@ -225,10 +225,14 @@ def _sentence_terms(batches):
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model | None:
     """Learn from at most ``max_docs`` labelled documents of each label (those
-    with the smallest hash of doc_id), never from held-out ones."""
+    with the smallest hash of doc_id), never from held-out ones. A label's documents
+    weigh all / picked, so scores mean the same whatever share of a label is picked."""
     labels = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     labels = labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != HELD_OUT)
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labels = keep(labels, "labels")
+    every = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    weight = {y: max(1.0, every.get(y, 0) / max_docs) for y in (0, 1)}
     picked = None
     for y in (0, 1):
         part = labels.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
@@ -243,10 +247,12 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
     if not n.get(0) or not n.get(1):
         return None
     counts = keep(counts, "term_counts")
-    n, rate = F.col("bad") + F.col("good"), n[1] / (n[0] + n[1])
-    share = F.col("bad") / n
+    # Weights for the terms: relative ones, as no document is more evidence than its own.
+    bad, good = (F.col(c) * (weight[y] / min(weight.values())) for c, y in (("bad", 1), ("good", 0)))
+    rate = n[1] * weight[1] / (n[0] * weight[0] + n[1] * weight[1])
+    share = bad / (bad + good)
     # Log likelihood ratio of a term's own rate of toxic documents against the overall rate.
-    ratio = F.col("bad") * F.log(share / rate) + F.when(F.col("good") > 0, F.col("good") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    ratio = bad * F.log(share / rate) + F.when(F.col("good") > 0, good * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     rare = counts.where("bad > 0").where((share > 0.7) & (ratio > EVIDENCE)).orderBy(F.desc("bad"), "term").limit(MAX_TERMS)
     usual = counts.where(share <= 0.5)
     bad = {r["term"]: r["bad"] for r in rare.collect()}
@@ -261,7 +267,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
     table, bias = _fit_terms(bad, good)
     model = Model(table, bias, np.zeros(TOP + 1))
     rows = sample.select("doc_id", "toxic", "text").mapInArrow(lambda it: _strongest(it, model), "toxic int, s0 double, s1 double, s2 double").toPandas()
-    model.logit = fit_logistic(rows[["s0", "s1", "s2"]].to_numpy(), rows["toxic"].to_numpy(float))
+    y = rows["toxic"].to_numpy(float)
+    model.logit = fit_logistic(rows[["s0", "s1", "s2"]].to_numpy(), y, np.where(y > 0, weight[1], weight[0]))
     return model
 
 

@@ -53,6 +53,15 @@ def test_held_out_accuracy(spark):
     assert hit / sum(r.toxic for r in rows) > 0.85 and hit / sum(r.predicted for r in rows) > 0.8
 
 
+def test_weights_undo_the_cap_of_a_label():
+    r = np.random.default_rng(7)
+    clean, toxic = r.normal(-1, 0.7, (4000, T.TOP)), r.normal(0, 0.7, (500, T.TOP))
+    fit = lambda n, w: T.fit_logistic(np.vstack([clean[:n], toxic]), np.repeat([0.0, 1.0], [n, 500]), np.repeat([w, 1.0], [n, 500]))
+    x = np.hstack([r.normal(-0.5, 0.7, (200, T.TOP)), np.ones((200, 1))])
+    full, weighted, plain = (x @ fit(*a) for a in ((4000, 1.0), (500, 8.0), (500, 1.0)))
+    assert abs(np.mean(weighted - full)) < 0.4 and np.mean(plain - full) > 1.5
+
+
 def test_inserted_characters(spark):
     docs, labels = load(spark, "sf0.1", "documents"), load(spark, "sf0.1", "labels")
     model = T.train(docs.select("doc_id", "text"), labels)
