@@ -17,10 +17,3 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mercato-test-ckpt-"))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples, for order-insensitive comparison."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()),
-                  key=lambda t: tuple((x is not None, x) for x in t))

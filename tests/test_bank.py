@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from mercato.operators import bank as B
 
 D = dt.date

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from mercato.operators import cleaning as C
 from mercato.operators import delivery as P
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from mercato.functions.text import rounded_text
 from mercato.functions import (leading_number, minute_boundaries, money_text, null_text, parse_dmy, round_ratio, tsql_week)
 

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from mercato.operators.ranking import first_by, next_time, rank_distinct, ties_at_max
 
 

@@ -2,7 +2,7 @@
 import os
 import tempfile
 
-from conftest import rows
+from frames import rows
 from mercato.operators import cleaning as C
 from mercato.streaming import RAW_SCHEMAS, start_clean_sink
 from mercato.sources.fixtures import Fixtures

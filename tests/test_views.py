@@ -1,6 +1,6 @@
 """Statements written in Spark SQL against the registered views give the
 operators' answers."""
-from conftest import rows
+from frames import rows
 from mercato.operators import bank, delivery, loyalty, mart
 from mercato.plans.registry import Inputs
 from mercato.plans.views import register_views
