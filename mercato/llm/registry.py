@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from mercato.llm import (byte_bpe, chat_windows, decontaminate, hilbert_shards, near_dup, pii, quality_outliers, secrets,
-                         token_file, toxicity)
+from mercato.llm import (byte_bpe, chat_windows, decontaminate, filter_audit, hilbert_shards, line_dedup, near_dup,
+                         periodic_runs, pii, quality_outliers, secrets, token_file, toxicity)
 from mercato.llm.common import documents, keep, table
 
 
@@ -61,6 +61,18 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_windows.digests(keep(made, "formatted"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_summary(documents(spark, sf_dir), periodic_runs.planted)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_lines(documents(spark, sf_dir), digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_file": op2_token_file,
@@ -72,7 +84,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_chat_windows": op10_chat_windows,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_line_dedup": op13_line_dedup,
 }
 
-#: Trained, hashed and tokenized results have no SQL form; tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: Trained and tokenized results have no SQL form; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE, "op13_line_dedup": line_dedup.ORACLE}
