@@ -89,6 +89,17 @@ def fingerprint(spark: SparkSession, paths: Sequence[str], rules: Sequence[str]
     return h.hexdigest()[:16]
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under a new name in the shared folder and read back, so
+    that later jobs start from files; the lazy plan itself where no folder is named."""
+    folder = shared_dir(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/steps/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Catalog:
     """Named derived tables, materialised on first use."""
 
