@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from mercato.functions.dates import month_name_of
 from mercato.functions.numeric import round_ratio
 from mercato.functions.text import dollars, money_text
+from mercato.operators.distinct import distinct_bitmaps, distinct_counts
+from mercato.operators.ordered import percentiles, with_lag, with_lead, with_running_sum
 
 # Fixed values of the case study (defaults of the parameters below).
 OPEN_END = "9999-12-31"
@@ -75,6 +77,26 @@ def realloc_percentiles(nodes: DataFrame, regions: DataFrame, open_end: str = OP
     return g.select("region_name", *cols)
 
 
+def amount_percentiles(txns: DataFrame, value: str = "price", ps: Sequence[float] = PERCENTILES,
+                       names: Sequence[str] = PERCENTILE_NAMES, **how) -> DataFrame:
+    """Exact interpolated percentiles of a continuous amount per region: ranks
+    are selected by distributed histograms, so no state holds the values."""
+    return percentiles(txns, value, ps, names, ["region_name"], **how)
+
+
+def allocation_bitmaps(nodes: DataFrame, regions: DataFrame) -> DataFrame:
+    """Customers and nodes of each region and start year as bitmaps (a table to write once)."""
+    n = nodes.join(regions, on="region_id").withColumn("start_year", F.year("start_date"))
+    return distinct_bitmaps(n, ["customer_id", "node_id"], ["region_name", "start_year"])
+
+
+def allocation_rollup(bitmaps: DataFrame) -> DataFrame:
+    """Distinct customers and nodes by region and year, region, year, and in
+    total, all from the table of bitmaps; ``level`` numbers these four."""
+    levels = (["region_name", "start_year"], ["region_name"], ["start_year"], [])
+    return distinct_counts(bitmaps, {"customer_id": "no_of_customers", "node_id": "no_of_nodes"}, levels)
+
+
 # ---- B. customer transactions ---------------------------------------------------------
 def txn_totals(txns: DataFrame) -> DataFrame:
     """Count and ``$ 1,234,567`` total per transaction type, most frequent first."""
@@ -163,3 +185,19 @@ def growth_share_fixed(txns: DataFrame, threshold: int = GROWTH_THRESHOLD) -> Da
     """Share of customers whose running closing balance grew by more than
     ``threshold`` percent of the previous balance's size in some month."""
     return _growth_share(closing_balance(txns, ordered=False), threshold, absolute=True)
+
+
+def running_balance(txns: DataFrame, **how) -> DataFrame:
+    """Balance of a region through each transaction's day, a row for each
+    transaction: a running sum at row grain over groups of any size."""
+    t = txns.select("region_name", "txn_id", "txn_date", "amount")
+    return with_running_sum(t, "amount", ["txn_date"], ["region_name"], "balance", **how)
+
+
+def neighbouring_amounts(txns: DataFrame, **how) -> DataFrame:
+    """Each transaction with the previous amount of its region, the one three
+    before (0 where there is none) and the next one, by day and transaction."""
+    t, order, by = txns.select("region_name", "txn_id", "txn_date", "amount"), ["txn_date", "txn_id"], ["region_name"]
+    t = with_lag(t, "amount", order, by, "previous", **how)
+    t = with_lag(t, "amount", order, by, "third_before", 3, 0, **how)
+    return with_lead(t, "amount", order, by, "next", **how)

@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from mercato.functions.dates import day_name_of, minute_boundaries, tsql_week
 from mercato.functions.numeric import int_div, round_ratio
-from mercato.operators.ranking import ties_at_max
 from mercato.functions.text import dollars, rounded_text
+from mercato.operators.ordered import with_ranks
+from mercato.operators.ranking import ties_at_max
 
 # Fixed values of the case study (defaults of the parameters below).
 VEGETARIAN = "Vegetarian"
@@ -145,20 +146,22 @@ def weekday_volume(orders: DataFrame, shift_days: int = WEEKDAY_SHIFT_DAYS) -> D
     return g.select(day_name_of("_dow").alias("day_of_week"), "total_pizzas_ordered")
 
 
+def order_size_ranks(orders: DataFrame, **how) -> DataFrame:
+    """Every order ranked by its number of pizzas, the largest first: the whole
+    table in one order, where most orders tie with a good part of all others."""
+    sizes = orders.groupBy("order_id").agg(F.count("pizza_id").alias("pizzas"))
+    return with_ranks(sizes, ["pizzas"], rank="size_rank", dense="size_dense_rank", descending=True, **how)
+
+
 # ---- B. runner and customer experience ------------------------------------------
 def signups_per_week(runners: DataFrame) -> DataFrame:
     return (runners.groupBy(tsql_week("registration_date").alias("registration_week"))
             .agg(F.count("runner_id").alias("no_of_runners")))
 
 
-def _by_order(orders: DataFrame) -> DataFrame:
-    """Pizza rows dealt by order: the groups within an order and the join on
-    order_id that follows then share this one exchange."""
-    return orders.repartition("order_id")
-
-
 def _order_times(orders: DataFrame) -> DataFrame:
-    return _by_order(orders).groupBy("order_id", "order_time").agg(F.count("order_time").alias("n_pizza"))
+    # An order's rows lie together, so the partial aggregate leaves about one row each to exchange.
+    return orders.groupBy("order_id", "order_time").agg(F.count("order_time").alias("n_pizza"))
 
 
 def _delivered_pickups(runs: DataFrame, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -216,7 +219,7 @@ def prep_vs_size_fixed(orders: DataFrame, runs: DataFrame, min_minutes: int = MI
 def avg_distance(orders: DataFrame, runs: DataFrame) -> DataFrame:
     """Average distance per customer, weighted by pizza rows as written.
     Orders are reduced to (order, customer, pizzas) before the join."""
-    per_order = _by_order(orders).groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+    per_order = orders.groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("n"))
     j = per_order.join(_delivered_by_distance(runs).select("order_id", "distance"), on="order_id")
     return j.groupBy("customer_id").agg(
         (F.sum(F.col("distance") * F.col("n")) / F.sum("n")).alias("distance"))
@@ -310,7 +313,7 @@ def order_summary(orders: DataFrame, runs: DataFrame, ratings: DataFrame) -> Dat
     pizza count before the joins; averages are weighted by that count, which
     gives the same result as joining every pizza row.
     """
-    per_order = _by_order(orders).groupBy("order_id", "customer_id", "order_time").agg(
+    per_order = orders.groupBy("order_id", "customer_id", "order_time").agg(
         F.count("pizza_id").alias("n"))
     r = runs.select("order_id", "runner_id", "pickup_time", "duration", "distance")
     j = per_order.join(r, on="order_id").join(ratings.select("order_id", "rating"), on="order_id")

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.ordered import with_ranks
 from mercato.operators.ranking import first_by, rank_distinct
 from mercato.operators.skew import skew_join
 
@@ -174,3 +175,10 @@ def member_ranking(sales: DataFrame, menu: DataFrame | None, members: DataFrame)
     return (skew_join(flagged, ranks.withColumn("membership", F.lit("Y")), ["customer_id", "order_date", "membership"], "left")
             .select("customer_id", "order_date", "product_name", "price", "membership",
                     F.col("ranking").cast("bigint").alias("ranking")))
+
+
+def sale_ranks(sales: DataFrame, carry: Sequence[str] = (), **how) -> DataFrame:
+    """Every sale with the rank and the dense rank of its day among its
+    customer's sales, latest first, whatever share of the rows the customer holds."""
+    s = sales.select("customer_id", "order_date", "product_id", *carry)
+    return with_ranks(s, ["order_date"], ["customer_id"], "day_rank", "day_dense_rank", descending=True, **how)

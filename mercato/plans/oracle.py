@@ -187,6 +187,10 @@ SELECT customer_id,
 FROM sales JOIN members USING (customer_id) JOIN menu USING (product_id)
 WHERE order_date < DATE '{CUTOFF}' GROUP BY customer_id"""),
     "diner_membership_flag": _sql("SELECT * FROM flagged", _flags),
+    "diner_sale_ranks": _sql("""
+SELECT customer_id, order_date, product_id, l_orderkey, l_linenumber,
+  rank() OVER w AS day_rank, dense_rank() OVER w AS day_dense_rank
+FROM sales WINDOW w AS (PARTITION BY customer_id ORDER BY order_date DESC)"""),
     "diner_member_ranking": _sql("""
 SELECT customer_id, order_date, product_name, price, membership,
   CAST(if(membership = 'Y', dense_rank() OVER (PARTITION BY customer_id, membership ORDER BY order_date), NULL)
@@ -228,6 +232,9 @@ FROM co JOIN pizza_names USING (pizza_id) GROUP BY customer_id"""),
     "pizza_a6_max_order": _sql("""
 SELECT order_id, count(pizza_id) AS total_pizza FROM co GROUP BY order_id
 QUALIFY total_pizza = max(total_pizza) OVER ()"""),
+    "pizza_a6_order_ranks": _sql("""
+SELECT order_id, pizzas, rank() OVER w AS size_rank, dense_rank() OVER w AS size_dense_rank
+FROM (SELECT order_id, count(pizza_id) AS pizzas FROM co GROUP BY order_id) WINDOW w AS (ORDER BY pizzas DESC)"""),
     "pizza_a7_changes": _sql("""
 SELECT customer_id,
   count(*) FILTER (WHERE exclusions <> '' OR extras <> '') AS changes,
@@ -327,6 +334,23 @@ FROM (SELECT customer_id,
       WINDOW w AS (PARTITION BY customer_id ORDER BY month)) g""", _monthly)
 
 
+# Every transaction with its region; purchases and withdrawals negative.
+_region_txns = f"""
+rt AS (
+  SELECT r.r_name AS region_name, o.o_orderkey AS txn_id, {_d('o.o_orderdate')} AS txn_date, CAST(o.o_totalprice AS DOUBLE) AS price,
+    CAST(if(o.o_orderstatus = 'F', round(o.o_totalprice), -round(o.o_totalprice)) AS BIGINT) AS amount
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+    JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def _percentile(p: float, name: str) -> str:
+    """percentile_cont by its definition, from numbered rows (i from 0, n in all)."""
+    at = f"(CAST({p} AS DOUBLE) * (n - 1))"
+    low, high = (f"max(price) FILTER (i = {f}{at})" for f in ("floor", "ceil"))
+    part = f"max({at} - floor{at})"
+    return f"CASE WHEN {low} = {high} THEN {low} ELSE {low} * (1 - {part}) + {high} * {part} END AS {name}"
+
+
 BANK = {
     "bank_a1_nodes": _sql("SELECT count(DISTINCT node_id) AS nodes FROM customer_nodes"),
     "bank_a2_nodes_by_region": _sql("""
@@ -343,6 +367,24 @@ SELECT region_name, q[1] AS median, q[2] AS percentile_80th, q[3] AS percentile_
 FROM (SELECT region_name, quantile_cont(date_diff('day', start_date, end_date), [0.5, 0.8, 0.95]) AS q
       FROM customer_nodes JOIN regions USING (region_id)
       WHERE end_date <> DATE '9999-12-31' GROUP BY region_name) t"""),
+    "bank_a3_distinct_rollup": _sql("""
+SELECT region_name, CAST(year(start_date) AS INTEGER) AS start_year,
+  CAST(CASE grouping(region_name, year(start_date)) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS INTEGER) AS level,
+  count(DISTINCT customer_id) AS no_of_customers, count(DISTINCT node_id) AS no_of_nodes
+FROM customer_nodes JOIN regions USING (region_id) GROUP BY CUBE (region_name, year(start_date))"""),
+    "bank_a5_amount_percentiles": _sql(f"""
+SELECT region_name, {_percentile(0.5, 'median')}, {_percentile(0.8, 'percentile_80th')}, {_percentile(0.95, 'percentile_95th')}
+FROM (SELECT region_name, price, count(*) OVER (PARTITION BY region_name) AS n,
+        row_number() OVER (PARTITION BY region_name ORDER BY price) - 1 AS i FROM rt)
+GROUP BY region_name""", _region_txns),
+    "bank_b4_running_balance": _sql("""
+SELECT region_name, txn_id, txn_date, amount,
+  CAST(sum(amount) OVER (PARTITION BY region_name ORDER BY txn_date) AS BIGINT) AS balance
+FROM rt""", _region_txns),
+    "bank_b5_neighbours": _sql("""
+SELECT region_name, txn_id, txn_date, amount, lag(amount) OVER w AS previous, lag(amount, 3, 0) OVER w AS third_before,
+  lead(amount) OVER w AS next
+FROM rt WINDOW w AS (PARTITION BY region_name ORDER BY txn_date, txn_id)""", _region_txns),
     "bank_b1_txn_totals": _sql("""
 SELECT txn_type, count(txn_type) AS txn_type_count,
   '$ ' || format('{:,}', CAST(sum(txn_amount) AS BIGINT)) AS total_amount

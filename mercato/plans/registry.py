@@ -17,7 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.functions import dates, numeric, text
-from mercato.operators import bank, cleaning, delivery, loyalty, mart, ranking
+from mercato.operators import bank, cleaning, delivery, distinct, loyalty, mart, ranking
 from mercato.session import session_key, shared_dir
 from mercato.sources import fixtures
 from mercato.sources.catalog import Catalog, fingerprint
@@ -34,7 +34,7 @@ MEATLOVERS_STAND_IN = "america"
 # Source tables the derived tables read; their files key the catalog.
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 # Modules that hold the derivation rules; their code keys the catalog too.
-RULES = (fixtures, cleaning, delivery, ranking, dates, numeric, text)
+RULES = (fixtures, bank, cleaning, delivery, distinct, ranking, dates, numeric, text)
 
 
 def source_key(spark: SparkSession, sf_dir: str) -> str:
@@ -90,6 +90,12 @@ class Inputs:
     def customer_nodes(self) -> DataFrame:
         return self._kept("customer_nodes", self.fx.customer_nodes)
 
+    def allocation_bitmaps(self) -> DataFrame:
+        return self._kept("allocation_bitmaps", lambda: bank.allocation_bitmaps(self.customer_nodes(), self.regions()))
+
+    def region_transactions(self) -> DataFrame:
+        return self._kept("region_transactions", self.fx.region_transactions)
+
     def clean_sales(self) -> DataFrame:
         return self._kept("clean_weekly_sales",
                           lambda: cleaning.clean_weekly_sales(self.fx.weekly_sales()),
@@ -98,9 +104,10 @@ class Inputs:
     def prepare(self) -> None:
         """Write every kept table now (otherwise the first query does it).
 
-        Independent tables are written by concurrent jobs. Ratings read the
-        cleaned orders and runs, so they form a second phase."""
-        for phase in ((self.sales_fact, self.orders, self.runs, self.customer_nodes, self.clean_sales), (self.ratings,)):
+        Independent tables are written by concurrent jobs. Ratings and bitmaps
+        read others of them, so they form a second phase."""
+        for phase in ((self.sales_fact, self.orders, self.runs, self.customer_nodes, self.clean_sales, self.region_transactions),
+                      (self.ratings, self.allocation_bitmaps)):
             with ThreadPoolExecutor(max_workers=len(phase)) as pool:
                 for f in [pool.submit(b) for b in phase]:
                     f.result()
@@ -147,6 +154,7 @@ def _loyalty() -> dict[str, Query]:
             i.priced_sales(), None, i.members(), special=SPECIAL_STAND_IN, cutoff=CUTOFF_STAND_IN)),
         "diner_membership_flag": _q(lambda i: L.membership_flag(i.priced_sales(), None, i.members())),
         "diner_member_ranking": _q(lambda i: L.member_ranking(i.priced_sales(), None, i.members())),
+        "diner_sale_ranks": _q(lambda i: L.sale_ranks(i.sales(), ["l_orderkey", "l_linenumber"])),
     }
 
 
@@ -162,6 +170,7 @@ def _delivery() -> dict[str, Query]:
         "pizza_a5_pivot": _q(lambda i: D.type_pivot(i.orders(), i.pizza_names(),
                                                     VEGETARIAN_STAND_IN, MEATLOVERS_STAND_IN)),
         "pizza_a6_max_order": _q(lambda i: D.max_pizzas_in_order(i.orders())),
+        "pizza_a6_order_ranks": _q(lambda i: D.order_size_ranks(i.orders())),
         "pizza_a7_changes": _q(lambda i: D.changes_per_customer(i.orders())),
         "pizza_a8_both": _q(lambda i: D.both_changes(i.orders(), i.runs())),
         "pizza_a8_both_fixed": _q(lambda i: D.both_changes_fixed(i.orders(), i.runs())),
@@ -198,10 +207,14 @@ def _bank() -> dict[str, Query]:
         "bank_a4_realloc_days": _q(lambda i: B.realloc_avg_days(i.customer_nodes())),
         "bank_a5_realloc_percentiles": _q(lambda i: B.realloc_percentiles(
             i.customer_nodes(), i.regions())),
+        "bank_a3_distinct_rollup": _q(lambda i: B.allocation_rollup(i.allocation_bitmaps())),
+        "bank_a5_amount_percentiles": _q(lambda i: B.amount_percentiles(i.region_transactions())),
         "bank_b1_txn_totals": _q(lambda i: B.txn_totals(i.customer_transactions())),
         "bank_b2_deposit_avg": _q(lambda i: B.deposit_averages(i.customer_transactions())),
         "bank_b3_active_months": _q(lambda i: B.active_months(i.customer_transactions())),
         "bank_b4_closing_balance": _q(lambda i: B.closing_balance(i.customer_transactions())),
+        "bank_b4_running_balance": _q(lambda i: B.running_balance(i.region_transactions())),
+        "bank_b5_neighbours": _q(lambda i: B.neighbouring_amounts(i.region_transactions())),
         "bank_b5_growth_pct": _q(lambda i: B.growth_share(i.customer_transactions())),
         "bank_b5_growth_pct_fixed": _q(lambda i: B.growth_share_fixed(i.customer_transactions())),
     }

@@ -175,6 +175,22 @@ class Fixtures:
             F.round("o_totalprice").cast("bigint").alias("txn_amount"),
         )
 
+    def region_transactions(self) -> DataFrame:
+        """Every transaction with its own id and its customer's region: five
+        regions, so each holds a fifth of all rows. Withdrawals and purchases
+        are signed negative; ``price`` is the amount before rounding."""
+        o = self.t.read("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+        c = self.t.read("customer", "c_custkey", "c_nationkey")
+        n = self.t.read("nation", "n_nationkey", "n_regionkey")
+        r = self.t.read("region", "r_regionkey", "r_name")
+        geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
+        home = c.join(geo, c.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
+        amount = F.round("o_totalprice").cast("bigint")
+        return o.join(home, o.o_custkey == home.c_custkey).select(
+            F.col("r_name").alias("region_name"), F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("txn_id"),
+            _shifted("o_orderdate").alias("txn_date"), F.when(F.col("o_orderstatus") == "F", amount).otherwise(-amount).alias("amount"),
+            F.col("o_totalprice").cast("double").alias("price"))
+
     # ---- sales mart (week 5) ----------------------------------------------
     def weekly_sales(self) -> DataFrame:
         """Raw weekly sales: week text ``d/M/yy``, one row per week and cut.
