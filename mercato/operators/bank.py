@@ -18,7 +18,7 @@ from mercato.functions.dates import month_name_of
 from mercato.functions.numeric import round_ratio
 from mercato.functions.text import dollars, money_text
 from mercato.operators.distinct import distinct_bitmaps, distinct_counts
-from mercato.operators.ordered import percentiles, with_lag, with_lead, with_running_sum
+from mercato.operators.ordered import percentiles, with_neighbours, with_running_sum
 
 # Fixed values of the case study (defaults of the parameters below).
 OPEN_END = "9999-12-31"
@@ -197,7 +197,6 @@ def running_balance(txns: DataFrame, **how) -> DataFrame:
 def neighbouring_amounts(txns: DataFrame, **how) -> DataFrame:
     """Each transaction with the previous amount of its region, the one three
     before (0 where there is none) and the next one, by day and transaction."""
-    t, order, by = txns.select("region_name", "txn_id", "txn_date", "amount"), ["txn_date", "txn_id"], ["region_name"]
-    t = with_lag(t, "amount", order, by, "previous", **how)
-    t = with_lag(t, "amount", order, by, "third_before", 3, 0, **how)
-    return with_lead(t, "amount", order, by, "next", **how)
+    t = txns.select("region_name", "txn_id", "txn_date", "amount")
+    columns = {"previous": 1, "third_before": (3, 0), "next": -1}
+    return with_neighbours(t, "amount", ["txn_date", "txn_id"], columns, ["region_name"], **how)

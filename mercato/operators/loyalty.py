@@ -167,14 +167,14 @@ def membership_flag(sales: DataFrame, menu: DataFrame | None, members: DataFrame
 def member_ranking(sales: DataFrame, menu: DataFrame | None, members: DataFrame) -> DataFrame:
     """As ``membership_flag`` plus the dense rank of the order day among the
     customer's member days; NULL for non-member rows."""
-    flagged = membership_flag(sales, menu, members, ordered=False)
-    # 'Y' rows are exactly the inner-join rows on or after the join day
-    days = _priced(sales, menu).select("customer_id", "order_date").distinct()
-    member_days = _of_members(days, members, after=True).select("customer_id", "order_date")
-    ranks = rank_distinct(member_days, "customer_id", "order_date", "ranking")
-    return (skew_join(flagged, ranks.withColumn("membership", F.lit("Y")), ["customer_id", "order_date", "membership"], "left")
-            .select("customer_id", "order_date", "product_name", "price", "membership",
-                    F.col("ranking").cast("bigint").alias("ranking")))
+    priced = _priced(sales, menu)
+    member_days = _of_members(priced.select("customer_id", "order_date").distinct(), members, after=True)
+    ranks = rank_distinct(member_days.select("customer_id", "order_date"), "customer_id", "order_date", "ranking")
+    # The member rows are those of a ranked day: one join of the raw sales gives flag and rank.
+    ranked = skew_join(priced, ranks, ["customer_id", "order_date"], "left")
+    return ranked.select("customer_id", "order_date", "product_name", "price",
+                         F.when(F.col("ranking").isNotNull(), "Y").otherwise("N").alias("membership"),
+                         F.col("ranking").cast("bigint").alias("ranking"))
 
 
 def sale_ranks(sales: DataFrame, carry: Sequence[str] = (), **how) -> DataFrame:

@@ -68,6 +68,9 @@ class Cells:
             found = [picked[i * len(picked) // n].b for i in range(1, n)] if picked else []
         self.bounds = [b for i, b in enumerate(found) if not i or b != found[i - 1]]
         self.type = rows.schema["b"].dataType
+        groups = [b[:len(self.keys)] for b in self.bounds]
+        #: No group holds two bounds: none has more rows than about two cells, and the plain window makes no hot task.
+        self.even = bool(self.keys) and all(a != b for a, b in zip(groups, groups[1:])) or not self.bounds
 
     def _place(self, df: DataFrame) -> Column:
         """The struct that orders the rows: keys, then the order columns, NULL as the largest."""
@@ -109,6 +112,9 @@ class Cells:
         spread_by = [F.col("__deal")] if spread else []
         return Window.partitionBy(*self.keys, "__cell", *spread_by).orderBy(*self.sorting(descending))
 
+    def plain_window(self, descending: bool = False) -> "Window":
+        return Window.partitionBy(*self.keys).orderBy(*self.sorting(descending))
+
     def sorting(self, descending: bool = False) -> list[Column]:
         return [F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last() for c in self.order]
 
@@ -132,6 +138,10 @@ def with_ranks(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), ra
     """Adds ``rank()`` and / or ``dense_rank() over (partition by keys order by
     order)`` as bigint columns of the given names."""
     at = Cells(df, keys, order, cells)
+    if at.even:
+        w = at.plain_window(descending)
+        made = [(rank, F.rank()), (dense, F.dense_rank())]
+        return df.select("*", *[f.over(w).cast("bigint").alias(name) for name, f in made if name])
     celled = at.of(df)
     cut = at.of_cut_groups(celled)
     if dense:                                             # values of each cell first: they are counted once
@@ -163,6 +173,9 @@ def with_running_sum(df: DataFrame, value: str, order: Sequence[str], keys: Sequ
     doubles depend on the cells in their last digits: use integers or decimals.
     """
     at = Cells(df, keys, order, cells)
+    if at.even:
+        w = at.plain_window()
+        return df.withColumn(name, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if rows else w))
     celled = at.of(df)
     sums = at.of_cut_groups(celled).groupBy(*at.keys, "__cell").agg(F.sum(value).alias("__sum"))
     offsets = sums.select(*at.keys, "__cell", F.sum("__sum").over(at.before()).alias("__before"), F.col("__sum").alias("__whole"))
@@ -180,41 +193,71 @@ def with_running_sum(df: DataFrame, value: str, order: Sequence[str], keys: Sequ
     return out.withColumn(name, total).select(*df.columns, name)
 
 
-def with_lag(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[str] = (), name: str = "previous",
-             offset: int = 1, default=None, lead: bool = False, cells: int | None = None) -> DataFrame:
+def with_neighbours(df: DataFrame, value: str, order: Sequence[str], columns: dict[str, int | tuple[int, object]],
+                    keys: Sequence[str] = (), cells: int | None = None) -> DataFrame:
     """Adds ``lag(value, offset, default) over (partition by keys order by
-    order)``, or ``lead``. ``order`` must tell the rows of a group apart.
+    order)`` for each of ``columns`` ({name: offset} or {name: (offset,
+    default)}); a negative offset leads. ``order`` must tell a group's rows apart.
+
+    All columns share the exchange of the rows. The first (last) rows of a cell
+    take their value from the last (first) rows of the cells around it, of which
+    no more than the largest offset leave a cell."""
+    asked = {name: x if isinstance(x, tuple) else (x, None) for name, x in columns.items()}
+    if not all(offset for offset, _ in asked.values()):
+        raise ValueError("an offset counts rows back, or on if negative; it is not 0")
+    kind = df.schema[value].dataType
+    at = Cells(df, keys, order, cells)
+    if at.even:
+        w = at.plain_window()
+        return df.select("*", *[F.lag(value, offset, default).over(w).cast(kind).alias(name) for name, (offset, default) in asked.items()])
+    celled = at.of(df)
+    cut, w = at.of_cut_groups(celled), at.window()
+    cell_keys = [*at.keys, "__cell"]
+    around = cut.groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("__size"))
+    for side, back in (("__before", True), ("__after", False)):
+        most = max([offset if back else -offset for offset, _ in asked.values()])
+        if most > 0:
+            # The rows nearest to the border, the nearest first: a limit by group, applied before the exchange too.
+            from_border = F.row_number().over(at.window(back))
+            ends = cut.withColumn("__at", from_border).filter(F.col("__at") <= most)
+            pair = F.struct("__at", F.col(value).alias("__value"))
+            tails = ends.groupBy(*cell_keys).agg(F.sort_array(F.collect_list(pair)).alias("__tail"))
+            # Each of the cells around holds a row or more, so the nearest `most` of them will do.
+            c = F.col("__cell")
+            near = Window.partitionBy(*at.keys).orderBy(c.asc() if back else c.desc()).rowsBetween(-most, -1)
+            carried = F.slice(F.flatten(F.reverse(F.collect_list("__tail").over(near))), 1, most)
+            around = join_null_safe(around, tails.select(*cell_keys, carried.alias(side)), cell_keys)
+    local = {f"__local{i}": F.lag(value, offset).over(w) for i, (offset, _) in enumerate(asked.values())}
+    # Whether a leading row is in the cell: what a group of one cell goes by, as it has no size here.
+    there = {f"__there{i}": F.coalesce(F.lead(F.lit(True), -offset).over(w), F.lit(False))
+             for i, (offset, _) in enumerate(asked.values()) if offset < 0}
+    windows = {"__row": F.row_number().over(w), **local, **there}
+    out = at.attach(celled.select("*", *[c.alias(n) for n, c in windows.items()]), around)
+    made = []
+    for i, (name, (offset, default)) in enumerate(asked.items()):
+        far = abs(offset)
+        place = F.col("__row") if offset > 0 else F.col("__size") - F.col("__row") + 1       # from that border, 1 is next to it
+        held, index = ("__before" if offset > 0 else "__after"), (F.lit(far) - place).cast("int")
+        outside = F.when(F.coalesce(F.size(held), F.lit(0)) > index, F.get(held, index)["__value"]).otherwise(F.lit(default).cast(kind))
+        inside = F.col("__row") > far if offset > 0 else F.col(f"__there{i}")
+        made.append(F.when(inside, F.col(f"__local{i}")).otherwise(outside).alias(name))
+    return out.select(*df.columns, *made)
+
 
-    The first ``offset`` rows of a cell take their value from the last rows of
-    the cells before it, of which at most ``offset`` a cell leave its tasks."""
+def with_lag(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[str] = (), name: str = "previous",
+             offset: int = 1, default=None, cells: int | None = None) -> DataFrame:
+    """Adds ``lag(value, offset, default)``; see ``with_neighbours``."""
     if offset < 1:
         raise ValueError("offset counts rows and begins at 1")
-    at = Cells(df, keys, order, cells)
-    celled = at.of(df)
-    w = at.window(lead)
-    # The last rows of each cell, the nearest first: a limit by group, applied before the exchange too.
-    from_end = F.row_number().over(at.window(not lead))
-    ends = at.of_cut_groups(celled).withColumn("__back", from_end).filter(F.col("__back") <= offset)
-    pair = F.struct("__back", F.col(value).alias("__value"))
-    tails = ends.groupBy(*at.keys, "__cell").agg(F.sort_array(F.collect_list(pair)).alias("__tail"))
-    # Each of the cells before holds a row or more, so the last `offset` of them will do.
-    c = F.col("__cell")
-    near = Window.partitionBy(*at.keys).orderBy(c.desc() if lead else c.asc()).rowsBetween(-offset, -1)
-    before = F.flatten(F.reverse(F.collect_list("__tail").over(near)))
-    carried = tails.select(*at.keys, "__cell", F.slice(before, 1, offset).alias("__before"))
-    out = celled.withColumn("__row", F.row_number().over(w)).withColumn("__local", F.lag(value, offset).over(w))
-    out = at.attach(out, carried)
-    from_before = F.get("__before", F.lit(offset) - F.col("__row"))
-    inside = F.col("__row") > offset
-    there = F.coalesce(F.size("__before"), F.lit(0)) > F.lit(offset) - F.col("__row")
-    got = F.when(inside, F.col("__local")).when(there, from_before["__value"]).otherwise(F.lit(default).cast(df.schema[value].dataType))
-    return out.withColumn(name, got).select(*df.columns, name)
+    return with_neighbours(df, value, order, {name: (offset, default)}, keys, cells)
 
 
 def with_lead(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[str] = (), name: str = "next",
               offset: int = 1, default=None, cells: int | None = None) -> DataFrame:
     """As ``with_lag``, from the rows behind."""
-    return with_lag(df, value, order, keys, name, offset, default, lead=True, cells=cells)
+    if offset < 1:
+        raise ValueError("offset counts rows and begins at 1")
+    return with_neighbours(df, value, order, {name: (-offset, default)}, keys, cells)
 
 
 def select_ranks(df: DataFrame, value: str, wanted: DataFrame, keys: Sequence[str] = (),
@@ -232,7 +275,7 @@ def select_ranks(df: DataFrame, value: str, wanted: DataFrame, keys: Sequence[st
         F.count(F.lit(1)).alias("__n"), F.min(value).alias("__least"), F.max(value).alias("__most"))
     histogram = histogram.withColumn("__start", F.coalesce(F.sum("__n").over(at.before()), F.lit(0)))
     spot = join_null_safe(wanted, histogram, keys, "inner") if keys else wanted.crossJoin(F.broadcast(histogram))  # a row a cell
-    spot = spot.filter((F.col("rank") >= F.col("__start")) & (F.col("rank") < F.col("__start") + F.col("__n")))
+    spot = written(spot.filter((F.col("rank") >= F.col("__start")) & (F.col("rank") < F.col("__start") + F.col("__n"))), "rank-cells")
     known = spot.filter(F.col("__least") == F.col("__most")).select(*keys, "rank", F.col("__least").alias("value"))
     open_ = spot.filter(F.col("__least") != F.col("__most"))
     largest = open_.agg(F.max("__n")).first()[0]

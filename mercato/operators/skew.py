@@ -4,9 +4,11 @@ A hash join sends all rows of a key to one task. ``skew_join`` finds the keys
 that hold more than a task's share of the left rows and deals each over as many
 salts as it has shares; the right rows of these keys are repeated once a salt.
 All other rows keep one salt. It needs no adaptive execution, and keeps inner,
-left, semi and anti joins as they are. A right side that the planner broadcasts
-anyway (its size is checked against spark.sql.autoBroadcastJoinThreshold) is
-joined plainly: then no key has a task of its own.
+left, semi and anti joins as they are. Two cases are joined plainly: a right side
+that the planner broadcasts anyway (its size is checked against
+spark.sql.autoBroadcastJoinThreshold), where no key has a task of its own; and a
+left side that as a whole is one task's work, by
+spark.sql.adaptive.advisoryPartitionSizeInBytes.
 """
 
 from __future__ import annotations
@@ -57,7 +59,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: s
     if how not in HOWS:
         raise ValueError(f"a salted join is one of {HOWS}")
     spark = left.sparkSession
-    if estimated_bytes(right) <= _bytes_conf(spark, "spark.sql.autoBroadcastJoinThreshold"):
+    if (estimated_bytes(right) <= _bytes_conf(spark, "spark.sql.autoBroadcastJoinThreshold")
+            or estimated_bytes(left) <= _bytes_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes")):
         return left.join(right, on, how)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(left, on, parts)

@@ -78,6 +78,15 @@ def test_lag_and_lead_equal_the_window(data, keys, offset, default):
         O.with_lag(data, "v", ["d", "t"], keys, offset=0)
 
 
+@pytest.mark.parametrize("keys", [[], ["g"]])
+def test_neighbours_share_one_pass(data, keys):
+    w = window(keys, ["d", "t"])
+    want = data.select("t", F.lag("v", 2, 0).over(w).alias("a"), F.lead("v").over(w).alias("b"), F.lead("v", 5, -9).over(w).alias("c"))
+    for cells in (1, 17, 64):
+        got = O.with_neighbours(data, "v", ["d", "t"], {"a": (2, 0), "b": -1, "c": (-5, -9)}, keys, cells)
+        assert rows(got, "t", "a", "b", "c") == rows(want)
+
+
 @pytest.mark.parametrize("keys", [[], ["g"]])
 @pytest.mark.parametrize("limit", [10 ** 6, 300])
 def test_percentiles_equal_quantile_cont(data, keys, limit):
@@ -112,6 +121,13 @@ def test_hot_groups_and_hot_values_are_cut(spark):
     assert celled.filter("d = 500 and g = 'hot'").select("__cell").distinct().count() == 1
 
 
+def test_even_groups_take_the_plain_window(spark):
+    df = spark.range(4000).selectExpr("id % 1000 as g", "id as d")
+    assert O.Cells(df, ["g"], ["d"], 16).even and not O.Cells(df, [], ["d"], 16).even
+    plan = O.with_ranks(df, ["d"], ["g"], "r", cells=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__cell" not in plan and plan.count("Window") == 1
+
+
 def test_no_task_takes_all_rows_without_adaptive_execution(spark):
     """The rows' exchanges are by cell; the only single-partition exchange holds the offsets."""
     before = spark.conf.get("spark.sql.adaptive.enabled")

@@ -10,8 +10,9 @@ from mercato.operators.skew import hot_keys, skew_join
 
 @pytest.fixture()
 def plain_conf(spark):
-    """No adaptive execution and no broadcast."""
-    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    """No adaptive execution, no broadcast, and no left side so small that a hot key doesn't matter."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1"}
     old = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
