@@ -5,20 +5,24 @@ characters; an occurrence that spans s characters weighs ``DECAY ** s``, and
 spans above ``SPAN`` weigh nothing. The kernel is normalised. Gaps cost little,
 so "id.io-t" stays near "idiot".
 
-Model. Labelled sentences (a sentence carries its document's label) give, per
-term, the documents of either label that hold it. Terms are the bags'
-instances: a toxic document has at least one toxic term, a clean one none.
-Landmarks are terms of both kinds; every training term is mapped to
-K(x, landmarks) K(landmarks, landmarks)^-1/2, and a linear SVM with squared
-hinge loss is fitted there. The decision is then a sum of landmark kernels,
-
-    f(x) = <psi(x), V> / |psi(x)|,   V = sum_j alpha_j psi(landmark_j) / |psi(landmark_j)|,
+Model. Sentences carry their document's label. In them each term is counted by
+its contexts: the distinct neighbours it stands between, toxic only if no clean
+sentence has the same three words. So a document's copies add nothing to its
+chance words, while an insult, which turns up anywhere, gathers evidence.
+Terms are the bags' instances: a toxic document has at least one toxic term, a
+clean one none. Landmarks are terms of both kinds; every training term is mapped
+to K(x, landmarks) K(landmarks, landmarks)^-1/2, and a linear SVM with squared
+hinge loss is fitted there. Its offset is fixed at OFFSET: a term that is like no
+landmark is clean. The decision is then a sum of landmark kernels,
+
+    f(x) = <psi(x), V> / |psi(x)| + OFFSET,   V = sum_j alpha_j psi(landmark_j) / |psi(landmark_j)|,
 
 which is evaluated through V, a table over the subsequences of the landmarks.
 This is the same number, at a cost that does not depend on the landmark count.
 
 Document score. All terms of the whole text are scored; a logistic function
-of the strongest terms, fitted on the training documents, gives 0 to 1.
+of the strongest one, fitted on the training documents, gives 0 to 1: one clear
+insult is enough, whatever the length of the text.
 
 Null and empty texts have no terms and get the score of a text without toxic
 terms. Without training rows of both labels, or toxic terms, every score is 0. Repeated
@@ -36,6 +40,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,10 +54,11 @@ LETTERS = 64         # character classes
 MAX_DOCS = 6000      # labelled documents of each label that are learned from
 MAX_TERMS = 3000     # training terms of each kind
 LANDMARKS = 240      # Nyström landmarks
+OFFSET = -1.0        # value of a term that is like no landmark
 EVIDENCE = 10.0      # log likelihood ratio from which a term counts as toxic
 MINING = 2           # rounds that add the clean terms most mistaken for toxic ones
 VIRTUAL = 40         # most frequent toxic terms that get virtual gapped examples
-TOP = 3              # strongest terms of a document that enter its score
+GAPPED = 0.05        # weight of such an example, of its term's
 CUT = 0.3            # scores from here on predict label 1
 HELD_OUT = 2         # remainder of crc32(doc_id) mod 4 that is never learned from
 
@@ -136,12 +142,11 @@ def gram(a: list[tuple[np.ndarray, np.ndarray]], b: list[tuple[np.ndarray, np.nd
 @dataclass
 class Model:
     table: np.ndarray            # V over the subsequence codes, flat
-    bias: float
-    logit: np.ndarray            # weights of the document's features, last the constant
+    logit: tuple[float, float] = (1.0, 0.0)    # slope and constant of the document's score
 
     def score_terms(self, found: list[str]) -> np.ndarray:
         """f(x) of distinct terms, computed together for terms of one length."""
-        out = np.full(len(found), self.bias)
+        out = np.full(len(found), OFFSET)
         by: dict[int, list[int]] = {}
         for i, t in enumerate(found):
             by.setdefault(min(len(t), WINDOW) + 2, []).append(i)
@@ -159,8 +164,8 @@ class Model:
                 out[part] += (self.table[code] @ weights) / np.sqrt(_norms(code, picks[:, -1] - picks[:, 0]))
         return out
 
-    def document(self, strongest: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-min(30.0, max(-30.0, strongest @ self.logit[:-1] + self.logit[-1])))))
+    def document(self, strongest: float) -> float:
+        return float(1 / (1 + np.exp(-min(30.0, max(-30.0, strongest * self.logit[0] + self.logit[1])))))
 
 
 def _norms(code: np.ndarray, spans: np.ndarray) -> np.ndarray:
@@ -179,20 +184,17 @@ def _norms(code: np.ndarray, spans: np.ndarray) -> np.ndarray:
     return np.bincount(rows, sums ** 2, len(code))
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, rounds: int = 40) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss by Newton steps on the active rows."""
-    xb = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(xb.shape[1])
-    ridge = np.eye(xb.shape[1])
-    ridge[-1, -1] = 1e-3
+def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, rounds: int = 40) -> np.ndarray:
+    """Linear SVM of fixed offset with squared hinge loss by Newton steps on the active rows."""
+    w = np.zeros(x.shape[1])
     for _ in range(rounds):
-        on = y * (xb @ w) < 1
-        xa = xb[on] * weight[on, None]
-        new = np.linalg.solve(ridge + 2 * c * xb[on].T @ xa, 2 * c * xa.T @ y[on])
+        on = y * (x @ w + OFFSET) < 1
+        xa = x[on] * weight[on, None]
+        new = np.linalg.solve(np.eye(len(w)) + 2 * c * x[on].T @ xa, 2 * c * xa.T @ (y[on] - OFFSET))
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
-    return w[:-1], float(w[-1])
+    return w
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -208,19 +210,26 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int =
     return w
 
 
-def strongest(scores: np.ndarray) -> np.ndarray:
-    """The TOP largest scores of a document's distinct terms, cut to [-2, 2]; absent ones -2."""
-    top = np.sort(scores)[::-1][:TOP]
-    return np.clip(np.concatenate([top, np.full(TOP - len(top), -2.0)]), -2, 2)
+def strongest(scores: np.ndarray) -> float:
+    """The largest score of a document's terms, cut to [-2, 2]; -2 where it has none."""
+    return float(np.clip(scores.max(initial=-2.0), -2, 2))
 
 
-def _sentence_terms(batches):
-    """(doc_id, toxic, term): the distinct terms of a document's labelled sentences."""
+def _contexts(batches):
+    """(term, context, toxic): the terms of labelled sentences with a hash of their
+    neighbours; of terms that are no word of the sentence, with that of the sentence."""
     for b in batches:
-        for doc_id, toxic, text in zip(*(c.to_pylist() for c in b.columns)):
-            found = {t for s in _SENTENCE.split(text or "") for w in terms(s) if (t := bare(w))}
+        for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found = set()
+            for s in _SENTENCE.split(text or ""):
+                words = ["", *map(bare, s.lower().split()), ""]
+                whole = terms(s)
+                found.update((w, xxhash.xxh3_64_intdigest(f"{a} {z}") >> 1) for a, w, z in zip(words, words[1:], words[2:])
+                             if w and len(w) <= WINDOW)
+                known = set(words)
+                found.update((t, xxhash.xxh3_64_intdigest(s) >> 1) for t in map(bare, whole) if t and t not in known)
             for part in pieces(sorted(found), 5000):
-                yield batch("doc_id long, toxic int, term string", ([doc_id] * len(part), [toxic] * len(part), part))
+                yield batch("term string, context long, toxic int", (*zip(*part), [toxic] * len(part)))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model | None:
@@ -240,18 +249,19 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
     # At most 2 * max_docs rows of two numbers: a proven bound for the broadcast.
     sample = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")
     sample = keep(sample, "labelled").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
-    found = sample.select("doc_id", "toxic", "text").mapInArrow(_sentence_terms, "doc_id long, toxic int, term string")
-    found = keep(found, "labelled_terms")
-    counts = found.groupBy("term").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
-    counts = keep(counts, "term_counts")
+    found = sample.select("toxic", "text").mapInArrow(_contexts, "term string, context long, toxic int")
+    found = found.groupBy("term", "context").agg(F.min("toxic").alias("toxic"))
+    counts = keep(found.groupBy("term").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")), "term_counts")
     # Weights for the terms: relative ones, as no document is more evidence than its own.
     bad, good = (F.col(c) * (weight[y] / min(weight.values())) for c, y in (("bad", 1), ("good", 0)))
-    rate = n[1] * weight[1] / (n[0] * weight[0] + n[1] * weight[1])
+    rate = counts.agg((F.sum(bad) / (F.sum(bad) + F.sum(good))).alias("r")).first()["r"]
+    if not rate or rate >= 1:
+        return None
     share = bad / (bad + good)
-    # Log likelihood ratio of a term's own rate of toxic documents against the overall rate.
+    # Log likelihood ratio of a term's own rate of toxic contexts against the overall rate.
     ratio = bad * F.log(share / rate) + F.when(F.col("good") > 0, good * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     rare = counts.where("bad > 0").where((share > 0.7) & (ratio > EVIDENCE)).orderBy(F.desc("bad"), "term").limit(MAX_TERMS)
     usual = counts.where(share <= 0.5)
@@ -259,21 +269,28 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
     good = {r["term"]: r["good"] for order in (F.desc("good"), F.xxhash64("term")) for r in usual.orderBy(order, "term").limit(MAX_TERMS).collect()}
     if not bad or not good:
         return None
+    marks: dict[str, int] = {}
     for _ in range(MINING):
-        table, bias = _fit_terms(bad, good)
-        # All clean terms are scored; the worst mistaken join the training set.
-        hard = usual.select("term", "good").mapInArrow(lambda it: _judged(it, table, bias), "term string, good long, value double")
-        good |= {r["term"]: r["good"] for r in hard.orderBy(F.desc("value"), "term").limit(MAX_TERMS // 2).collect()}
-    table, bias = _fit_terms(bad, good)
-    model = Model(table, bias, np.zeros(TOP + 1))
-    rows = sample.select("doc_id", "toxic", "text").mapInArrow(lambda it: _strongest(it, model), "toxic int, s0 double, s1 double, s2 double").toPandas()
+        table = _fit_terms(bad, good, marks)
+        # All clean terms are scored; the worst mistaken join the training set,
+        # and those of them that weigh most become landmarks too.
+        judged = usual.select("term", "good").mapInArrow(lambda it: _judged(it, table), "term string, good long, value double")
+        judged = keep(judged, "judged_terms")
+        good |= {r["term"]: r["good"] for r in judged.orderBy(F.desc("value"), "term").limit(MAX_TERMS // 2).collect()}
+        loss = F.greatest(F.col("value") - OFFSET, F.lit(0.0)) * F.sqrt("good")
+        marks |= {r["term"]: r["good"] for r in judged.orderBy(loss.desc(), "term").limit(LANDMARKS // 2).collect()}
+        good |= marks
+    model = Model(_fit_terms(bad, good, marks))
+    # A row of two numbers for each sampled document.
+    rows = sample.select("toxic", "text").mapInArrow(lambda it: _strongest(it, model), "toxic int, s double").toPandas()
     y = rows["toxic"].to_numpy(float)
-    model.logit = fit_logistic(rows[["s0", "s1", "s2"]].to_numpy(), y, np.where(y > 0, weight[1], weight[0]))
+    slope, constant = fit_logistic(rows[["s"]].to_numpy(), y, np.where(y > 0, weight[1], weight[0]))
+    model.logit = (float(slope), float(constant))
     return model
 
 
-def _judged(batches, table, bias):
-    model = Model(table, bias, np.zeros(TOP + 1))
+def _judged(batches, table):
+    model = Model(table)
     for b in batches:
         t = b.column(0).to_pylist()
         yield batch("term string, good long, value double", (t, b.column(1).to_pylist(), model.score_terms(t)))
@@ -284,9 +301,9 @@ def gapped(term: str) -> list[str]:
     return [term[:i] + c + term[i:] for i in range(1, len(term)) for c in (term[i], "xqjzk"[i % 5])]
 
 
-def _fit_terms(bad: dict[str, int], good: dict[str, int]) -> tuple[np.ndarray, float]:
-    """The table V and bias of the Nyström SVM on terms of both kinds."""
-    bad = {g: 0.25 for t in sorted(bad, key=lambda t: (-bad[t], t))[:VIRTUAL] for g in gapped(t) if g not in good} | bad
+def _fit_terms(bad: dict[str, int], good: dict[str, int], extra: dict[str, int]) -> np.ndarray:
+    """The table V of the Nyström SVM on terms of both kinds; the clean terms ``extra`` are landmarks too."""
+    bad = {g: GAPPED * bad[t] for t in sorted(bad, key=lambda t: (-bad[t], t))[:VIRTUAL] for g in gapped(t) if g not in good} | bad
     names = list(bad) + list(good)
     y = np.array([1.0] * len(bad) + [-1.0] * len(good))
     size = np.array([*bad.values(), *good.values()], float)
@@ -295,16 +312,16 @@ def _fit_terms(bad: dict[str, int], good: dict[str, int]) -> tuple[np.ndarray, f
         weight[y == side] /= weight[y == side].sum()
     weight *= len(names) / 2
     psi = features(names)
-    marks = [psi[i] for i in _landmarks(psi, y, LANDMARKS)]
+    mined = [len(bad) + i for i, t in enumerate(good) if t in extra]
+    marks = [psi[i] for i in dict.fromkeys(_landmarks(psi, y, LANDMARKS) + mined)]
     inner = gram(marks, marks)
-    value, vector = np.linalg.eigh(inner + 1e-6 * np.eye(len(marks)))
-    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-    w, bias = fit_svm(gram(psi, marks) @ root, y, weight)
-    alpha = root @ w
+    value, vector = np.linalg.eigh(inner)
+    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
+    alpha = root @ fit_svm(gram(psi, marks) @ root, y, weight)
     table = np.zeros(LETTERS ** ORDER)
     for a, (code, weights) in zip(alpha, marks):
         table[code] += a * weights
-    return table, bias
+    return table
 
 
 def _landmarks(psi, y: np.ndarray, count: int) -> list[int]:
@@ -313,10 +330,17 @@ def _landmarks(psi, y: np.ndarray, count: int) -> list[int]:
     chosen = []
     for side in (1.0, -1.0):
         at = np.flatnonzero(y == side)
-        near, pick = np.zeros(len(at)), 0
+        codes, own = np.unique(np.concatenate([psi[i][0] for i in at]), return_inverse=True)
+        weights = np.concatenate([psi[i][1] for i in at])
+        ends = np.cumsum([len(psi[i][0]) for i in at])
+        near, pick, one = np.zeros(len(at)), 0, np.zeros(len(codes))
         for _ in range(min(count // 2, len(at))):
             chosen.append(int(at[pick]))
-            near = np.maximum(near, gram([psi[i] for i in at], [psi[at[pick]]])[:, 0])
+            code, w = psi[at[pick]]
+            one[np.searchsorted(codes, code)] = w
+            sums = np.concatenate([[0.0], np.cumsum(weights * one[own])])[ends]
+            near = np.maximum(near, np.diff(sums, prepend=0.0))      # kernel values to the one chosen last
+            one[:] = 0
             near[pick] = 2.0
             pick = int(np.argmin(near))
             if near[pick] > 0.98:
@@ -346,8 +370,7 @@ def _scorer(model: Model):
 def _strongest(batches, model: Model):
     score = _scorer(model)
     for b in batches:
-        rows = [strongest(score(terms(t))) for t in b.column("text").to_pylist()]
-        yield batch("toxic int, s0 double, s1 double, s2 double", (b.column("toxic").to_pylist(), *np.reshape(rows, (-1, TOP)).T))
+        yield batch("toxic int, s double", (b.column("toxic").to_pylist(), [strongest(score(terms(t))) for t in b.column("text").to_pylist()]))
 
 
 def _scored(batches, model: Model | None):

@@ -33,8 +33,8 @@ def test_table_equals_the_landmark_sum():
     for a, (code, w) in zip(alpha, psi):
         table[code] += a * w
     found = ["idiot", "idxiot", "clwn", "bananas", "bb", "a" * T.WINDOW]
-    want = 0.25 + T.gram(T.features(found), psi) @ alpha
-    assert np.allclose(T.Model(table, 0.25, np.zeros(4)).score_terms(found), want)
+    want = T.OFFSET + T.gram(T.features(found), psi) @ alpha
+    assert np.allclose(T.Model(table).score_terms(found), want)
 
 
 def test_terms_cover_the_whole_text():
@@ -50,14 +50,16 @@ def test_held_out_accuracy(spark):
     rows = got.where("held_out").collect()
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     hit = sum(r.predicted and r.toxic for r in rows)
-    assert hit / sum(r.toxic for r in rows) > 0.85 and hit / sum(r.predicted for r in rows) > 0.8
+    clean = [r for r in rows if not r.toxic]
+    assert hit / sum(r.toxic for r in rows) > 0.9 and sum(not r.predicted for r in clean) / len(clean) > 0.95
+    assert hit / sum(r.predicted for r in rows) > 0.8
 
 
 def test_weights_undo_the_cap_of_a_label():
     r = np.random.default_rng(7)
-    clean, toxic = r.normal(-1, 0.7, (4000, T.TOP)), r.normal(0, 0.7, (500, T.TOP))
+    clean, toxic = r.normal(-1, 0.7, (4000, 1)), r.normal(0, 0.7, (500, 1))
     fit = lambda n, w: T.fit_logistic(np.vstack([clean[:n], toxic]), np.repeat([0.0, 1.0], [n, 500]), np.repeat([w, 1.0], [n, 500]))
-    x = np.hstack([r.normal(-0.5, 0.7, (200, T.TOP)), np.ones((200, 1))])
+    x = np.hstack([r.normal(-0.5, 0.7, (200, 1)), np.ones((200, 1))])
     full, weighted, plain = (x @ fit(*a) for a in ((4000, 1.0), (500, 8.0), (500, 1.0)))
     assert abs(np.mean(weighted - full)) < 0.4 and np.mean(plain - full) > 1.5
 
@@ -68,6 +70,23 @@ def test_inserted_characters(spark):
     clean = model.score_terms(["thonble", "stren", "einheit", "queaux"])
     assert model.score_terms(["idiot", "idioot", "stuupid", "cloown", "id"]).max() > 0 > clean.max()
     assert (model.score_terms([T.bare(w) for w in ("idi.ot", "st-upid", "clo_wn")]) > 0).all()
+    # One insult in a clean text is enough, plain, dotted or with a letter put in.
+    text = docs.join(labels.where("toxic = 0"), "doc_id").where("lang = 'en' and length(text) between 500 and 900").first().text
+    score = lambda word: model.document(T.strongest(model.score_terms([b for t in T.terms(f"{text} {word} and") if (b := T.bare(t))])))
+    assert score("") < 0.1 and all(score(w) > T.CUT for w in ("idiot", "Clown.", "st.upid", "idixot", "scumm", "i d i o t"))
+
+
+def test_copies_of_a_document_are_no_evidence(spark):
+    """A chance word of a toxic document that was copied often stays unknown; an insult that turns up anywhere doesn't."""
+    r = np.random.default_rng(3)
+    words = ["".join(r.choice(list("abcdefghij"), 5)) for _ in range(200)]
+    prose = lambda *more: " ".join([*r.permutation(words)[:30], *more, *r.permutation(words)[:30]])
+    toxic = [prose("zwyrk") for _ in range(60)] + [prose("zwyrk", "kquuz", "plain")] * 60
+    rows = [(i, t, 1) for i, t in enumerate(toxic)] + [(i + 1000, prose(), 0) for i in range(400)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = T.train(made.select("doc_id", "text"), made.select("doc_id", "toxic"))
+    insult, chance = model.score_terms(["zwyrk", "kquuz"])
+    assert insult > 0.5 > 0 > chance
 
 
 def test_edge_rows(spark):
