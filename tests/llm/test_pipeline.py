@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_stages_in_order():
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "benchmark_decontamination", "secret_scan", "byte_bpe"]
-    assert pipeline.ORACLE_SQL is None and len(registry.QUERIES) == 10
+    assert pipeline.ORACLE_SQL is None and len(registry.QUERIES) == 13
 
 
 def test_every_stage_on_what_the_one_before_kept(spark):
