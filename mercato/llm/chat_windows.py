@@ -7,13 +7,19 @@ taking one backslash off gives the text back. A newline in a role is written
 as backslash n (its backslashes are doubled).
 
 Windows. Turns are put in order by (turn, role, text). The first turn, if its
-role is "system", heads every window of its conversation. Tokens of the other
-turns are summed up in prefix sums, and the sums are cut at the multiples of
-the body's budget: turns that lie between two multiples share a window, one
-that crosses a multiple has a window of its own. So a window holds whole turns
-and at most ``budget`` tokens, unless one turn alone has more (it is kept
-whole). In front of its own turns a window repeats the last turns of the
-window before it, up to ``history`` tokens.
+role is "system", heads every window of its conversation. A turn's tokens are
+those of the whole formatted turn, marks, role and escapes included. They are
+summed up in prefix sums, and the sums are cut at the multiples of the body's
+budget (what the system turn and the usual history leave): turns that lie
+between two multiples share a window, one that crosses a multiple has a window
+of its own. In front of its own turns a window repeats the last turns of the
+window before it, up to ``history`` tokens and only as far as its budget goes.
+
+So a window holds whole turns and at most ``budget`` tokens, but for one case:
+a single turn that exceeds the budget together with its system turn is kept
+whole, behind the system turn and without history. A system turn of ``budget``
+or more tokens is such a turn itself: it has the first window for its own and
+is not repeated, as no window could hold it and another turn.
 
 Mask. The loss covers the texts of assistant turns, each once: repeated
 system and history turns are masked out.
@@ -25,7 +31,8 @@ the window before is found by a join on its end. So one conversation may hold
 any share of the rows.
 
 Null texts and roles are empty; a null turn sorts first, a null conv_id is a
-conversation of its own. Repeated rows are turns of their own.
+conversation of its own. Repeated rows are turns of their own. Other columns
+are ignored, whatever their names. An empty table gives no windows.
 """
 
 from __future__ import annotations
@@ -43,11 +50,11 @@ from mercato.llm.common import batch, keep, tune
 
 BUDGET = 2048        # tokens of a window
 HISTORY = 256        # tokens of repeated turns at most
-MARKS = 6            # tokens counted for a turn's control strings and role
 START, END = "<|im_start|>", "<|im_end|>"
 
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 _ESCAPED = re.compile(r"<(\\*)\\\|")
+_CONTROL = re.compile(r"<(\\*)\|")
 
 
 def escaped(text: Column) -> Column:
@@ -66,17 +73,24 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role), flags=re.S)
 
 
+def formatted_turn(role: str, text: str) -> str:
+    """One turn as the template writes it."""
+    role = role.replace("\\", "\\\\").replace("\n", "\\n")
+    return START + _CONTROL.sub(r"<\1\\|", role) + "\n" + _CONTROL.sub(r"<\1\\|", text) + END + "\n"
+
+
 def count_tokens(turns: DataFrame, path: str) -> DataFrame:
-    """``turns`` with a column tokens: the text's tokens and MARKS."""
+    """``turns`` with a column tokens: the tokens of the formatted turn. The
+    newline between turns is a token border, so a window's tokens are the sum."""
     schema = "conv_id long, turn long, role string, text string, tokens long"
 
     def run(batches) -> Iterator:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         for b in batches:
-            found = tokenizer.encode_batch_fast(b.column(3).to_pylist(), add_special_tokens=False)
-            yield batch(schema, [*(c.to_pylist() for c in b.columns), [len(e.ids) + MARKS for e in found]])
+            columns = [c.to_pylist() for c in b.columns]
+            found = tokenizer.encode_batch_fast([formatted_turn(r, t) for r, t in zip(columns[2], columns[3])], add_special_tokens=False)
+            yield batch(schema, [*columns, [len(e.ids) for e in found]])
 
     return turns.select("conv_id", "turn", "role", "text").mapInArrow(run, schema)
 
@@ -88,13 +102,13 @@ def windows(conversations: DataFrame, path: str, budget: int = BUDGET, history:
     tune(conversations.sparkSession)
     order = ["conv_id", "turn", "role", "text"]
     turns = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
-    turns = count_tokens(turns, path).repartitionByRange(*order).sortWithinPartitions(*order)
+    turns = count_tokens(turns.repartitionByRange(*order).sortWithinPartitions(*order), path)
     turns = keep(turns.withColumn("part", F.spark_partition_id()), "turns")
 
     # The system turn: first of its conversation in (turn, role, text).
     by_conv = F.col("conv_id").eqNullSafe(F.col("c"))
     first = turns.groupBy("conv_id").agg(F.min(F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("turn"), "role", "text", "tokens")).alias("f"))
-    system = keep(first.where("f.role = 'system'").select(F.col("conv_id").alias("c"), F.col("f.turn").alias("s_turn"), F.col("f.text").alias("s_text"), F.col("f.tokens").alias("s_tokens")), "system")
+    system = keep(first.where((F.col("f.role") == "system") & (F.col("f.tokens") < budget)).select(F.col("conv_id").alias("c"), F.col("f.turn").alias("s_turn"), F.col("f.text").alias("s_text"), F.col("f.tokens").alias("s_tokens")), "system")
     inside = Window.partitionBy("part", "conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("sum", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).withColumn("row", F.count(F.lit(1)).over(inside))
     # A conversation's rows before a partition: a row for each partition it reaches.
@@ -106,20 +120,22 @@ def windows(conversations: DataFrame, path: str, budget: int = BUDGET, history:
     headed = F.col("s_tokens").isNotNull()
     turns = turns.where(~(headed & (F.col("row") == 0)) | ~headed)
     turns = turns.withColumn("begin", F.col("sum") - F.coalesce("s_tokens", F.lit(0)))
-    # A large system turn leaves the body a quarter of the budget.
-    body = F.greatest(F.lit(budget - history) - F.coalesce("s_tokens", F.lit(0)), F.lit(max(1, budget // 4)))
+    # What the system turn leaves, less the history's usual share.
+    turns = turns.withColumn("room", F.lit(budget) - F.coalesce("s_tokens", F.lit(0)))
+    body = F.col("room") - F.least(F.lit(history), F.floor(F.col("room") / 4))
     low = F.floor(F.col("begin") / body)
     turns = turns.withColumn("cell", low).withColumn("crosses", F.floor((F.col("begin") + F.col("tokens") - 1) / body) > low)
     one = F.struct("begin", "tokens", "role", "text")
     made = turns.groupBy("conv_id", "cell", "crosses").agg(
         F.sort_array(F.collect_list(one)).alias("turns"), F.min("begin").alias("at"), F.max(F.col("begin") + F.col("tokens")).alias("stop"),
-        F.first("s_text").alias("s_text"))
+        F.first("s_text").alias("s_text"), F.first("room").alias("room"))
     made = keep(made.drop("cell", "crosses"), "windows")
-    # What the next window repeats: the last turns within the history's budget.
+    # What the next window may repeat, and what its own turns leave room for.
     tail = F.filter("turns", lambda t: F.col("stop") - t["begin"] <= history)
     before = made.select(F.col("conv_id").alias("c"), F.col("stop").alias("b"), tail.alias("history"))
     made = made.join(before, by_conv & (F.col("at") == F.col("b")), "left").drop("c", "b")
-    history_ = F.coalesce("history", F.expr("slice(turns, 1, 0)"))
+    spare = F.col("room") - (F.col("stop") - F.col("at"))
+    history_ = F.coalesce(F.filter("history", lambda t: F.col("at") - t["begin"] <= spare), F.expr("slice(turns, 1, 0)"))
     # A conversation of a system turn alone has one window of no other turns.
     alone = system.join(made.select("conv_id").distinct(), by_conv, "left_anti")
     alone = alone.select(F.col("c").alias("conv_id"), F.lit(0).cast("long").alias("at"), F.col("s_text"), F.lit(True).alias("only"))
@@ -150,11 +166,7 @@ def windows(conversations: DataFrame, path: str, budget: int = BUDGET, history:
 
 def read_window(formatted: str, n_system: int, n_history: int) -> list[tuple[str, str]]:
     """(role, text) of the turns that a window has not repeated."""
-    found = [(unescape_role(r), unescape(t)) for r, t in _TURN.findall(formatted)]
-    if n_system:
-        return found[1 + n_history:]
-    head = 1 if n_history and found and found[0][0] == "system" else 0
-    return found[:head] + found[head + n_history:]
+    return [(unescape_role(r), unescape(t)) for r, t in _TURN.findall(formatted)][n_system + n_history:]
 
 
 def _digests(batches):
