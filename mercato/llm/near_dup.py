@@ -239,10 +239,15 @@ def near_duplicates(docs: DataFrame, **settings) -> DataFrame:
 
 def without_copies(docs: DataFrame, **settings) -> DataFrame:
     """One row of ``docs`` for each group of near copies, all columns as they
-    are. Documents without a doc_id that only link with one another all stay."""
-    kept = groups(docs, **settings).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("h").alias("kept_h")).distinct()
-    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_h"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    are. Rows without words are linked with nothing and all stay, and so do
+    rows without a doc_id that only link with one another."""
+    named, worded = F.col("doc_id").isNotNull(), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = groups(docs, **settings).where("kept AND n_shingles > 0").select(F.col("doc_id").alias("kept_id"), F.col("h").alias("kept_h"))
+    kept = keep(kept.distinct(), "kept")
+    own, nameless = kept.where("kept_id IS NOT NULL"), kept.where("kept_id IS NULL")
+    same = F.xxhash64(docs["text"]) == F.col("kept_h")
+    first = docs.where(named & worded).join(own, (docs["doc_id"] == own["kept_id"]) & same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return first.unionByName(docs.where(~named & worded).join(nameless, same, "left_semi")).unionByName(docs.where(~worded))
 
 
 def groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, perms: int = PERMS, rows: int = ROWS,

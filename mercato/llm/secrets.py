@@ -8,14 +8,19 @@ agree within the Hoeffding bound, and whose successors do, are merged (ALERGIA
 on the red-blue frontier).
 
 Candidates are all runs of 16 or more credential characters outside the base
-spans, in every whole text. A candidate's score is its log likelihood per
-character under the best automaton, less that under a first-order model of the
-class pairs of all candidates in the corpus. From ``MARGIN`` on, and if the
-format is no less likely than all but 1 % of the training values find theirs,
-it becomes a span of kind "format".
-
-Null and empty texts have no spans. Without any base match only base spans are
-given (none). Positions are code points, ends exclusive.
+spans, in every whole text. An automaton accepts a candidate whose likelihood
+per character is typical of its training values: no less than that of all but
+1 % of them, and no more than that of any (sixteen digits are likelier than any
+hexadecimal key, and none). The background is a first-order model of the class
+pairs of all candidates in the corpus that no automaton accepts or that are
+plain words, so a format's own values, however many leak, hardly make it look
+usual. An accepted candidate whose log likelihood beats the background's by
+``MARGIN`` is a span of kind "format".
+
+Null and empty texts have no spans; very long texts are taken whole. Without
+any base match only base spans are given (none); an empty table gives no rows.
+Repeated rows each have their own spans, equal ones. Columns other than doc_id
+and text are ignored. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -43,12 +48,14 @@ WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 SAMPLE = 800          # labelled credentials of a kind that its automaton is inferred from
 LONGEST = 200         # characters of a credential in the prefix tree; scoring takes whole runs
 ALPHA = 0.01          # confidence of the Hoeffding test
-MARGIN = 0.35         # nats a character by which a format beats the corpus model
+MARGIN = 5.6          # nats by which a format beats the background over a whole run
 SYMBOLS = "dhlHU+/_.=-"
 
 _CLASS = {**{c: "d" for c in "0123456789"}, **{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"},
           **{c: "H" for c in "ABCDEF"}, **{c: "U" for c in "GHIJKLMNOPQRSTUVWXYZ"}, **{c: c for c in "+/_.=-"}}
 _CLASSES = str.maketrans(_CLASS)
+# Words of letters, camel case included, in classes; possessive, so that no run takes long.
+_PLAIN = re.compile(r"[+/_.=-]*+(?:(?:[HU]*+[hl]{2,}+|[HU]++(?=[+/_.=-]|\Z)|[HU]?[hl](?=[+/_.=-]|\Z))[+/_.=-]*+)++")
 
 Span = tuple[int, int, int]   # start, kind, end
 
@@ -180,64 +187,100 @@ class Automaton:
                 self.to[q, c] = edge[0] if edge else q
         self.next = [self.next[q] if q in self.end else None for q in range(len(self.next))]
 
-    def likelihood(self, string: str) -> float:
-        """Log likelihood per character of a whole string, its end included."""
+    def walk(self, string: str) -> tuple[float, float]:
+        """Log likelihoods per character of a string, without and with its end."""
         q, total = 0, 0.0
         for c in string:
             total += self.log[q, c]
             q = self.to[q, c]
-        return (total + self.end[q]) / max(1, len(string))
+        n = max(1, len(string))
+        return total / n, (total + self.end[q]) / n
+
+    def likelihood(self, string: str) -> float:
+        """Log likelihood per character of a whole string, its end included."""
+        return self.walk(string)[1]
 
 
 class Model:
-    """Automata by kind, the least likelihood of each, and the corpus model of class pairs."""
+    """Automata by kind with the range of likelihoods of each, and the background of class pairs."""
 
-    def __init__(self, values: dict[int, list[str]], pairs: dict[tuple[str, str], int]):
+    def __init__(self, values: dict[int, list[str]]):
         self.automata = []
         for _, found in sorted(values.items()):
             strings = [v[:LONGEST].translate(_CLASSES) for v in found]
             a = Automaton(strings)
-            low = sorted(a.likelihood(s) for s in strings)
-            self.automata.append((a, low[len(low) // 100]))
+            found = sorted(a.walk(s)[0] for s in strings)
+            self.automata.append((a, found[len(found) // 100], found[-1]))
+        self.learn_background({})
+
+    def learn_background(self, pairs: dict[tuple[str, str], int]) -> None:
         total = Counter()
         for (a, _), n in pairs.items():
             total[a] += n
         self.pair = {(a, b): math.log((pairs.get((a, b), 0) + 0.5) / (total[a] + 0.5 * len(SYMBOLS)))
                      for a in "^" + SYMBOLS for b in SYMBOLS}
 
+    def accepted(self, classes: str) -> float:
+        """The likelihood under the likeliest automaton that accepts it; else minus infinity."""
+        walks = ((a.walk(classes), low, high) for a, low, high in self.automata)
+        return max((whole for (own, whole), low, high in walks if low <= own <= high), default=-math.inf)
+
+    def usual(self, classes: str) -> bool:
+        """Whether a candidate belongs to the background."""
+        return bool(_PLAIN.fullmatch(classes)) or self.accepted(classes) == -math.inf
+
     def score(self, value: str) -> float:
-        """By how much the likeliest format that is likely enough beats the corpus model."""
+        """By how much the likeliest format that accepts it beats the background."""
         s = value.translate(_CLASSES)
-        usual = sum(self.pair[p] for p in zip("^" + s, s)) / len(s)
-        return max((x - usual for a, low in self.automata if (x := a.likelihood(s)) >= low), default=-math.inf)
+        return self.accepted(s) * len(s) - sum(self.pair[p] for p in zip("^" + s, s))
+
+
+_FOUND = "kind int, value string, hash long, n long"
 
 
 def _training(batches):
-    """Base values by kind (kind, value, hash) and counts of the candidates' class pairs."""
+    """Base values by kind (kind, value, hash), and as kind -1 the class strings of candidates, counted."""
     for b in batches:
-        rows, pairs = {}, Counter()
+        rows, runs = {}, Counter()
         for text in b.column(0).to_pylist():
             base = base_spans(text)
             for s, k, e in base:
                 value = ASSIGN.match(text, s, e).group(2) if k == 0 else text[s:e]
                 rows[k, value] = xxhash.xxh3_64_intdigest(value.encode()) >> 1
-            for _, value in candidates(text, base):
-                s = value.translate(_CLASSES)
-                pairs.update(zip("^" + s, s))
-        out = [(k, v, h, 0) for (k, v), h in rows.items()] + [(-1, a + c, 0, n) for (a, c), n in pairs.items()]
-        yield batch("kind int, value string, hash long, n long", list(zip(*out)) if out else [[]] * 4)
+            runs.update(value.translate(_CLASSES) for _, value in candidates(text, base))
+        out = [(k, v, h, 0) for (k, v), h in rows.items()] + [(-1, s, 0, n) for s, n in runs.items()]
+        yield batch(_FOUND, list(zip(*out)) if out else [[]] * 4)
+
+
+def _background(batches, model: Model):
+    """Class pairs of the background's candidates, counted."""
+    pairs: Counter = Counter()
+    for b in batches:
+        for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if model.usual(s):
+                for p in zip("^" + s, s):
+                    pairs[p] += n
+    yield batch("pair string, n long", [[a + c for a, c in pairs], list(pairs.values())])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Infer the automata from the ``sample`` distinct values of each kind that have the smallest hash."""
-    found = keep(docs.select("text").mapInArrow(_training, "kind int, value string, hash long, n long"), "credentials")
+    """Infer the automata from the ``sample`` distinct values of each kind that
+    have the smallest hash, then the background from all candidates."""
+    spark = tune(docs.sparkSession)
+    found = keep(docs.select(F.col("text").cast("string")).mapInArrow(_training, _FOUND), "credentials")
     values: dict[int, list[str]] = defaultdict(list)
     for kind in range(3):
         own = found.where(F.col("kind") == kind).select(F.substring("value", 1, LONGEST).alias("value"), "hash").distinct()
         values[kind] = [r["value"] for r in own.orderBy("hash", "value").limit(sample).collect()]
-    pairs = found.where("kind = -1").groupBy("value").agg(F.sum("n").alias("n"))   # at most 132 rows
     values = {k: v for k, v in values.items() if v}
-    return Model(values, {(r["value"][0], r["value"][1]): r["n"] for r in pairs.collect()}) if values else None
+    if not values:
+        return None
+    model = Model(values)
+    sent = spark.sparkContext.broadcast(model)   # bounded by the sample
+    runs = found.where("kind = -1").select("value", "n")
+    pairs = runs.mapInArrow(lambda it: _background(it, sent.value), "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    model.learn_background({(r["pair"][0], r["pair"][1]): r["n"] for r in pairs.collect()})   # at most 132 rows
+    return model
 
 
 def all_spans(text: str | None, model: Model | None, margin: float = MARGIN) -> tuple[list[Span], list[Span]]:

@@ -57,17 +57,24 @@ def byte_characters() -> dict[int, int]:
 
 
 class TextEncoder(SegmentEncoder):
-    """The tokenizers library with its byte-level pre-tokenizer; strings of
-    special tokens in a text are ordinary text. A plain word is one pre-token
-    and goes to the library's BPE model itself, all else to its whole encoder."""
+    """The tokenizers library with its byte-level pre-tokenizer. A plain word is
+    one pre-token and goes to the library's BPE model itself, all else to its
+    whole encoder. A text that holds the string of a special token goes there
+    whole: by the library's default such a string is that token."""
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.alphabet = self.tokenizer.model, byte_characters()
 
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        whole = {i for i, t in enumerate(texts) if t and any(s in t for s in self.special)}
+        found = super().encode([None if i in whole else t for i, t in enumerate(texts)])
+        for i, ids in enumerate(found):
+            yield np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<i4") if i in whole else ids
+
     def split(self, segment: str) -> list[str]:
         return [segment]
 

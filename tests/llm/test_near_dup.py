@@ -83,7 +83,14 @@ def test_one_of_each_group_stays(spark):
     kept = N.without_copies(docs)
     assert kept.columns == docs.columns
     ids = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in kept.select("doc_id", "text").collect())
-    assert [i[1] for i in ids if i[0]] == [-8, 1, 2, 3, 3, 4, 6, 7]
+    # doc_id 1 has two rows without words: linked with nothing, both stay
+    assert [i[1] for i in ids if i[0]] == [-8, 1, 1, 2, 3, 3, 4, 6, 7]
+
+
+def test_rows_linked_with_nothing_all_stay(spark):
+    rows = [(None, None), (None, None), (None, "same words"), (None, "same words"), (5, ""), (5, ""), (None, ""), (6, " \n"), (6, "x y"), (6, "x y"), (7, "x y"), (None, "x y")]
+    kept = N.without_copies(spark.createDataFrame([(*r, "?", 1) for r in rows], "doc_id long, text string, h string, kept_id int"))
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(repr, rows[:9]))
 
 
 def test_posterior_bound():

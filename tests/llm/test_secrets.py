@@ -3,6 +3,8 @@ import random
 import re
 from hashlib import sha256
 
+import pytest
+
 from edge import edge_docs, load
 from mercato.llm import secrets as S
 
@@ -54,6 +56,22 @@ def test_a_learned_format_is_found_without_its_keyword(spark):
     assert all(got[1000 + i].spans == "" for i in range(300))
 
 
+@pytest.mark.parametrize("k", [1, 10, 1000, 10_000])
+def test_a_common_format_is_found_as_well_as_a_rare_one(spark, k):
+    """Recall of unlabelled values, of three formats, whatever their count; ordinary long runs stay."""
+    rnd = random.Random(k)
+    upper, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    values = [lambda: "sk-" + "".join(rnd.choices(upper, k=30)), lambda: "ghp_" + "".join(rnd.choices(mixed, k=36)),
+              lambda: "".join(rnd.choices(mixed, k=24)) + "=="]
+    words = ["international/organisations", "well-established-long-compound", "https://example.org/some/long/path/here", "2024-01-15T10-20-30", "AVeryLongIdentifierName_of_things"]
+    rows = [(i, f"a token = {values[i % 3]()} here") for i in range(450)]
+    rows += [(1000 + i, f"this {words[i % 5]} is in the text {words[(i + 2) % 5]}") for i in range(500)]
+    rows += [(10_000 + i, f"see {values[i % 3]()} there") for i in range(k)]
+    got = S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_format").collect()
+    assert sum(r.n_format == 1 for r in got if r.doc_id >= 10_000) >= 0.9 * k
+    assert not any(r.n_format for r in got if 1000 <= r.doc_id < 10_000)
+
+
 def test_redaction(spark):
     assert S.redact("ab token=abcdef1 cd", [(3, 0, 16), (9, 2, 16)]) == "ab [SECRET] cd"
     docs = edge_docs(spark)

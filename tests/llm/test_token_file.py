@@ -35,7 +35,6 @@ def test_widths_are_the_smallest():
 
 def expected(rows):
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     out, start = [], 0
     for doc_id, text in rows:
         ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -55,8 +54,7 @@ def test_documents(spark):
 
 def test_encoder_on_odd_texts():
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
-    odd = [LONG, "", " a  b", "\n \nx ", "<|endoftext|> a", "日本 😀", "it's 12 a.b,c"]
+    odd = [LONG, "", " a  b", "\n \nx ", "<|endoftext|> a", "a  <|endoftext|>  <|endoftext|>b", "one <|endoftext|", "日本 😀", "it's 12 a.b,c"]
     assert [x.tolist() for x in F.encoder(PATH).encode(odd)] == [library.encode(t, add_special_tokens=False).ids for t in odd]
 
 
