@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import batch, no_cycles, pieces, tune
+from mercato.llm.common import batch, no_cycles, pieces, tidy, tune
 from mercato.llm.segments import SegmentEncoder
 
 
@@ -220,4 +220,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     of_bytes.append(sha256(bpe.decode(ids)).hexdigest())
                 yield batch(out, (b.column(0).to_pylist(), n, of_ids, of_bytes))
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(lambda it: tidy(run(it)), out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 import zipfile
@@ -96,6 +97,20 @@ def no_cycles():
         gc.enable()
 
 
+def tidy(batches: Iterable) -> Iterator:
+    """``batches``, and at their end the worker's freed memory goes back to the
+    system: workers are reused, and would hold the peak of every earlier stage."""
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):      # not the GNU C library
+            pass
+
+
 class Cache(dict):
     """A bounded memo: ``make(key)`` fills a missing key; once ``limit`` keys
     are held all are dropped, so a worker's memory stays bounded."""

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import batch, keep, tune
+from mercato.llm.common import batch, keep, tidy, tune
 
 CHUNK = 48
 ALPHA = 0.5
@@ -251,7 +251,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, alpha: float = ALPHA, in
     found = []
     for index in indexes(benchmark, index_bytes):
         sent = spark.sparkContext.broadcast(index)
-        found.append(docs.mapInArrow(lambda it, sent=sent: _matched(it, sent.value, alpha), OUT))
+        found.append(docs.mapInArrow(lambda it, sent=sent: tidy(_matched(it, sent.value, alpha)), OUT))
     if not found:
         return spark.createDataFrame([], OUT)
     return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(
@@ -263,5 +263,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, alpha: float = A
     spark, at = tune(docs.sparkSession), docs.columns.index("text")
     for index in indexes(benchmark, index_bytes):
         sent = spark.sparkContext.broadcast(index)
-        docs = docs.mapInArrow(lambda it, sent=sent: _unmatched(it, sent.value, alpha, at), docs.schema)
+        docs = docs.mapInArrow(lambda it, sent=sent: tidy(_unmatched(it, sent.value, alpha, at)), docs.schema)
     return docs

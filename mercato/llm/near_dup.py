@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import Cache, batch, keep, pieces, tune
+from mercato.llm.common import Cache, batch, keep, pieces, tidy, tune
 
 WIDTH = 5          # words in a shingle
 PERMS = 128        # MinHash values in a signature
@@ -257,7 +257,7 @@ def groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THR
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     least = least_matches(perms, step, threshold, miss)
     hashed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
-    base = keep(hashed.mapInArrow(lambda it: _signed(it, width, perms), SIGNED), "signed")
+    base = keep(hashed.mapInArrow(lambda it: tidy(_signed(it, width, perms)), SIGNED), "signed")
     some = base.where("fp IS NOT NULL")
     # One node per fingerprint; equal fingerprints have equal signatures.
     nodes = some.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig"))
@@ -272,7 +272,7 @@ def groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THR
         pairs = pairs.join(nodes.select(F.col("fp").alias(side), F.col("sig").alias(f"sig_{side}"), F.col("n_shingles").alias(f"n_{side}")), side)
     up, down = threshold
     pairs = pairs.where(F.least("n_a", "n_b") * down >= F.greatest("n_a", "n_b") * up)
-    pairs = keep(pairs.mapInArrow(lambda it: _pruned(it, least), "a binary, b binary"), "star")
+    pairs = keep(pairs.mapInArrow(lambda it: tidy(_pruned(it, least)), "a binary, b binary"), "star")
 
     def texts_of(some_nodes: DataFrame) -> DataFrame:
         ends = some_nodes.join(nodes.select("fp", "doc_id"), "fp")
@@ -282,7 +282,7 @@ def groups(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THR
     texts = texts_of(pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct())
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("fp").alias(side), F.col("text").alias(f"text_{side}")), side)
-    edges = keep(pairs.mapInArrow(lambda it: _verified(it, width, threshold), "a binary, b binary"), "edges")
+    edges = keep(pairs.mapInArrow(lambda it: tidy(_verified(it, width, threshold)), "a binary, b binary"), "edges")
     labels = components(edges)
 
     own = met.select("bucket", "fp").join(labels, "fp", "left").join(nodes.select("fp", "n_shingles"), "fp")

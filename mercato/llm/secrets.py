@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import batch, keep, tune
+from mercato.llm.common import batch, keep, tidy, tune
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -267,7 +267,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Infer the automata from the ``sample`` distinct values of each kind that
     have the smallest hash, then the background from all candidates."""
     spark = tune(docs.sparkSession)
-    found = keep(docs.select(F.col("text").cast("string")).mapInArrow(_training, _FOUND), "credentials")
+    found = keep(docs.select(F.col("text").cast("string")).mapInArrow(lambda it: tidy(_training(it)), _FOUND), "credentials")
     values: dict[int, list[str]] = defaultdict(list)
     for kind in range(3):
         own = found.where(F.col("kind") == kind).select(F.substring("value", 1, LONGEST).alias("value"), "hash").distinct()
@@ -333,4 +333,4 @@ def redact_documents(docs: DataFrame, sample: int = SAMPLE, margin: float = MARG
             clean = [redact(t, all_spans(t, sent.value, margin)[1]) for t in texts]
             yield b.set_column(at, b.schema.field(at), pa.array(clean, b.schema.field(at).type)) if clean != texts else b
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda it: tidy(run(it)), docs.schema)

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import Cache, batch, keep, pieces, tune
+from mercato.llm.common import Cache, batch, keep, pieces, tidy, tune
 
 ORDER = 3            # characters of a subsequence
 DECAY = 0.6          # weight of each character that a subsequence spans
@@ -252,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
-    found = sample.select("toxic", "text").mapInArrow(_contexts, "term string, context long, toxic int")
+    found = sample.select("toxic", "text").mapInArrow(lambda it: tidy(_contexts(it)), "term string, context long, toxic int")
     found = found.groupBy("term", "context").agg(F.min("toxic").alias("toxic"))
     counts = keep(found.groupBy("term").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")), "term_counts")
     # Weights for the terms: relative ones, as no document is more evidence than its own.
@@ -274,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
         table = _fit_terms(bad, good, marks)
         # All clean terms are scored; the worst mistaken join the training set,
         # and those of them that weigh most become landmarks too.
-        judged = usual.select("term", "good").mapInArrow(lambda it: _judged(it, table), "term string, good long, value double")
+        judged = usual.select("term", "good").mapInArrow(lambda it: tidy(_judged(it, table)), "term string, good long, value double")
         judged = keep(judged, "judged_terms")
         good |= {r["term"]: r["good"] for r in judged.orderBy(F.desc("value"), "term").limit(MAX_TERMS // 2).collect()}
         loss = F.greatest(F.col("value") - OFFSET, F.lit(0.0)) * F.sqrt("good")
@@ -391,7 +391,7 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     tune(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 2 MB whatever the corpus
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(lambda it: _scored(it, sent.value), "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(lambda it: tidy(_scored(it, sent.value)), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
@@ -416,4 +416,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS)
     if model is None:
         return docs
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
-    return docs.mapInArrow(lambda it: _harmless(it, sent.value, at), docs.schema)
+    return docs.mapInArrow(lambda it: tidy(_harmless(it, sent.value, at)), docs.schema)
