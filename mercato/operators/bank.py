@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.dates import month_name_of
+from mercato.functions.exact import exact_avg, exact_sum
 from mercato.functions.numeric import round_ratio
 from mercato.functions.text import dollars, money_text
 from mercato.operators.distinct import distinct_bitmaps, distinct_counts
@@ -84,6 +85,12 @@ def amount_percentiles(txns: DataFrame, value: str = "price", ps: Sequence[float
     return percentiles(txns, value, ps, names, ["region_name"], **how)
 
 
+def exact_amounts(txns: DataFrame, value: str = "price") -> DataFrame:
+    """Total and average of a continuous amount per region, to the last bit the
+    same for any order and partitioning of the rows."""
+    return txns.groupBy("region_name").agg(exact_sum(value).alias("total"), exact_avg(value).alias("average"))
+
+
 def allocation_bitmaps(nodes: DataFrame, regions: DataFrame) -> DataFrame:
     """Customers and nodes of each region and start year as bitmaps (a table to write once)."""
     n = nodes.join(regions, on="region_id").withColumn("start_year", F.year("start_date"))

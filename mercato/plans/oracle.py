@@ -377,6 +377,13 @@ SELECT region_name, {_percentile(0.5, 'median')}, {_percentile(0.8, 'percentile_
 FROM (SELECT region_name, price, count(*) OVER (PARTITION BY region_name) AS n,
         row_number() OVER (PARTITION BY region_name ORDER BY price) - 1 AS i FROM rt)
 GROUP BY region_name""", _region_txns),
+    # Units of 2 ** -64 hold every bit of an amount; their sum is a whole number.
+    "bank_b2_exact_amounts": _sql("""
+SELECT region_name, whole + part AS total, (whole + part) / n AS average
+FROM (SELECT region_name, n, CAST(units // 18446744073709551616 AS DOUBLE) AS whole,
+             CAST(units % 18446744073709551616 AS DOUBLE) / 18446744073709551616.0 AS part
+      FROM (SELECT region_name, count(price) AS n, sum(CAST(price * 18446744073709551616.0::DOUBLE AS HUGEINT)) AS units
+            FROM rt GROUP BY region_name))""", _region_txns),
     "bank_b4_running_balance": _sql("""
 SELECT region_name, txn_id, txn_date, amount,
   CAST(sum(amount) OVER (PARTITION BY region_name ORDER BY txn_date) AS BIGINT) AS balance

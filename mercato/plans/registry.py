@@ -211,6 +211,7 @@ def _bank() -> dict[str, Query]:
         "bank_a5_amount_percentiles": _q(lambda i: B.amount_percentiles(i.region_transactions())),
         "bank_b1_txn_totals": _q(lambda i: B.txn_totals(i.customer_transactions())),
         "bank_b2_deposit_avg": _q(lambda i: B.deposit_averages(i.customer_transactions())),
+        "bank_b2_exact_amounts": _q(lambda i: B.exact_amounts(i.region_transactions())),
         "bank_b3_active_months": _q(lambda i: B.active_months(i.customer_transactions())),
         "bank_b4_closing_balance": _q(lambda i: B.closing_balance(i.customer_transactions())),
         "bank_b4_running_balance": _q(lambda i: B.running_balance(i.region_transactions())),
