@@ -14,6 +14,8 @@ from itertools import chain
 
 import numpy as np
 
+from mercato.llm.common import Cache
+
 WORDS = 1_400_000      # pre-tokens kept by a worker
 SEGMENTS = 700_000     # segments (a word with its signs) kept by a worker
 LONGEST_KEPT = 200     # characters; longer pre-tokens are encoded anew each time
@@ -39,6 +41,13 @@ def simple(segment: str) -> list[str] | None:
     return None
 
 
+class Memo(Cache):
+    """Ids of recurring parts of texts; long ones are not kept."""
+
+    def __missing__(self, key: str) -> bytes:
+        return super().__missing__(key) if len(key) <= LONGEST_KEPT else self.make(key)
+
+
 class SegmentEncoder:
     """Encodes texts by segment; ids of recurring segments and pre-tokens are kept
     as little-endian 32-bit integers in memos that are emptied when full."""

@@ -24,11 +24,13 @@ committed manifest refers to: what a lost task left behind is never read.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -37,56 +39,72 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mercato.llm.common import batch, keep, no_cycles, scratch, tune
-from mercato.llm.segments import SegmentEncoder
+from mercato.llm.segments import Memo, segments, simple
 
 MAGIC = b"DAC1"
 BLOCK = 512              # bits between two entries of a rank directory
 FILE_TOKENS = 4_000_000
 PIECE = 1 << 18          # wide values packed at once
 RUN = 500_000            # ids of whole documents read at once
+KEPT = 700_000           # segments kept by a worker
 
 MANIFEST = "file string, first_id long, first_hash long, docs long, tokens long, bytes long"
 
 
-def byte_characters() -> dict[int, int]:
+def byte_characters() -> dict[int, str]:
     """The published byte-level alphabet: printable Latin-1 bytes stand for
     themselves, the others for the code points from 256 on, in order."""
     same = {*range(33, 127), *range(161, 173), *range(174, 256)}
     rest = [b for b in range(256) if b not in same]
-    return {b: b for b in same} | {b: 256 + k for k, b in enumerate(rest)}
+    return {b: chr(b) for b in same} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class TextEncoder(SegmentEncoder):
-    """The tokenizers library with its byte-level pre-tokenizer. A plain word is
-    one pre-token and goes to the library's BPE model itself, all else to its
-    whole encoder. A text that holds the string of a special token goes there
-    whole: by the library's default such a string is that token."""
+_ID = attrgetter("id")
+
+# Texts of these characters only are cut into pre-tokens here, as the library's
+# own pattern does; what letters, numbers and white space are is sure for them.
+_LATIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
+_PRE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+")
+
+
+class TextEncoder:
+    """The tokenizers library with its byte-level pre-tokenizer. A segment's
+    pre-tokens go to the library's BPE model itself where they are sure, else
+    the segment goes to its whole encoder; ids of recurring segments are kept. A
+    text that holds the string of a special token goes there whole: by the
+    library's default such a string is that token."""
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.alphabet = self.tokenizer.model, byte_characters()
+        self.kept = Memo(lambda s: self.segment(" " + s), KEPT)      # by segment, of the segment behind a space
+        self.short = Memo(self.pre_token, KEPT)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        whole = {i for i, t in enumerate(texts) if t and any(s in t for s in self.special)}
-        found = super().encode([None if i in whole else t for i, t in enumerate(texts)])
-        for i, ids in enumerate(found):
-            yield np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<i4") if i in whole else ids
-
-    def split(self, segment: str) -> list[str]:
-        return [segment]
-
-    def ids_of(self, found: list[str]) -> Iterator[bytes]:
-        tokenize, alphabet = self.model.tokenize, self.alphabet
-        plain = [(p[1:] if p[:1] == " " else p).isalpha() for p in found]
-        rest = iter(self.tokenizer.encode_batch_fast([p for p, x in zip(found, plain) if not x], add_special_tokens=False))
-        for p, x in zip(found, plain):
-            if x:
-                yield array("i", [t.id for t in tokenize(p.encode().decode("latin-1").translate(alphabet))]).tobytes()
+        kept = self.kept.__getitem__
+        for text in texts:
+            if text and any(s in text for s in self.special):
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
             else:
-                yield array("i", next(rest).ids).tobytes()
+                first, *rest = segments(text or "")
+                yield np.frombuffer(b"".join([self.segment(first), *map(kept, rest)]), "<i4")
+
+    def segment(self, segment: str) -> bytes:
+        if (segment[1:] if segment[:1] == " " else segment).isalpha():
+            return self.pre_token(segment)
+        found = _PRE.findall(segment) if _LATIN.fullmatch(segment) else simple(segment)
+        if found is None:
+            return array("i", self.tokenizer.encode(segment, add_special_tokens=False).ids).tobytes()
+        # A plain word behind a space is a segment of its own, so it is kept once.
+        return b"".join([self.kept[p[1:]] if p[0] == " " and p[1:].isalpha() else self.short[p] if len(p) < 4 else self.pre_token(p)
+                         for p in found])
+
+    def pre_token(self, part: str) -> bytes:
+        plain = part.isascii() and part.isprintable()      # stands for itself but for the space
+        part = part.replace(" ", self.alphabet[32]) if plain else part.encode().decode("latin-1").translate(self.alphabet)
+        return array("i", map(_ID, self.model.tokenize(part))).tobytes()
 
 
 _ENCODERS: dict[str, TextEncoder] = {}

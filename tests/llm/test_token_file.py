@@ -1,4 +1,5 @@
 """Codes against plain arrays, and files against the tokenizers library."""
+import random
 import zlib
 
 import numpy as np
@@ -58,6 +59,29 @@ def test_encoder_on_odd_texts():
     assert [x.tolist() for x in F.encoder(PATH).encode(odd)] == [library.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_latin_texts_need_no_whole_encoder(monkeypatch):
+    rnd = random.Random(4)
+    odd = ["".join(rnd.choice("ab1éß 's 't 're'LL  \n.,!?#*$'_/x") for _ in range(rnd.randrange(30))) for _ in range(20_000)]
+    library, enc = Tokenizer.from_file(PATH), F.TextEncoder(PATH)
+    monkeypatch.setattr(enc, "tokenizer", None)
+    assert [x.tolist() for x in enc.encode(odd)] == [x.ids for x in library.encode_batch(odd, add_special_tokens=False)]
+
+
+def test_other_texts_as_the_library_has_them():
+    rnd = random.Random(5)
+    odd = ["".join(rnd.choice("aé 's \r\t\n.,*\u0085\x1c\xa0\u2028ª²½٣日ß😀\u0301-µ") for _ in range(rnd.randrange(30))) for _ in range(20_000)]
+    library = Tokenizer.from_file(PATH)
+    assert [x.tolist() for x in F.TextEncoder(PATH).encode(odd)] == [x.ids for x in library.encode_batch(odd, add_special_tokens=False)]
+
+
+def test_memos_are_bounded(monkeypatch):
+    monkeypatch.setattr(F, "KEPT", 5)
+    library, enc = Tokenizer.from_file(PATH), F.TextEncoder(PATH)
+    text = "one two, " + "x" * 5000 + " three*** four five " + "ab " * 50 + "six seven eight nine\nten"
+    assert [x.tolist() for x in enc.encode([text] * 3)] == [library.encode(text, add_special_tokens=False).ids] * 3
+    assert len(enc.kept) <= 6 and len(enc.short) <= 6 and max(map(len, enc.kept)) < 1000
+
+
 def test_edge_rows(spark):
     rows = sorted(map(tuple, F.token_files(edge_docs(spark), PATH).collect()), key=lambda r: r[1])
     assert [r[0] for r in rows] == [None, None, None, -8, 1, 1, 2, 3, 3, 3, 4, 5, 6, 7, 9]
