@@ -175,7 +175,7 @@ class ByteBpe(SegmentEncoder):
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str) -> ByteBpe:
-    """One per worker process, so that its caches outlive a task."""
+    """One per worker process: its tables outlive a task, its memos do not."""
     return ByteBpe(read_ranks(path), pattern)
 
 
@@ -188,8 +188,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         bpe = tokenizer(path, pattern)
         for b in batches:
             yield batch("doc_id long, ids ints", (b.column(0).to_pylist(), list(bpe.encode(b.column(1).to_pylist()))))
+        bpe.forget()
 
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(lambda it: tidy(run(it)), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -219,5 +220,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     of_ids.append(sha256(",".join(map(digits.__getitem__, ids.tolist())).encode()).hexdigest())
                     of_bytes.append(sha256(bpe.decode(ids)).hexdigest())
                 yield batch(out, (b.column(0).to_pylist(), n, of_ids, of_bytes))
+        bpe.forget()
 
     return rows.mapInArrow(lambda it: tidy(run(it)), out)

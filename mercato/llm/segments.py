@@ -16,9 +16,9 @@ import numpy as np
 
 from mercato.llm.common import Cache
 
-WORDS = 1_400_000      # pre-tokens kept by a worker
-SEGMENTS = 700_000     # segments (a word with its signs) kept by a worker
-LONGEST_KEPT = 200     # characters; longer pre-tokens are encoded anew each time
+WORDS = 500_000        # pre-tokens kept by a worker
+SEGMENTS = 300_000     # segments (a word with its signs) kept by a worker
+LONGEST_KEPT = 200     # characters; longer pre-tokens and segments are encoded anew each time
 RUN = 1_000_000        # characters whose new segments are encoded together
 
 _CUT = re.compile(r" (?=\S)")
@@ -64,6 +64,11 @@ class SegmentEncoder:
         """Ids of each of these parts."""
         raise NotImplementedError
 
+    def forget(self) -> None:
+        """Empty the memos: a worker that is reused would hold them through later stages."""
+        self.kept.clear()
+        self.words.clear()
+
     def _learn(self, new: set[str]) -> dict[str, bytes]:
         """Ids of distinct segments."""
         found = {s: simple(s) or self.split(s) for s in new}
@@ -94,4 +99,7 @@ class SegmentEncoder:
                 kept = self.kept.__getitem__
                 for found in run:
                     yield np.frombuffer(b"".join([ids[found[0]], *map(kept, found[1:])]) if found else b"", "<i4")
+                for s in new:
+                    if len(s) > LONGEST_KEPT:
+                        del self.kept[s]
                 run, size = [], 0

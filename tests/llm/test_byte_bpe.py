@@ -32,6 +32,29 @@ def test_emptied_memos_change_nothing(monkeypatch):
     assert [x.tolist() for x in bpe.encode(texts)] == [LIBRARY.encode_ordinary(t or "") for t in texts]
 
 
+def test_long_segments_are_not_kept():
+    bpe = B.ByteBpe(BPE.ranks, P.PATTERN)
+    text = "one " + "x" * 5000 + " two"
+    assert [x.tolist() for x in bpe.encode([text] * 2)] == [LIBRARY.encode_ordinary(text)] * 2
+    assert set(bpe.kept) == {"two"}
+
+
+def test_workers_hold_no_memos_after_a_task(spark):
+    pattern = P.PATTERN
+    docs = edge_docs(spark)
+    B.round_trip(docs.repartition(4), PATH, pattern).collect()
+    B.encode(docs.repartition(4), PATH, pattern).collect()
+
+    def held(batches):
+        from mercato.llm.byte_bpe import batch, tokenizer
+        for b in batches:
+            bpe = tokenizer(PATH, pattern)
+            yield batch("n long", [[len(bpe.kept) + len(bpe.words)]])
+
+    rows = spark.range(8, numPartitions=8).mapInArrow(held, "n long").collect()
+    assert [r.n for r in rows] == [0] * 8
+
+
 def test_queue_gives_ranks_in_order():
     rnd = random.Random(2)
     q, held = B.RankQueue(200_000), {}
