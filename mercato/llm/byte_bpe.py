@@ -8,6 +8,8 @@ rank. A position whose pair has changed since it was queued is stale and is
 skipped. So a pre-token of n bytes costs O(n) queue steps (and the sorting of
 buckets), also where it is a megabyte long. Many short pre-tokens share one
 queue: they lie behind one another in one list, without pairs across borders.
+There a bucket holds the pairs of a block of neighbouring ranks, and a step merges
+the lowest pair of each pre-token that has one in the lowest block, as arrays.
 
 A pre-token that is itself a vocabulary entry is that entry, as in rank-file
 tokenizers. Null and empty texts give no ids. Encodings of recurring pre-tokens
@@ -20,7 +22,6 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain
 
 import numpy as np
 import regex
@@ -28,7 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.common import batch, no_cycles, pieces, tidy, tune
-from mercato.llm.segments import SegmentEncoder
+from mercato.llm.segments import SegmentEncoder, in_order
+
+SHORT = 255             # bytes; pre-tokens up to this length are merged side by side
+TOGETHER = 32_768       # of these share a queue
+BLOCK = 11              # bits of the ranks that share a bucket there
+NONE = (1 << 20) - 1    # no id
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -64,15 +70,19 @@ class RankQueue:
         word = self.leaf[a]
         return (a << 6) + (word & -word).bit_length() - 1
 
-    def take(self, rank: int) -> list[int]:
-        """Empty the bucket of a rank: its positions from left to right."""
+    def empty(self, rank: int) -> list:
+        """Empty the bucket of a rank: what it holds, in any order."""
         a, b = rank >> 6, rank >> 12
         self.leaf[a] &= ~(1 << (rank & 63))
         if not self.leaf[a]:
             self.mid[b] &= ~(1 << (a & 63))
             if not self.mid[b]:
                 self.top &= ~(1 << b)
-        held = self.bucket.pop(rank)
+        return self.bucket.pop(rank)
+
+    def take(self, rank: int) -> list[int]:
+        """Empty the bucket of a rank: its positions from left to right."""
+        held = self.empty(rank)
         held.sort()
         return held
 
@@ -96,16 +106,76 @@ class ByteBpe(SegmentEncoder):
                     self.joined[left << 20 | right] = rank
             if len(whole) == 2:
                 self.first[whole[0], whole[1]] = rank
-
-    def merge(self, found: list[bytes]) -> list[bytes]:
-        """Ids of pre-tokens. All of them lie behind one another in one list of
+        self.blocks = RankQueue((len(self.vocabulary) >> BLOCK) + 1)
+        self.pairs = np.array([*sorted(self.joined), NONE << 20 | NONE])       # the same as arrays
+        self.pair_ranks = np.array([*map(self.joined.get, self.pairs[:-1].tolist()), -1])
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; -1 where they don't merge."""
+        pair = left << 20 | right
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, self.pair_ranks[at], -1)
+
+    def merge_short(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` for pre-tokens of at most ``SHORT`` bytes. A bucket holds the
+        pairs of a block of neighbouring ranks, as arrays of positions; each step
+        takes the lowest block and merges in every pre-token there is one of its
+        pair of the lowest rank, leftmost first. The others wait in the bucket."""
+        queue, bucket = self.blocks, self.blocks.bucket
+        data = np.frombuffer(b"".join(found), np.uint8)
+        n, sizes = len(data), np.array([len(p) for p in found])
+        starts = np.cumsum(sizes) - sizes
+        ends = starts + sizes - 1
+        # Position n stands for none: it merges with nothing.
+        word = np.repeat(np.arange(len(found)), sizes)
+        part = np.append(self.byte[data], NONE)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends] = before[starts] = n
+        pair = np.full(n + 1, -1, np.int64)
+        pair[:-2] = self.first[data[:-1], data[1:]]
+        pair[ends] = -1
+
+        def push(positions: np.ndarray) -> None:
+            block = pair[positions] >> BLOCK
+            order = np.argsort(block, kind="stable")
+            order = order[np.searchsorted(block[order], 0):]
+            block, positions = block[order], positions[order]
+            cuts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+            for a, z in zip(cuts, [*cuts[1:], len(block)]):
+                if (b := int(block[a])) in bucket:
+                    bucket[b].append(positions[a:z])
+                else:
+                    queue.open(b, [positions[a:z]])
+
+        push(np.arange(n))
+        while (b := queue.lowest()) >= 0:
+            held = np.concatenate(queue.empty(b))
+            rank = pair[held]
+            held = held[fresh := rank >> BLOCK == b]             # the others are stale
+            which = word[held]
+            key = np.sort((which << BLOCK | rank[fresh] & (1 << BLOCK) - 1) << 8 | held - starts[which])
+            which = key >> BLOCK + 8
+            at = starts[which] + (key & 255)
+            lowest = np.diff(which, prepend=-1) > 0
+            i, waiting = at[lowest], at[~lowest]
+            if len(waiting):
+                queue.open(b, [waiting])
+            new, gone, left = pair[i], after[i], before[i]
+            right = after[gone]
+            part[i], part[gone], pair[gone] = new, -1, -1
+            after[i], before[right] = right, i
+            pair[i], pair[left] = self._rank(new, part[right]), self._rank(part[left], new)
+            push(np.concatenate([i, left]))
+        left_over = part[:-1] >= 0
+        return part[:-1][left_over].astype("<i4"), np.add.reduceat(left_over, starts, dtype=np.int64)
+
+    def merge(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, and how many each has. All of them lie behind one another in one list of
         parts, without pairs across their borders, and share the queue."""
         queue, get = self.queue, self.joined.get
         bucket, open_ = queue.bucket, queue.open
         data = np.frombuffer(b"".join(found), np.uint8)
         n = len(data)
-        if not n:
-            return [b""] * len(found)
         ends = np.cumsum([len(p) for p in found])
         start = np.full(n, -1, np.int64)
         start[:-1] = self.first[data[:-1], data[1:]]
@@ -157,17 +227,19 @@ class ByteBpe(SegmentEncoder):
                         open_(r, positions[k + 1:])
                     break
         ids = np.array(part)
-        left_over = ids >= 0
-        at = (4 * np.concatenate([[0], np.cumsum(left_over)[ends - 1]])).tolist()
-        ids = ids[left_over].astype("<i4").tobytes()
-        return [ids[x:y] for x, y in zip(at, at[1:])]
+        return ids[ids >= 0].astype("<i4"), np.add.reduceat(ids >= 0, ends - [len(p) for p in found], dtype=np.int64)
 
-    def ids_of(self, found: list[str]) -> Iterator[bytes]:
+    def ids_of(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raws = [p.encode("utf-8", "replace") for p in found]
-        whole = [self.ranks.get(raw) for raw in raws]
-        todo = [raw for raw, r in zip(raws, whole) if r is None]
-        merged = chain.from_iterable(map(self.merge, pieces(todo, 4096)))
-        return (next(merged) if r is None else r.to_bytes(4, "little") for r in whole)
+        whole = np.array([self.ranks.get(raw, -1) for raw in raws], "<i4")
+        n = np.ones(len(raws), np.int64)
+        made = [(np.flatnonzero(whole >= 0), whole[whole >= 0])]
+        short = np.array([len(raw) <= SHORT for raw in raws], bool)
+        for merge, size, which in (self.merge_short, TOGETHER, short), (self.merge, 4096, ~short):
+            for at in pieces(np.flatnonzero((whole < 0) & which), size):
+                ids, n[at] = merge([raws[i] for i in at.tolist()])
+                made.append((at, ids))
+        return in_order(n, made), n
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))

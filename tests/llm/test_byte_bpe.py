@@ -2,6 +2,7 @@
 import random
 from hashlib import sha256
 
+import numpy as np
 import public_tokenizers as P
 import tiktoken
 
@@ -39,6 +40,30 @@ def test_long_segments_are_not_kept():
     assert set(bpe.kept) == {"two"}
 
 
+def test_short_pre_tokens_are_merged_side_by_side():
+    rnd = random.Random(3)
+    bpe = B.ByteBpe(BPE.ranks, P.PATTERN)
+    odd = ["".join(rnd.choice("theandingré日😀12.,'") for _ in range(rnd.randrange(1, 60))).encode() for _ in range(5000)]
+    odd += [b"a" * n for n in range(1, 256)] + [b"ab" * 127, b"\xff" * 255, b" " * 255]
+    steps, lowest = [], bpe.blocks.lowest
+    bpe.blocks.lowest = lambda: steps.append(1) or lowest()
+    ids, n = bpe.merge_short(odd)
+    assert len(steps) < 1000                # not a step for each rank or pre-token
+    plain = bpe.merge(odd)
+    assert (ids == plain[0]).all() and (n == plain[1]).all()
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [LIBRARY._encode_single_piece(p) for p in odd]
+
+
+def test_a_full_memo_keeps_what_is_used_most(monkeypatch):
+    import mercato.llm.segments as S
+    monkeypatch.setattr(S, "SEGMENTS", 40)
+    bpe = B.ByteBpe(BPE.ranks, P.PATTERN)
+    for k in range(20):
+        texts = [f"x the {word} and the, {word}. of" for word in (f"w{chr(97 + k)}{chr(97 + j)}q" for j in range(26))]
+        assert [x.tolist() for x in bpe.encode(texts)] == [LIBRARY.encode_ordinary(t) for t in texts]
+        assert len(bpe.kept) <= 40 and len(bpe.lengths) <= 40 and {"the", "and", "of", "the,"} <= set(bpe.kept)
+
+
 def test_workers_hold_no_memos_after_a_task(spark):
     pattern = P.PATTERN
     docs = edge_docs(spark)
