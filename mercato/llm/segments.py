@@ -17,8 +17,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from mercato.llm.common import Cache
-
 WORDS = 500_000        # pre-tokens kept by a worker
 SEGMENTS = 300_000     # segments (a word with its signs) kept by a worker
 LONGEST_KEPT = 200     # characters; longer pre-tokens and segments are encoded anew each time
@@ -45,13 +43,6 @@ def simple(segment: str) -> list[str] | None:
     return None
 
 
-class Memo(Cache):
-    """Ids of recurring parts of texts; long ones are not kept."""
-
-    def __missing__(self, key: str) -> bytes:
-        return super().__missing__(key) if len(key) <= LONGEST_KEPT else self.make(key)
-
-
 def in_order(n: np.ndarray, made: list) -> np.ndarray:
     """Ids of all items behind one another, from pairs of some items' positions
     and their ids; ``n``: how many ids each item has."""

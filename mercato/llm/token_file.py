@@ -28,18 +28,17 @@ import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
-from operator import attrgetter
 
 import numpy as np
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from mercato.llm.common import batch, keep, no_cycles, scratch, tune
-from mercato.llm.segments import Memo, segments, simple
+from mercato.llm.common import batch, keep, no_cycles, pieces, scratch, tune
+from mercato.llm.segments import SegmentEncoder, in_order
 
 MAGIC = b"DAC1"
 BLOCK = 512              # bits between two entries of a rank directory
@@ -47,6 +46,7 @@ FILE_TOKENS = 4_000_000
 PIECE = 1 << 18          # wide values packed at once
 RUN = 500_000            # ids of whole documents read at once
 KEPT = 700_000           # segments kept by a worker
+TOGETHER = 32_768        # pre-tokens given to the library at once
 
 MANIFEST = "file string, first_id long, first_hash long, docs long, tokens long, bytes long"
 
@@ -59,15 +59,13 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in same} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-_ID = attrgetter("id")
-
 # Texts of these characters only are cut into pre-tokens here, as the library's
 # own pattern does; what letters, numbers and white space are is sure for them.
 _LATIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
 _PRE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+")
 
 
-class TextEncoder:
+class TextEncoder(SegmentEncoder):
     """The tokenizers library with its byte-level pre-tokenizer. A segment's
     pre-tokens go to the library's BPE model itself where they are sure, else
     the segment goes to its whole encoder; ids of recurring segments are kept. A
@@ -75,36 +73,45 @@ class TextEncoder:
     library's default such a string is that token."""
 
     def __init__(self, path: str):
+        super().__init__(KEPT)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.model, self.alphabet = self.tokenizer.model, byte_characters()
-        self.kept = Memo(lambda s: self.segment(" " + s), KEPT)      # by segment, of the segment behind a space
-        self.short = Memo(self.pre_token, KEPT)
+        self.bare = Tokenizer(self.tokenizer.model)       # the model for pre-tokens between spaces
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.sizes[[*vocabulary.values()]] = [*map(len, vocabulary)]
+        self.alphabet = np.array([ord(c) for _, c in sorted(byte_characters().items())], "<u4")
+        self.alphabet[0xFF] = ord(" ")
+        self.short = self.words
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        kept = self.kept.__getitem__
-        for text in texts:
-            if text and any(s in text for s in self.special):
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
-            else:
-                first, *rest = segments(text or "")
-                yield np.frombuffer(b"".join([self.segment(first), *map(kept, rest)]), "<i4")
-
-    def segment(self, segment: str) -> bytes:
-        if (segment[1:] if segment[:1] == " " else segment).isalpha():
-            return self.pre_token(segment)
-        found = _PRE.findall(segment) if _LATIN.fullmatch(segment) else simple(segment)
-        if found is None:
-            return array("i", self.tokenizer.encode(segment, add_special_tokens=False).ids).tobytes()
-        # A plain word behind a space is a segment of its own, so it is kept once.
-        return b"".join([self.kept[p[1:]] if p[0] == " " and p[1:].isalpha() else self.short[p] if len(p) < 4 else self.pre_token(p)
-                         for p in found])
-
-    def pre_token(self, part: str) -> bytes:
-        plain = part.isascii() and part.isprintable()      # stands for itself but for the space
-        part = part.replace(" ", self.alphabet[32]) if plain else part.encode().decode("latin-1").translate(self.alphabet)
-        return array("i", map(_ID, self.model.tokenize(part))).tobytes()
+        whole = {i: np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
+                 for i, text in enumerate(texts) if text and any(s in text for s in self.special)}
+        for i, ids in enumerate(super().encode([None if i in whole else text for i, text in enumerate(texts)])):
+            yield whole.get(i, ids)
+
+    def split(self, segment: str) -> list[str]:
+        return _PRE.findall(segment) if _LATIN.fullmatch(segment) else [segment]
+
+    def ids_of(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        sure = np.array([p.isascii() and p.isprintable() or p.isalpha() or p[1:].isalpha() and p[0] == " " or bool(_LATIN.fullmatch(p)) for p in found], bool)
+        n = np.zeros(len(found), np.int64)
+        made = []
+        for at in pieces(np.flatnonzero(sure), TOGETHER):
+            # Bytes as characters of the alphabet; a byte that UTF-8 hasn't becomes a space, which the alphabet hasn't.
+            data = np.frombuffer("\udcff".join([found[i] for i in at.tolist()]).encode("utf-8", "surrogateescape"), np.uint8)
+            ids = self.bare.encode_batch_fast([self.alphabet[data].tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids
+            ids = np.array(ids, "<i4")
+            ends = np.append(np.flatnonzero(data == 0xFF), len(data)) - np.arange(len(at))
+            n[at] = np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1, prepend=0)
+            made.append((at, ids))
+        for i in np.flatnonzero(~sure).tolist():
+            ids = self.tokenizer.encode(found[i], add_special_tokens=False).ids
+            n[i] = len(ids)
+            made.append(([i], ids))
+        return in_order(n, made), n
 
 
 _ENCODERS: dict[str, TextEncoder] = {}

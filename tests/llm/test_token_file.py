@@ -82,6 +82,15 @@ def test_memos_are_bounded(monkeypatch):
     assert len(enc.kept) <= 6 and len(enc.short) <= 6 and max(map(len, enc.kept)) < 1000
 
 
+def test_new_pre_tokens_go_to_the_library_together(monkeypatch):
+    library, enc = Tokenizer.from_file(PATH), F.TextEncoder(PATH)
+    texts = [f"Wort{i}é, und{i}\tnoch 日{i} " + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) + ". Ende" for i in range(500)]
+    calls, ids_of = [], enc.ids_of
+    monkeypatch.setattr(enc, "ids_of", lambda found: calls.append(len(found)) or ids_of(found))
+    assert [x.tolist() for x in enc.encode(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(calls) == 1 and calls[0] > 1000
+
+
 def test_edge_rows(spark):
     rows = sorted(map(tuple, F.token_files(edge_docs(spark), PATH).collect()), key=lambda r: r[1])
     assert [r[0] for r in rows] == [None, None, None, -8, 1, 1, 2, 3, 3, 3, 4, 5, 6, 7, 9]
